@@ -90,7 +90,9 @@ def repair(df: DataFrame, registry: RepairRegistry | None = None, as_of=None) ->
         columns.append(F.col(f"__new_{c}").alias(c) if c in fields else F.col(c))
         if c in fields and _is_dated(df, c):
             columns.append(F.col(f"__need_{c}").alias(is_text_flag(c)))
-    original = F.struct(*[F.col(f).cast("string").alias(f) for f in fields]) if fields else F.struct()
+    # A struct without fields could not be written, hence the placeholder.
+    kept = [F.col(f).cast("string").alias(f) for f in fields] or [F.lit(None).cast("string").alias("_none")]
+    original = F.struct(*kept)
     return out.select(
         *[c for c in columns],
         F.when(changed, log).otherwise(none).alias(CHANGES),
