@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from millrace import catalog as C
 from millrace.functions import text
-from millrace.session import cut_lineage, hadoop_path
+from millrace.session import cut_lineage, for_each, hadoop_path
 
 VIOLATIONS = "_violations"
 # Rows without a reference are spread over this many join keys, so that they do not meet in one task.
@@ -293,6 +293,17 @@ def load_star(
     return star
 
 
+def load_levels(names: Iterable[str], catalog: C.Catalog = C.DEFAULT_CATALOG) -> list[list[C.Table]]:
+    """Tables in groups that can load side by side: the parents of each stand in earlier groups."""
+    given, depth = set(names), {}
+    for table in catalog:
+        if table.name in given:
+            above = [depth[p] + 1 for p in table.foreign_keys.values() if p in depth]
+            depth[table.name] = max(above, default=0)
+    levels = sorted(set(depth.values()))
+    return [[catalog[n] for n, d in depth.items() if d == level] for level in levels]
+
+
 def write_star(
     clean: Mapping[str, DataFrame],
     root: str,
@@ -309,18 +320,21 @@ def write_star(
     spark = next(iter(clean.values())).sparkSession
     version = f"v-{uuid.uuid4().hex}"
     star = Star(path=f"{root.rstrip('/')}/{version}")
-    for table in catalog:
-        if table.name not in clean:
-            continue
-        seen = Observation()
-        loaded, star.skipped[table.name] = plan_table(
+
+    def load_table(table: C.Table) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+        seen, written = Observation(), Observation()
+        loaded, skipped = plan_table(
             clean[table.name], table, star.tables, order, on_violation, loaded_at, deduplicated, seen
         )
-        written = Observation()
         target = f"{star.path}/{table.warehouse_name}"
         loaded.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
-        star.tables[table.name] = spark.read.schema(loaded.schema).parquet(target)
-        star.metrics[table.name] = {**seen.get, "loaded": written.get["rows"]}
+        counts = {**seen.get, "loaded": written.get["rows"]}
+        return spark.read.schema(loaded.schema).parquet(target), skipped, counts
+
+    for level in load_levels(clean, catalog):
+        for table, (frame, skipped, counts) in zip(level, for_each(load_table, level)):
+            star.tables[table.name], star.skipped[table.name] = frame, skipped
+            star.metrics[table.name] = counts
     _point_to(spark, root, version)
     return star
 

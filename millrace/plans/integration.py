@@ -25,6 +25,7 @@ from millrace.operators.repair import CHANGED, repair
 from millrace.operators.repairs import RepairRegistry, default_repairs
 from millrace.operators.rules import RuleRegistry, default_rules
 from millrace.operators.validate import IS_VALID, summary_counts, validate
+from millrace.session import for_each
 from millrace.sources.csv import LINE, read_csv, require_sources
 from millrace.sources.tables import Relational, read_tables
 from millrace.streaming.envelopes import publish
@@ -113,10 +114,10 @@ def run_quality(
 
     The checked table is what survives a lost executor; everything after it is a narrow read of it.
     """
-    clean: dict[str, DataFrame] = {}
     metrics: dict[tuple[str, str], dict[str, int]] = {}
-    for name, df in staged.items():
-        table = catalog[name]
+
+    def clean_table(name: str) -> DataFrame:
+        df, table = staged[name], catalog[name]
         before, first, second, changed = (Observation() for _ in range(4))
         counted = df.observe(before, F.count(F.lit(1)).alias("original"))
         merged = dedup_merge(
@@ -154,8 +155,10 @@ def run_quality(
                 F.to_json(F.struct(*good.columns)).alias("record"),
                 F.col(VIOLATIONS).alias("violations"),
             ).write.mode("overwrite").parquet(f"{root}/quarantine/phase=constraints/t={name}")
-        clean[name] = good
-    return clean, metrics
+        return good
+
+    names = list(staged)
+    return dict(zip(names, for_each(clean_table, names))), metrics
 
 
 def run(
@@ -182,7 +185,8 @@ def run(
         names = catalog.by_source(C.CSV)
         files = {n: f"{csv_root.rstrip('/')}/{n}.csv" for n in names}
         require_sources(spark, list(files.values()))
-        tables = {n: read_csv(spark, path, position=True) for n, path in files.items()}
+        frames = for_each(lambda n: read_csv(spark, files[n], position=True), names)
+        tables = dict(zip(names, frames))
         publish(tables, C.CSV, landing, {n: [F.col(LINE)] for n in names}, chunk, drop=[LINE])
     ingest(spark, landing, f"{root}/checkpoints", area, catalog=catalog)
 

@@ -4,9 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+Item = TypeVar("Item")
+Result = TypeVar("Result")
+
+# Independent tables are submitted from this many threads, so that small ones do not wait for large.
+MAX_CONCURRENT = 8
+
 # Runtime settings every job of this package profits from. Sizes (shuffle partitions, memory,
 # split size) belong to the cluster and are left alone.
 RUNTIME_SETTINGS = {
@@ -52,3 +61,12 @@ def hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     handle = jvm.org.apache.hadoop.fs.Path(path)
     return handle.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), handle
+
+
+def for_each(function: Callable[[Item], Result], items: Iterable[Item]) -> list[Result]:
+    """Submit independent Spark jobs side by side; results keep the order, the first error is raised."""
+    work = list(items)
+    if not work:
+        return []
+    with ThreadPoolExecutor(max_workers=min(MAX_CONCURRENT, len(work))) as pool:
+        return list(pool.map(function, work))

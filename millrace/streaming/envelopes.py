@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.staging import MAX_CHUNK
+from millrace.session import for_each
 from millrace.sources.tables import number_rows
 
 ENVELOPE_SCHEMA = T.StructType(
@@ -95,5 +96,6 @@ def publish(
     drop: Sequence[str] = (),
 ) -> None:
     """Publish all tables of one source."""
-    for name, df in tables.items():
-        write_envelopes(df, name, source, landing, order_by[name], size, drop)
+    for_each(
+        lambda name: write_envelopes(tables[name], name, source, landing, order_by[name], size, drop), tables
+    )
