@@ -208,23 +208,30 @@ def find_duplicates(df: DataFrame, keys: Sequence[str], order: str = C.ORDER_COL
 
 def analyze_duplicates(df: DataFrame, keys: Sequence[str], name: str, order: str = C.ORDER_COLUMN) -> DataFrame:
     """One row on the duplicates of a table: counts, their share as text, the key, three samples."""
-    counts = dedup_counts(df, keys, name)
-    # The order column settles which three come first, so this is a bounded top-n.
-    samples = (
-        find_duplicates(df, keys, order)
-        .orderBy(f"duplicate.{order}")
-        .limit(3)
-        .select(F.struct(F.col(f"duplicate.{order}").alias("position"), KEY, F.to_json("existing").alias("existing"), F.to_json("duplicate").alias("duplicate")).alias("s"))
-        .agg(F.array_sort(F.collect_list("s")).alias("samples"))
+    sample = F.struct(
+        F.col(f"duplicate.{order}").alias("position"),
+        KEY,
+        F.to_json("existing").alias("existing"),
+        F.to_json("duplicate").alias("duplicate"),
+    )
+    # Three rows: a bounded top-n, whatever the number of duplicates.
+    first_three = find_duplicates(df, keys, order).orderBy(f"duplicate.{order}").limit(3)
+    samples = first_three.agg(F.array_sort(F.collect_list(sample)).alias("samples"))
+    both = dedup_counts(df, keys, name).unionByName(
+        samples.withColumn("table_name", F.lit(name)), allowMissingColumns=True
     )
     share = F.format_string("%.2f%%", F.col("removed") / F.col("original") * 100)
-    return counts.crossJoin(samples).select(
-        "table_name",
-        F.col("original").alias("total_records"),
-        F.col("removed").alias("duplicate_count"),
-        F.when(F.col("original") > 0, share).alias("duplicate_percentage"),
-        F.lit(",".join(keys)).alias("deduplication_key"),
-        "samples",
+    return (
+        both.groupBy("table_name")
+        .agg(*[F.max(c).alias(c) for c in ("original", "removed", "samples")])
+        .select(
+            "table_name",
+            F.col("original").alias("total_records"),
+            F.col("removed").alias("duplicate_count"),
+            F.when(F.col("original") > 0, share).alias("duplicate_percentage"),
+            F.lit(",".join(keys)).alias("deduplication_key"),
+            "samples",
+        )
     )
 
 

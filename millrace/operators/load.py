@@ -340,8 +340,8 @@ def write_star(
 
 
 def _point_to(spark: SparkSession, root: str, version: str) -> None:
-    fs, current = hadoop_path(spark, f"{root.rstrip('/')}/_CURRENT")
-    _, staged = hadoop_path(spark, f"{root.rstrip('/')}/_CURRENT.{version}")
+    fs, current = hadoop_path(spark, f"{root.rstrip('/')}/CURRENT")
+    _, staged = hadoop_path(spark, f"{root.rstrip('/')}/CURRENT.{version}")
     stream = fs.create(staged, True)
     try:
         stream.write(bytearray(json.dumps({"version": version}).encode()))
@@ -358,7 +358,7 @@ def _point_to(spark: SparkSession, root: str, version: str) -> None:
 
 def read_star(spark: SparkSession, root: str, catalog: C.Catalog = C.DEFAULT_CATALOG) -> dict[str, DataFrame]:
     """The tables of the current warehouse version."""
-    pointer = spark.read.text(f"{root.rstrip('/')}/_CURRENT", wholetext=True).first()
+    pointer = spark.read.text(f"{root.rstrip('/')}/CURRENT", wholetext=True).first()
     version = json.loads(pointer["value"])["version"]
     tables = {}
     for table in catalog:

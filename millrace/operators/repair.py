@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import dates, text
+from millrace.functions.plans import fence
 from millrace.operators.repairs import RepairContext, RepairRegistry, Repairer, default_repairs
 from millrace.operators.rules import is_text_flag
 from millrace.operators.validate import ERRORS
@@ -93,11 +94,13 @@ def repair(df: DataFrame, registry: RepairRegistry | None = None, as_of=None) ->
     # A struct without fields could not be written, hence the placeholder.
     kept = [F.col(f).cast("string").alias(f) for f in fields] or [F.lit(None).cast("string").alias("_none")]
     original = F.struct(*kept)
-    return out.select(
-        *[c for c in columns],
-        F.when(changed, log).otherwise(none).alias(CHANGES),
-        changed.alias(CHANGED),
-        original.alias(ORIGINAL),
+    return fence(
+        out.select(
+            *columns,
+            F.when(changed, log).otherwise(none).alias(CHANGES),
+            changed.alias(CHANGED),
+            original.alias(ORIGINAL),
+        )
     )
 
 

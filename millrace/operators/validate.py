@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import dates
+from millrace.functions.plans import fence
 from millrace.operators.rules import Finding, RuleContext, RuleRegistry, default_rules
 
 ERRORS = "_errors"
@@ -158,7 +159,7 @@ def validate(
     out = out.withColumns({IS_VALID: ~fails, CAN_FIX: ~blocked})
     out = out.withColumn(ERRORS, _error_list([e for c in checks for e in c.errors()], ~F.col(IS_VALID)))
     return _drop_helpers(
-        out.withColumns(
+        fence(out).withColumns(
             {
                 FIXABLE_ERRORS: F.filter(ERRORS, lambda e: e["rule_can_fix"]),
                 UNFIXABLE_ERRORS: F.filter(ERRORS, lambda e: ~e["rule_can_fix"]),
@@ -215,4 +216,4 @@ def validate_chain(
     fails = _any([c.fails for c in checks]) if checks else F.lit(False)
     out = out.withColumn("_chain_valid", ~fails)
     out = out.withColumn("_chain_errors", _error_list(errors, ~F.col("_chain_valid")))
-    return _drop_helpers(out).select(*df.columns, "_chain_errors", "_chain_valid", "_stopped_at")
+    return _drop_helpers(fence(out)).select(*df.columns, "_chain_errors", "_chain_valid", "_stopped_at")

@@ -25,7 +25,7 @@ from millrace.operators.repair import CHANGED, repair
 from millrace.operators.repairs import RepairRegistry, default_repairs
 from millrace.operators.rules import RuleRegistry, default_rules
 from millrace.operators.validate import IS_VALID, summary_counts, validate
-from millrace.session import for_each
+from millrace.session import cut_lineage, for_each
 from millrace.sources.csv import LINE, read_csv, require_sources
 from millrace.sources.tables import Relational, read_tables
 from millrace.streaming.envelopes import publish
@@ -78,10 +78,12 @@ def plan_star(
     options: Options = Options(),
     loaded_at: Column | None = None,
 ) -> Star:
-    """Staged tables to warehouse frames, without writing any tables but the parents' own."""
-    clean = {
-        name: split_quality(plan_quality(df, catalog[name], options).checked)[0] for name, df in staged.items()
-    }
+    """Staged tables to warehouse frames; clean rows are materialised once, in the checkpoint folder."""
+
+    def clean_table(name: str) -> DataFrame:
+        return cut_lineage(split_quality(plan_quality(staged[name], catalog[name], options).checked)[0])
+
+    clean = dict(zip(staged, for_each(clean_table, staged)))
     return load_star(clean, catalog, on_violation=options.on_violation, loaded_at=loaded_at)
 
 

@@ -71,9 +71,13 @@ def read_page(df: DataFrame, order_by: Sequence[str | Column], limit: int = 1000
     return numbered.where(F.col("__row").between(offset, offset + limit - 1)).drop("__row")
 
 
-def number_rows(df: DataFrame, order_by: Sequence[str | Column], name: str) -> DataFrame:
+def number_rows(
+    df: DataFrame, order_by: Sequence[str | Column], name: str, total: str | None = None
+) -> DataFrame:
     """Consecutive numbers from 0 in a total order, without sorting in one task.
 
+    ``total`` names a column for the number of all rows.
+
     Rows are ranged over tasks and sorted there; the numbers before each range come from the sizes of
     the ranges, one row per task.
     """
@@ -82,9 +86,15 @@ def number_rows(df: DataFrame, order_by: Sequence[str | Column], name: str) -> D
     placed = cut_lineage(ranged.withColumn("__id", F.monotonically_increasing_id()))
     part = F.shiftright("__id", 33)
     sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("n"))
-    # A window without keys runs in one task: it sees one row per task of the range shuffle.
+    # A window without keys runs in one task; it sees one row per task of the range shuffle, and so
+    # few rows are also fit to be broadcast.
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
+    everything = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = sizes.select(
+        "__part",
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"),
+        *([F.sum("n").over(everything).alias(total)] if total is not None else []),
+    )
     return (
         placed.withColumn("__part", part)
         .join(F.broadcast(offsets), "__part")

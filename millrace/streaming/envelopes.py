@@ -34,20 +34,17 @@ def chunk_records(
     """
     if not 0 < size <= MAX_CHUNK:
         raise ValueError(f"a chunk has 1 to {MAX_CHUNK} rows")
-    numbered = number_rows(df, order_by, "__row")
+    numbered = number_rows(df, order_by, "__row", total="__rows")
     fields = [c for c in df.columns if c not in drop]
-    chunks = (
+    return (
         numbered.select(
             (F.floor(F.col("__row") / size) + 1).cast("bigint").alias("batch"),
+            F.ceil(F.col("__rows") / size).cast("bigint").alias("totalBatches"),
             F.struct(F.col("__row").alias("row"), F.struct(*fields).alias("record")).alias("item"),
         )
-        .groupBy("batch")
+        .groupBy("batch", "totalBatches")
         .agg(F.array_sort(F.collect_list("item")).alias("items"))
-    )
-    total = numbered.agg(F.ceil(F.count(F.lit(1)) / size).cast("bigint").alias("totalBatches"))
-    # The total is a single number.
-    return chunks.crossJoin(F.broadcast(total)).select(
-        "batch", "totalBatches", F.transform("items", lambda i: i["record"]).alias("records")
+        .select("batch", "totalBatches", F.transform("items", lambda i: i["record"]).alias("records"))
     )
 
 

@@ -28,11 +28,12 @@ from millrace.session import hadoop_path
 from millrace.streaming.envelopes import ENVELOPE_SCHEMA
 
 REASON = "reason"
+FITS = "fits"
 
 
 @dataclass(frozen=True)
 class StagingArea:
-    """Folders of an ingestion: staged rows, rejected records, unreadable lines, counters."""
+    """Folders of an ingestion: rows, those that fit their table and those that do not; lines; counters."""
 
     root: str
 
@@ -40,10 +41,6 @@ class StagingArea:
     def rows(self) -> str:
         return f"{self.root.rstrip('/')}/rows"
 
-    @property
-    def rejects(self) -> str:
-        return f"{self.root.rstrip('/')}/rejects"
-
     @property
     def dead_letters(self) -> str:
         return f"{self.root.rstrip('/')}/dead_letters"
@@ -123,14 +120,11 @@ def stage_batch(
         folder = f"ingest={stream}-{batch_id}"
         envelopes = parse_envelopes(lines, catalog).persist()
         try:
-            rows = typed_rows(explode_records(envelopes), catalog, order)
-            failed = F.size(UNCASTABLE) > 0
-            rows.where(~failed).drop(UNCASTABLE, "record").write.mode("overwrite").partitionBy(
-                "table_name", C.SOURCE_COLUMN
-            ).parquet(f"{area.rows}/{folder}")
-            rows.where(failed).select(
-                "table_name", C.SOURCE_COLUMN, C.ORDER_COLUMN, UNCASTABLE, "record"
-            ).write.mode("overwrite").parquet(f"{area.rejects}/{folder}")
+            typed_rows(explode_records(envelopes), catalog, order).withColumn(
+                FITS, F.size(UNCASTABLE) == 0
+            ).write.mode("overwrite").partitionBy(FITS, "table_name", C.SOURCE_COLUMN).parquet(
+                f"{area.rows}/{folder}"
+            )
             envelopes.where(F.col(REASON).isNotNull()).select("value", REASON).write.mode("overwrite").parquet(
                 f"{area.dead_letters}/{folder}"
             )
@@ -210,30 +204,48 @@ def read_staged(
     spark: SparkSession, area: StagingArea, catalog: C.Catalog = C.DEFAULT_CATALOG
 ) -> dict[str, DataFrame]:
     """All staging tables of an ingestion; the read prunes to the folders and columns of the table."""
+    rows = _read_rows(spark, area, catalog)
+    if rows is None:
+        return {t.name: empty_staging(spark, t) for t in catalog}
+    return {
+        t.name: rows.where(F.col(FITS) & (F.col("table_name") == t.name)).select(*staged_schema(t).fieldNames())
+        for t in catalog
+    }
+
+
+def _read_rows(spark: SparkSession, area: StagingArea, catalog: C.Catalog) -> DataFrame | None:
     fs, handle = hadoop_path(spark, area.rows)
     if not fs.exists(handle):
-        return {t.name: empty_staging(spark, t) for t in catalog}
+        return None
+    lineage = [
+        T.StructField(C.INSERTED_AT_COLUMN, T.StringType()),
+        T.StructField(C.ORDER_COLUMN, T.LongType()),
+        T.StructField(UNCASTABLE, T.ArrayType(T.StringType())),
+        T.StructField("record", T.StringType()),
+    ]
     partitions = [
         T.StructField("ingest", T.StringType()),
+        T.StructField(FITS, T.BooleanType()),
         T.StructField("table_name", T.StringType()),
         T.StructField(C.SOURCE_COLUMN, T.StringType()),
     ]
-    lineage = [T.StructField(C.INSERTED_AT_COLUMN, T.StringType()), T.StructField(C.ORDER_COLUMN, T.LongType())]
     wide = [T.StructField(name, dtype) for name, dtype in catalog.wide_columns.items()]
-    everything = spark.read.schema(T.StructType([*wide, *lineage, *partitions])).parquet(area.rows)
-    return {
-        t.name: everything.where(F.col("table_name") == t.name).select(*staged_schema(t).fieldNames())
-        for t in catalog
-    }
+    return spark.read.schema(T.StructType([*wide, *lineage, *partitions])).parquet(area.rows)
 
 
 def read_dead_letters(spark: SparkSession, area: StagingArea) -> DataFrame:
     return spark.read.schema("value string, reason string, ingest string").parquet(area.dead_letters)
 
 
-def read_rejects(spark: SparkSession, area: StagingArea) -> DataFrame:
-    schema = f"table_name string, source string, {C.ORDER_COLUMN} bigint, {UNCASTABLE} array<string>, record string, ingest string"
-    return spark.read.schema(schema).parquet(area.rejects)
+def read_rejects(spark: SparkSession, area: StagingArea, catalog: C.Catalog = C.DEFAULT_CATALOG) -> DataFrame:
+    """Records that do not fit their table, as text, with the columns at fault."""
+    columns = ["table_name", C.SOURCE_COLUMN, C.ORDER_COLUMN, UNCASTABLE, "record"]
+    rows = _read_rows(spark, area, catalog)
+    if rows is None:
+        return spark.createDataFrame(
+            [], f"table_name string, source string, {C.ORDER_COLUMN} bigint, {UNCASTABLE} array<string>, record string"
+        )
+    return rows.where(~F.col(FITS)).select(*columns)
 
 
 def ingest_counters(spark: SparkSession, area: StagingArea) -> DataFrame:
