@@ -42,13 +42,11 @@ def mark_references(df: DataFrame, parents: Mapping[str, DataFrame], unique: boo
     a shuffle beyond that, where a hot key can be split on the side of the children. ``unique`` says
     that the keys are known to be distinct.
     """
-    rest = [F.col(c) for c in df.columns]
     ok = F.lit(True)
     for i, (column, keys) in enumerate(parents.items()):
         found = keys.select(F.col(keys.columns[0]).alias("__pk"))
-        found = found if unique else found.distinct()
         missing = _missing(df, column)
-        matched = _spread_join(df, found, {column: "__pk"}, missing, "left_outer", rest)
+        matched = _spread_join(df, found, {column: "__pk"}, missing, "left_outer", distinct=not unique)
         df = matched.withColumn(f"__ok{i}", missing | F.col("__pk").isNotNull()).drop("__pk")
         ok = ok & F.col(f"__ok{i}")
     marks = [f"__ok{i}" for i in range(len(parents))]
@@ -66,17 +64,21 @@ def _spread_join(
     on: Mapping[str, str],
     missing: Column,
     how: str,
-    spread_by: Sequence[Column],
+    distinct: bool = False,
 ) -> DataFrame:
     """An equi-join in which rows that cannot match do not all hash to one task.
 
     A second join key is zero where a match is possible and a positive bucket of the row elsewhere;
     the right side only has zeros, computed so that the planner does not fold them away.
     """
+    # The position of a row is the narrowest thing that tells rows apart.
+    spread_by = [C.ORDER_COLUMN] if C.ORDER_COLUMN in df.columns else df.columns
     bucket = F.when(missing, F.pmod(F.xxhash64(*spread_by), F.lit(_SPREAD)).cast("int") + 1).otherwise(F.lit(0))
     zero = F.pmod(F.hash(*[F.col(r) for r in on.values()]), F.lit(1))
     left = df.withColumn("__lb", bucket)
     other = right.withColumn("__rb", zero)
+    # Made distinct together with the bucket, so that the join can use the same partitioning.
+    other = other.distinct() if distinct else other
     condition = F.col("__lb") == F.col("__rb")
     for l, r in on.items():
         condition = condition & (F.col(l) == F.col(r))
@@ -121,8 +123,7 @@ def _without_taken(df: DataFrame, target: DataFrame, key: Sequence[str]) -> Data
     """Rows whose key is not in the target; a key with a null is never taken."""
     renamed = {k: f"__t_{k}" for k in key}
     taken = target.dropna(subset=list(key)).select(*[F.col(k).alias(t) for k, t in renamed.items()])
-    spread_by = [F.col(c) for c in df.columns]
-    return _spread_join(df, taken, renamed, _incomplete(key), "left_anti", spread_by)
+    return _spread_join(df, taken, renamed, _incomplete(key), "left_anti")
 
 
 def _first_per_key(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
