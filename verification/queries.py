@@ -79,7 +79,7 @@ def scan_filter(spark, sf_dir):
 @query
 def scan_page(spark, sf_dir):
     df = I.read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return table_source.read_page(df, ["o_orderkey"], limit=1000, offset=2000)
+    return table_source.read_page(df, ["o_orderkey"], limit=1000, offset=700)
 
 
 @query
