@@ -176,8 +176,9 @@ ORDERS = """SELECT CAST(o_orderkey AS BIGINT) AS _seq, 'DH' || CAST(o_orderkey A
     "{status}", _ORDER_STATUS.replace("{k}", "o_orderkey")
 )
 
-# Line numbers repeat within an order, so the position counts part and supplier too.
-ITEMS = """SELECT CAST(((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS BIGINT) AS _seq, 'DH' || CAST(l_orderkey AS STRING) AS ma_don_hang,
+# Line numbers repeat within an order, so the position counts the price of the line too.
+ITEMS = """SELECT CAST((l_orderkey * 8 + l_linenumber) * 1000000 + floor(l_extendedprice) AS BIGINT) AS _seq,
+    'DH' || CAST(l_orderkey AS STRING) AS ma_don_hang,
     'SP' || CAST(l_partkey AS STRING) AS ma_san_pham,
     CAST(CASE l_linenumber % 3 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE l_quantity END AS INT) AS so_luong,
     CAST(floor(l_extendedprice) AS DECIMAL(12, 2)) AS don_gia, 'postgresql' AS source FROM {lineitem}"""
