@@ -52,10 +52,17 @@ def _rank(c: Column, dtype: T.DataType) -> Column:
     return F.when(present, 0).when(c.isNotNull(), 1).otherwise(2)
 
 
-def _merged(df: DataFrame, column: str, order: Column) -> Column:
+# Arrival positions stay below this, so that a multiple of it can rank values before positions do.
+_FAR = 1 << 61
+
+
+def _merged(df: DataFrame, column: str, order: str) -> Column:
     """The value a sequential fold would leave: the first present one, else what the first row has."""
-    c = F.col(column)
-    return F.min_by(c, F.struct(_rank(c, df.schema[column].dataType), order))
+    c, position = F.col(column), F.col(order)
+    if not isinstance(df.schema[order].dataType, (T.IntegerType, T.LongType)):
+        return _best(df, column, position)["value"]
+    # Rank and position as one number are much cheaper to compare than as a pair.
+    return F.min_by(c, position + _rank(c, df.schema[column].dataType) * F.lit(_FAR))
 
 
 def dedup_merge(
@@ -80,7 +87,7 @@ def dedup_merge(
     if not tracked or sources is not None:
         firsts = {s: F.min(F.when(F.col(source) == s, position)) for s in (sources or [])} if tracked else {}
         out = keyed.groupBy(KEY).agg(
-            *[_merged(df, c, position).alias(c) for c in values],
+            *[_merged(df, c, order).alias(c) for c in values],
             F.min(position).alias(order),
             F.count(F.lit(1)).alias(GROUP_SIZE),
             *[first.alias(f"__first_{i}") for i, first in enumerate(firsts.values())],

@@ -78,23 +78,33 @@ def _suggest(rule: str) -> Column:
     return F.lit(C.SUGGESTIONS[rule])
 
 
+# Characters no name may have, as they stand inside a character class.
+NAME_SPECIAL = r"""!@#$%^&*()_+=\[\]{};':"\\|,.<>?"""
+# A word that starts with a character of a kind some of which have a capital form of their own.
+_UNCAPITAL_WORD = rf"(?:^|[{WS}])[\p{{Ll}}\p{{Lt}}\p{{Nl}}\p{{So}}\p{{Mn}}]"
+
+
 class NameRule(Rule):
     def __init__(self, field: str = "ho_ten"):
         self.field = field
 
     def prepare(self, value, context):
+        # Most names pass, so one test each tells whether the finer ones are needed at all.
         return [
             {"t": text.trim_to_null(value.cast("string"))},
-            {"initials": lambda h: text.word_initials(h["t"])},
+            {
+                "odd": lambda h: h["t"].rlike(rf"[0-9{NAME_SPECIAL}]"),
+                "initials": lambda h: F.when(h["t"].rlike(_UNCAPITAL_WORD), text.word_initials(h["t"])),
+            },
         ]
 
     def findings(self, value, helper, context):
-        t, initials = helper["t"], helper["initials"]
+        t, odd, initials = helper["t"], helper["odd"], helper["initials"]
         one_letter_word = f"(?:^|[{WS}])[^{WS}\\x{{10000}}-\\x{{10FFFF}}](?:[{WS}]|\\z)"
         return [
             Finding("name_blank", C.NULL_VALUE, t.isNull(), value),
-            Finding("name_digits", C.INVALID_FORMAT, t.rlike("[0-9]"), t),
-            Finding("name_special", C.INVALID_FORMAT, t.rlike(r"""[!@#$%^&*()_+=\[\]{};':"\\|,.<>?]"""), t),
+            Finding("name_digits", C.INVALID_FORMAT, odd & t.rlike("[0-9]"), t),
+            Finding("name_special", C.INVALID_FORMAT, odd & t.rlike(f"[{NAME_SPECIAL}]"), t),
             Finding("name_length", C.OUT_OF_RANGE, F.length(t) > C.MAX_NAME_LENGTH, t),
             Finding(
                 "name_min_words", C.INVALID_FORMAT, ~t.rlike(f"[{WS}]"), t, True, _suggest("name_min_words")
@@ -118,18 +128,22 @@ class EmailRule(Rule):
         self.field = field
 
     def prepare(self, value, context):
-        return [{"t": F.lower(text.trim_to_null(value.cast("string")))}]
+        return [
+            {"t": F.lower(text.trim_to_null(value.cast("string")))},
+            {"wrong": lambda h: ~h["t"].rlike(C.EMAIL_PATTERN)},
+        ]
 
     def findings(self, value, helper, context):
-        t = helper["t"]
+        # What the pattern admits has no space, one @ between two sides, a dot and no odd character.
+        t, wrong = helper["t"], helper["wrong"]
         return [
             Finding("email_blank", C.NULL_VALUE, t.isNull(), value),
-            Finding("email_pattern", C.INVALID_FORMAT, ~t.rlike(C.EMAIL_PATTERN), t),
+            Finding("email_pattern", C.INVALID_FORMAT, wrong, t),
             Finding("email_length", C.OUT_OF_RANGE, F.length(t) > C.MAX_EMAIL_LENGTH, t),
-            Finding("email_space", C.INVALID_FORMAT, t.rlike(f"[{WS}]"), t, True, _suggest("email_space")),
-            Finding("email_sides", C.INVALID_FORMAT, t.rlike(r"(?s)\A@|@\z|@.*@"), t),
-            Finding("email_domain", C.INVALID_FORMAT, t.rlike(r"\A[^@]*@[^@.]+(?:@|\z)"), t),
-            Finding("email_chars", C.INVALID_FORMAT, t.rlike(r'[<>()\[\]\\,;:"]'), t),
+            Finding("email_space", C.INVALID_FORMAT, wrong & t.rlike(f"[{WS}]"), t, True, _suggest("email_space")),
+            Finding("email_sides", C.INVALID_FORMAT, wrong & t.rlike(r"(?s)\A@|@\z|@.*@"), t),
+            Finding("email_domain", C.INVALID_FORMAT, wrong & t.rlike(r"\A[^@]*@[^@.]+(?:@|\z)"), t),
+            Finding("email_chars", C.INVALID_FORMAT, wrong & t.rlike(r'[<>()\[\]\\,;:"]'), t),
         ]
 
 

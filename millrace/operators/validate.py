@@ -38,16 +38,17 @@ class _Check:
     fixable: Column
 
     def errors(self, unless: Column | None = None) -> list[Column]:
+        field, fixable = F.lit(self.field).alias("field"), self.fixable.alias("rule_can_fix")
         built = []
         for finding, fires in zip(self.findings, self.fires):
             error = F.struct(
                 F.lit(finding.code).alias("code"),
-                F.lit(self.field).alias("field"),
+                field,
                 F.lit(finding.rule).alias("rule"),
                 F.lit(finding.text()).alias("message"),
                 finding.value.cast("string").alias("value"),
                 _as_column(finding.can_fix).alias("can_fix"),
-                self.fixable.alias("rule_can_fix"),
+                fixable,
                 _or_null(finding.suggestion).alias("suggestion"),
                 _or_null(finding.suggested_value).alias("suggested_value"),
             )

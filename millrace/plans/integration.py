@@ -24,10 +24,17 @@ from millrace.operators.quality import audit_rows, metrics_frame, quarantine_row
 from millrace.operators.repair import CHANGED, repair
 from millrace.operators.repairs import RepairRegistry, default_repairs
 from millrace.operators.rules import RuleRegistry, default_rules
-from millrace.operators.validate import IS_VALID, summary_counts, validate
+from millrace.operators.validate import (
+    FIELDS_VALIDATED,
+    FIXABLE_ERRORS,
+    IS_VALID,
+    UNFIXABLE_ERRORS,
+    summary_counts,
+    validate,
+)
 from millrace.session import cut_lineage, for_each
-from millrace.sources.csv import LINE, read_csv, require_sources
-from millrace.sources.tables import Relational, read_tables
+from millrace.sources.csv import read_csv, require_sources
+from millrace.sources.tables import LINE, Relational, arrival_order, read_tables
 from millrace.streaming.envelopes import publish
 from millrace.streaming.ingest import StagingArea, ingest, ingest_counters, read_staged
 
@@ -135,6 +142,8 @@ def run_quality(
         checked = validate(repaired, rules, **kw).observe(
             second, F.count_if(F.col(IS_VALID)).alias("clean"), F.count_if(~F.col(IS_VALID)).alias("still_invalid")
         )
+        # Both splits of the error list can be had from the list.
+        checked = checked.drop(FIXABLE_ERRORS, UNFIXABLE_ERRORS, FIELDS_VALIDATED)
         path = f"{root}/checked/{name}"
         checked.write.mode("overwrite").parquet(path)
         written = spark.read.schema(checked.schema).parquet(path)
@@ -181,15 +190,17 @@ def run(
     landing, area = f"{root}/landing", StagingArea(f"{root}/staging")
     if relational is not None:
         names = catalog.by_source(C.RELATIONAL)
-        order = {n: [F.col(k) for k in catalog[n].primary_key] for n in names}
-        publish(read_tables(spark, relational, names), C.RELATIONAL, landing, order, chunk)
+        tables = read_tables(spark, relational, names, position=True)
+        order = {n: arrival_order(df, catalog[n].primary_key) for n, df in tables.items()}
+        publish(tables, C.RELATIONAL, landing, order, chunk, drop=[LINE])
     if csv_root is not None:
         names = catalog.by_source(C.CSV)
         files = {n: f"{csv_root.rstrip('/')}/{n}.csv" for n in names}
         require_sources(spark, list(files.values()))
         frames = for_each(lambda n: read_csv(spark, files[n], position=True), names)
         tables = dict(zip(names, frames))
-        publish(tables, C.CSV, landing, {n: [F.col(LINE)] for n in names}, chunk, drop=[LINE])
+        order = {n: arrival_order(df, catalog[n].primary_key) for n, df in tables.items()}
+        publish(tables, C.CSV, landing, order, chunk, drop=[LINE])
     ingest(spark, landing, f"{root}/checkpoints", area, catalog=catalog)
 
     clean, metrics = run_quality(spark, read_staged(spark, area, catalog), root, catalog, options)

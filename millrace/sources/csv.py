@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 
 from millrace.functions import text
 from millrace.session import hadoop_path
+from millrace.sources.tables import LINE
 
 _SHORT = "__malformed"
-LINE = "_line"
 
 
 def _options(multiline: bool) -> dict[str, str]:

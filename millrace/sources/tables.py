@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from millrace.session import cut_lineage
 
+LINE = "_line"
+
 # A page that ends within this many rows is cut by a bounded top-n; a later one by row numbers.
 TOP_N_LIMIT = 100_000
 
@@ -36,16 +38,21 @@ def read_table(
     name: str,
     where: str | Column | None = None,
     args: Mapping[str, object] | None = None,
+    position: bool = False,
 ) -> DataFrame:
     """All rows of a table, or those of a condition; the condition reaches the source.
 
-    A text condition may name parameters as ``:name``, bound from ``args``.
+    A text condition may name parameters as ``:name``, bound from ``args``. ``position`` adds
+    ``_line``, which orders rows as they stand in their files, where the source has files.
     """
     if source.kind == "jdbc":
         reader = spark.read.format("jdbc").options(**source.options).option("dbtable", name)
         df = reader.options(**source.partitions.get(name, {})).load()
     elif source.kind == "parquet":
         df = spark.read.parquet(f"{source.root.rstrip('/')}/{name}.parquet")
+        if position:
+            place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+            df = df.select("*", place.alias(LINE))
     elif source.kind == "table":
         df = spark.table(f"{source.root}.{name}" if source.root else name)
     else:
@@ -57,8 +64,17 @@ def read_table(
     return spark.sql(f"SELECT * FROM {{df}} WHERE {where}", args=dict(args or {}), df=df)
 
 
-def read_tables(spark: SparkSession, source: Relational, names: Sequence[str]) -> dict[str, DataFrame]:
-    return {name: read_table(spark, source, name) for name in names}
+def read_tables(
+    spark: SparkSession, source: Relational, names: Sequence[str], position: bool = False
+) -> dict[str, DataFrame]:
+    return {name: read_table(spark, source, name, position=position) for name in names}
+
+
+def arrival_order(df: DataFrame, key: Sequence[str]) -> list[Column]:
+    """What a frame is published in the order of: its lines, else its key and, for ties, all columns."""
+    if LINE in df.columns:
+        return [F.col(LINE)]
+    return [F.col(c) for c in dict.fromkeys([*key, *df.columns])]
 
 
 def read_page(df: DataFrame, order_by: Sequence[str | Column], limit: int = 1000, offset: int = 0) -> DataFrame:
@@ -79,9 +95,12 @@ def number_rows(
     ``total`` names a column for the number of all rows.
 
     Rows are ranged over tasks and sorted there; the numbers before each range come from the sizes of
-    the ranges, one row per task.
+    the ranges, one row per task. Rows the order leaves equal are told apart by their content, and
+    copies of one row by their place, so that any number of them can be cut into ranges.
     """
-    ranged = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    tied = df.withColumn("__content", F.xxhash64(*df.columns)).withColumn("__place", F.monotonically_increasing_id())
+    full_order = [*order_by, "__content", "__place"]
+    ranged = tied.repartitionByRange(*full_order).sortWithinPartitions(*full_order).drop("__content", "__place")
     # The id counts up within a partition, and its upper bits name the partition.
     placed = cut_lineage(ranged.withColumn("__id", F.monotonically_increasing_id()))
     part = F.shiftright("__id", 33)
