@@ -42,7 +42,7 @@ class Finding:
     fires: Column
     value: Column
     can_fix: Column | bool = False
-    suggestion: Column | None = None
+    suggestion: Column | str | None = None
     suggested_value: Column | None = None
     message: str | None = None
 
@@ -74,8 +74,10 @@ class ColumnRule(Rule):
         return self.function(value, context)
 
 
-def _suggest(rule: str) -> Column:
-    return F.lit(C.SUGGESTIONS[rule])
+def _suggest(rule: str, value: Column | None = None) -> Column | str:
+    """What an error proposes to do, followed by the value it proposes, if any."""
+    words = C.SUGGESTIONS[rule]
+    return words if value is None else F.concat(F.lit(words), value)
 
 
 # Characters no name may have, as they stand inside a character class.
@@ -235,7 +237,7 @@ class BirthDateRule(Rule):
                 day.isNotNull() & nonstandard,
                 shown,
                 True,
-                F.concat(_suggest("dob_format"), standard),
+                _suggest("dob_format", standard),
                 standard,
             ),
         ]
@@ -328,7 +330,7 @@ class StatusRule(Rule):
                 t.isNotNull() & known.isNull(),
                 t,
                 guess.isNotNull(),
-                F.concat(_suggest("status_unknown"), guess),
+                _suggest("status_unknown", guess),
                 guess,
             ),
             Finding(
@@ -337,7 +339,7 @@ class StatusRule(Rule):
                 known != t,
                 t,
                 True,
-                F.concat(_suggest("status_case"), known),
+                _suggest("status_case", known),
                 known,
             ),
         ]

@@ -27,48 +27,57 @@ ERROR_TYPE = (
 _HELPER = "__v"
 
 
+def _name(field: str, part: str) -> str:
+    return f"{_HELPER}_{field}_{part}"
+
+
+def _text(value: str | None) -> str:
+    """A string literal; whole layers are written as one SQL text, which keeps plan building quick."""
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class _Check:
-    """One rule whose conditions are already columns of the frame."""
+    """One rule whose conditions and values are already columns of the frame."""
 
     field: str
     findings: tuple[Finding, ...]
-    fires: tuple[Column, ...]
-    fails: Column
-    fixable: Column
-
-    def errors(self, unless: Column | None = None) -> list[Column]:
-        field, fixable = F.lit(self.field).alias("field"), self.fixable.alias("rule_can_fix")
-        built = []
-        for finding, fires in zip(self.findings, self.fires):
-            error = F.struct(
-                F.lit(finding.code).alias("code"),
-                field,
-                F.lit(finding.rule).alias("rule"),
-                F.lit(finding.text()).alias("message"),
-                finding.value.cast("string").alias("value"),
-                _as_column(finding.can_fix).alias("can_fix"),
-                fixable,
-                _or_null(finding.suggestion).alias("suggestion"),
-                _or_null(finding.suggested_value).alias("suggested_value"),
-            )
-            built.append(F.when(fires if unless is None else fires & ~unless, error))
-        return built
+    # For each finding the SQL of its value, can_fix, suggestion and suggested value.
+    parts: tuple[tuple[str, str, str, str], ...]
 
+    @property
+    def fails(self) -> str:
+        return f"`{_name(self.field, 'fails')}`"
 
-def _as_column(value: Column | bool) -> Column:
-    return value if isinstance(value, Column) else F.lit(value)
+    @property
+    def fixable(self) -> str:
+        return f"`{_name(self.field, 'fixable')}`"
 
+    def fires(self, i: int) -> str:
+        return f"`{_name(self.field, f'fires{i}')}`"
 
-def _or_null(value: Column | None) -> Column:
-    return value.cast("string") if value is not None else F.lit(None).cast("string")
+    def fails_sql(self) -> str:
+        return " OR ".join(self.fires(i) for i in range(len(self.findings))) or "false"
 
+    def fixable_sql(self) -> str:
+        blocking = [
+            f"({self.fires(i)} AND NOT {can_fix})" for i, (_, can_fix, _, _) in enumerate(self.parts) if can_fix != "true"
+        ]
+        return f"NOT ({' OR '.join(blocking)})" if blocking else "true"
 
-def _any(conditions: Sequence[Column]) -> Column:
-    result = conditions[0]
-    for condition in conditions[1:]:
-        result = result | condition
-    return result
+    def errors(self, unless: str | None = None) -> list[str]:
+        built = []
+        for i, (finding, (value, can_fix, suggestion, suggested)) in enumerate(zip(self.findings, self.parts)):
+            condition = self.fires(i) if unless is None else f"{self.fires(i)} AND NOT {unless}"
+            built.append(
+                f"CASE WHEN {condition} THEN named_struct('code', {_text(finding.code)}, 'field', {_text(self.field)}, "
+                f"'rule', {_text(finding.rule)}, 'message', {_text(finding.text())}, 'value', {value}, "
+                f"'can_fix', {can_fix}, 'rule_can_fix', {self.fixable}, 'suggestion', {suggestion}, "
+                f"'suggested_value', {suggested}) END"
+            )
+        return built
 
 
 def _prepare(
@@ -89,33 +98,40 @@ def _prepare(
                 continue
             names = {}
             for name, expression in steps[f][depth].items():
-                column = expression(helpers[f]) if callable(expression) else expression
-                added[f"{_HELPER}_{f}_{name}"] = column
-                names[name] = F.col(f"{_HELPER}_{f}_{name}")
+                added[_name(f, name)] = expression(helpers[f]) if callable(expression) else expression
+                names[name] = F.col(_name(f, name))
             helpers[f].update(names)
         df = df.withColumns(added)
 
-    findings = {f: tuple(rule.findings(F.col(f), helpers[f], context)) for f, rule in rules.items()}
-    flags = {
-        f"{_HELPER}_{f}_fires{i}": F.coalesce(finding.fires, F.lit(False))
-        for f in fields
-        for i, finding in enumerate(findings[f])
-    }
-    df = df.withColumns(flags) if flags else df
-    verdicts, checks = {}, []
-    for f in fields:
-        fires = tuple(F.col(f"{_HELPER}_{f}_fires{i}") for i in range(len(findings[f])))
-        blocking = [
-            flag if finding.can_fix is False else flag & ~finding.can_fix
-            for flag, finding in zip(fires, findings[f])
-            if finding.can_fix is not True
-        ]
-        verdicts[f"{_HELPER}_{f}_fails"] = _any(fires) if fires else F.lit(False)
-        verdicts[f"{_HELPER}_{f}_fixable"] = ~_any(blocking) if blocking else F.lit(True)
-        checks.append(
-            _Check(f, findings[f], fires, F.col(f"{_HELPER}_{f}_fails"), F.col(f"{_HELPER}_{f}_fixable"))
+    flags: dict[str, Column] = {}
+    checks: list[_Check] = []
+    never = F.lit(False)
+    for f, rule in rules.items():
+        findings = tuple(rule.findings(F.col(f), helpers[f], context))
+        slots: dict[int, str] = {}
+
+        def slot(part: Column | str | bool | None, cast: bool = True, f=f, slots=slots) -> str:
+            """The SQL of one part of an error: a literal, or the helper column that holds it."""
+            if isinstance(part, bool):
+                return str(part).lower()
+            if part is None or isinstance(part, str):
+                return _text(part)
+            if id(part) not in slots:
+                slots[id(part)] = _name(f, f"part{len(slots)}")
+                flags[slots[id(part)]] = part.cast("string") if cast else F.coalesce(part, never)
+            return f"`{slots[id(part)]}`"
+
+        parts = tuple(
+            (slot(x.value), slot(x.can_fix, cast=False), slot(x.suggestion), slot(x.suggested_value)) for x in findings
         )
-    return (df.withColumns(verdicts) if verdicts else df), checks
+        for i, finding in enumerate(findings):
+            flags[_name(f, f"fires{i}")] = F.coalesce(finding.fires, never)
+        checks.append(_Check(f, findings, parts))
+    verdicts = {}
+    for check in checks:
+        verdicts[_name(check.field, "fails")] = F.expr(check.fails_sql())
+        verdicts[_name(check.field, "fixable")] = F.expr(check.fixable_sql())
+    return (df.withColumns(flags).withColumns(verdicts) if checks else df), checks
 
 
 def _drop_helpers(df: DataFrame) -> DataFrame:
@@ -128,12 +144,14 @@ def _context(df: DataFrame, as_of, status_context: str, table: str | None) -> Ru
     return RuleContext(df.schema, dates.as_of_column(as_of), status_context, table)
 
 
-def _error_list(built: Sequence[Column], any_fails: Column) -> Column:
-    empty = F.array().cast(f"array<{ERROR_TYPE}>")
+def _error_list(built: Sequence[str], passes: str) -> Column:
+    empty = f"CAST(array() AS array<{ERROR_TYPE}>)"
     if not built:
-        return empty
+        return F.expr(empty)
     # Rows without a failure, which are most, skip building the list.
-    return F.when(any_fails, F.filter(F.array(*built), lambda e: e.isNotNull())).otherwise(empty)
+    return F.expr(
+        f"CASE WHEN `{passes}` THEN {empty} ELSE filter(array({', '.join(built)}), e -> e IS NOT NULL) END"
+    )
 
 
 def validate(
@@ -155,10 +173,10 @@ def validate(
     checked = [f for f in wanted if registry.has(f) and f in df.columns]
     out, checks = _prepare(df, checked, registry, _context(df, as_of, status_context, table))
 
-    fails = _any([c.fails for c in checks]) if checks else F.lit(False)
-    blocked = _any([c.fails & ~c.fixable for c in checks]) if checks else F.lit(False)
-    out = out.withColumns({IS_VALID: ~fails, CAN_FIX: ~blocked})
-    out = out.withColumn(ERRORS, _error_list([e for c in checks for e in c.errors()], ~F.col(IS_VALID)))
+    fails = " OR ".join(c.fails for c in checks) or "false"
+    blocked = " OR ".join(f"({c.fails} AND NOT {c.fixable})" for c in checks) or "false"
+    out = out.withColumns({IS_VALID: F.expr(f"NOT ({fails})"), CAN_FIX: F.expr(f"NOT ({blocked})")})
+    out = out.withColumn(ERRORS, _error_list([e for c in checks for e in c.errors()], IS_VALID))
     return _drop_helpers(
         fence(out).withColumns(
             {
@@ -207,14 +225,16 @@ def validate_chain(
     out, checks = _prepare(base, list(dict.fromkeys(order)), registry, context)
     by_field = {c.field: c for c in checks}
 
-    stops = [F.when(by_field[f].fails & ~by_field[f].fixable, F.lit(f)) for f in order]
-    out = out.withColumn("_stopped_at", F.coalesce(*stops) if stops else F.lit(None).cast("string"))
-    errors: list[Column] = []
+    stops = " ".join(
+        f"WHEN {by_field[f].fails} AND NOT {by_field[f].fixable} THEN {_text(f)}" for f in dict.fromkeys(order)
+    )
+    out = out.withColumn("_stopped_at", F.expr(f"CASE {stops} END" if stops else _text(None)))
+    errors: list[str] = []
     for i, f in enumerate(order):
-        before = order[:i]
-        stopped = F.coalesce(F.col("_stopped_at").isin(*before), F.lit(False)) if before else None
+        before = ", ".join(_text(x) for x in order[:i])
+        stopped = f"coalesce(`_stopped_at` IN ({before}), false)" if before else None
         errors += by_field[f].errors(unless=stopped)
-    fails = _any([c.fails for c in checks]) if checks else F.lit(False)
-    out = out.withColumn("_chain_valid", ~fails)
-    out = out.withColumn("_chain_errors", _error_list(errors, ~F.col("_chain_valid")))
+    fails = " OR ".join(c.fails for c in checks) or "false"
+    out = out.withColumn("_chain_valid", F.expr(f"NOT ({fails})"))
+    out = out.withColumn("_chain_errors", _error_list(errors, "_chain_valid"))
     return _drop_helpers(fence(out)).select(*df.columns, "_chain_errors", "_chain_valid", "_stopped_at")

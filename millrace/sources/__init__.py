@@ -1 +1 @@
-
+"""Readers for tables and CSV files."""

@@ -1 +1 @@
-
+"""Envelopes and their ingestion."""
