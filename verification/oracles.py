@@ -236,7 +236,6 @@ def merged_customers(rows: str = "khach_hang", key: str = EMAIL_KEY) -> str:
     texts = ", ".join(first_text(c) for c in CUSTOMER_TEXTS)
     return f"""SELECT min(_seq) AS _seq, {texts}, {first_value('ngay_sinh')}, {first_value('ngay_dang_ky')},
         count(*) AS group_size,
-        CASE WHEN count(*) > 1 THEN array_to_string(list_distinct(list(source ORDER BY _seq)), ',') END AS unordered_sources,
         min(_seq) FILTER (WHERE source = 'postgresql') AS first_pg, min(_seq) FILTER (WHERE source = 'csv') AS first_csv
       FROM {rows} GROUP BY {key}"""
 
@@ -310,12 +309,6 @@ def judged_by(domain: str, rows: str, name: str) -> str:
     {name} AS (SELECT r.*, j.t, j.known, j.near FROM {rows} r JOIN judged j ON j.id = coalesce(r.trang_thai, '?'))"""
 
 
-def _again_status(c: str) -> Findings:
-    """After repair a status is valid exactly when it is a listed spelling."""
-    listed = ", ".join(f"'{v}'" for v in dict.fromkeys(ORDER_DOMAIN))
-    return Findings(("status", "E", f"{c} IS NULL OR trim({c}) NOT IN ({listed})", "false"))
-
-
 def counts(valid_condition: str, can_fix: str) -> str:
     return (
         f"count(*) AS total, count(*) FILTER (WHERE {valid_condition}) AS valid, count(*) FILTER (WHERE NOT ({valid_condition})) AS invalid, "
@@ -332,10 +325,6 @@ def _customer_valid(dob: Findings) -> tuple[str, str]:
 # ---- the star -----------------------------------------------------------------------------------
 
 
-def _in_domain(c: str, domain: list[str]) -> str:
-    return f"trim({c}) IN (" + ", ".join(f"'{v}'" for v in dict.fromkeys(domain)) + ")"
-
-
 def _fixed(c: str, domain: list[str]) -> str:
     """Whether a status ends up valid: it is listed in some case, or close to a listed one."""
     listed = ", ".join(f"'{v.lower()}'" for v in dict.fromkeys(domain))
@@ -350,9 +339,6 @@ def star_ctes() -> str:
     pre = source_prefixed
     valid_customer, _ = _customer_valid(AGAIN_DOB)
 
-    def keyed(name: str, columns: str) -> str:
-        return f"in_{name} AS (SELECT {columns} FROM {name})"
-
     def unmatched(parent: str, column: str, key: str) -> str:
         return f"({column} IS NOT NULL AND {column} <> '' AND NOT EXISTS (SELECT 1 FROM dw_{parent} p WHERE p.{key} = c.{column}))"
 
@@ -361,7 +347,6 @@ def star_ctes() -> str:
         return f"skip_{name} AS (SELECT * FROM ({clean}) c WHERE {bad}), dw_{name} AS (SELECT * FROM ({clean}) c WHERE NOT ({bad}))"
 
     agent_name_fixable = f"({name_findings().any()} AND NOT {name_findings().blocked()})"
-    agent_name = Findings(*name_findings("coalesced").items)
     parts = [
         src(*I.STAR),
         # customers: the merged row keeps the id of its first source
@@ -377,7 +362,7 @@ def star_ctes() -> str:
         ),
         f"""dw_nhanvien_cskh AS (SELECT 'CSV_' || ma_nhan_vien AS ma_nhan_vien FROM (
             SELECT *, CASE WHEN {agent_name_fixable} THEN {tidy_name('ho_ten')} ELSE ho_ten END AS coalesced FROM nhanvien_cskh)
-            WHERE NOT {agent_name.any()} AND NOT {email_findings().any()} AND {_fixed('trang_thai', AGENT_DOMAIN)}
+            WHERE NOT {name_findings('coalesced').any()} AND NOT {email_findings().any()} AND {_fixed('trang_thai', AGENT_DOMAIN)}
             QUALIFY row_number() OVER (PARTITION BY email ORDER BY _seq) = 1)""",
         child(
             "don_hang",

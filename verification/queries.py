@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace import catalog as C
 from millrace.operators import dedup, keys, load, quality, repair, repairs, rules, staging, validate
