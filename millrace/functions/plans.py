@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,3 +16,13 @@ def fence(df: DataFrame) -> DataFrame:
     count observed on the way stops this; unused columns are still pruned through it.
     """
     return df.observe(f"fence-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+
+
+def zero_of(*columns: str) -> Column:
+    """Zero, computed from columns so that the planner takes it for a value like any other.
+
+    As a further join key on a side that an aggregation has already partitioned, it makes the planner
+    exchange that side for the join itself. Adaptive execution splits hot keys only of a join that
+    reads straight from exchanges.
+    """
+    return F.pmod(F.hash(*[F.col(c) for c in columns]), F.lit(1))

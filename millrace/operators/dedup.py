@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from millrace import catalog as C
 from millrace.functions import text
+from millrace.functions.plans import zero_of
 
 KEY = "_key"
 SOURCES = "_sources"
@@ -205,10 +206,11 @@ def find_duplicates(df: DataFrame, keys: Sequence[str], order: str = C.ORDER_COL
         .agg(F.min_by(row, order).alias("existing"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
         .drop("n")
+        .withColumn("__zero", zero_of(KEY))
     )
-    rows = keyed.select(KEY, row.alias("duplicate"))
+    rows = keyed.select(KEY, row.alias("duplicate"), zero_of(KEY).alias("__zero"))
     # A large group is one row on the side of the firsts, so the join can split its other side.
-    return rows.join(firsts, KEY).where(F.col(f"duplicate.{order}") > F.col(f"existing.{order}")).select(
+    return rows.join(firsts, [KEY, "__zero"]).where(F.col(f"duplicate.{order}") > F.col(f"existing.{order}")).select(
         KEY, "existing", "duplicate"
     )
 

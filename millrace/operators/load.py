@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from millrace import catalog as C
 from millrace.functions import text
+from millrace.functions.plans import zero_of
 from millrace.session import cut_lineage, for_each, hadoop_path
 
 VIOLATIONS = "_violations"
@@ -74,11 +75,9 @@ def _spread_join(
     # The position of a row is the narrowest thing that tells rows apart.
     spread_by = [C.ORDER_COLUMN] if C.ORDER_COLUMN in df.columns else df.columns
     bucket = F.when(missing, F.pmod(F.xxhash64(*spread_by), F.lit(_SPREAD)).cast("int") + 1).otherwise(F.lit(0))
-    zero = F.pmod(F.hash(*[F.col(r) for r in on.values()]), F.lit(1))
     left = df.withColumn("__lb", bucket)
-    other = right.withColumn("__rb", zero)
-    # Made distinct together with the bucket, so that the join can use the same partitioning.
-    other = other.distinct() if distinct else other
+    # Made distinct before the bucket comes in, so that the join has its own exchange on both sides.
+    other = (right.distinct() if distinct else right).withColumn("__rb", zero_of(*on.values()))
     condition = F.col("__lb") == F.col("__rb")
     for l, r in on.items():
         condition = condition & (F.col(l) == F.col(r))

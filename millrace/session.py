@@ -35,14 +35,10 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; only where it is unset is one made for the session."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
     context = spark.sparkContext
-    existing = context.getCheckpointDir()
-    if existing is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-checkpoint-"))
-        existing = context.getCheckpointDir()
-    return existing
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="millrace-checkpoint-"))
+    return configured or context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -125,3 +125,30 @@ def test_composite_key(spark):
     df = spark.createDataFrame([(" A ", None, 3)], "a string, b string, c int")
     assert df.select(dedup.composite_key(["a", "b", "c"])).first()[0] == "a|null|3"
     assert df.select(dedup.composite_key([F.lit("X"), "c"])).first()[0] == "x|3"
+
+
+def test_hot_group_of_duplicates_is_split(spark):
+    df = spark.range(0, 60000, 1, 8).select(
+        F.col("id").alias("_seq"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 15000).cast("string"))).alias("email"),
+        F.concat(F.lit("some text "), F.col("id").cast("string")).alias("name"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "20",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = dedup.find_duplicates(df, ["email"])
+        # 10000 keys of four rows each, and one of 20000 rows.
+        assert len(found.collect()) == 60000 - 10001
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -59,6 +59,38 @@ def test_hot_reference_without_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hot_reference_is_split(spark):
+    """Adaptive execution splits the partition of a reference that a third of the rows share."""
+    df = spark.range(0, 60000, 1, 8).select(
+        F.col("id").alias("_seq"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("fk"),
+        F.concat(F.lit("some text "), F.col("id").cast("string")).alias("note"),
+    )
+    parents = spark.range(0, 60000, 1, 8).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
+    parents = parents.union(spark.createDataFrame([("hot",)], "key string"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "20",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        kept = load.fk_filter(df, {"fk": parents})
+        assert len(kept.select("_seq", "fk").collect()) == 60000
+        counted = kept.groupBy("note").count()
+        assert len(kept.collect()) == 60000
+        assert "skew=true" in kept._jdf.queryExecution().executedPlan().toString()
+        assert counted.count() == 60000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def model_insert(rows, unique, taken=()):
     seen = [set(), set()]
     for row in taken:

@@ -78,6 +78,17 @@ def test_pages(spark, monkeypatch, limit_at):
         T.read_page(df, [])
 
 
+def test_numbers_over_many_equal_rows(spark):
+    """Copies of one row, and rows the order does not tell apart, can fall into several ranges."""
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 7).alias("a"), (F.col("id") % 2).alias("b"))
+    numbered = T.number_rows(df, ["a"], "n", total="all")
+    found = numbered.agg(F.count_distinct("n"), F.min("n"), F.max("n"), F.max("all")).first()
+    assert tuple(found) == (30000, 0, 29999, 30000)
+    ends = numbered.groupBy("a").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("size")).orderBy("a").collect()
+    assert ends[0].low == 0 and all(x.high + 1 == y.low for x, y in zip(ends, ends[1:]))
+    assert all(r.high - r.low + 1 == r["size"] for r in ends)
+
+
 def test_stage(spark):
     df = spark.createDataFrame([("SP1", "1.5", "x"), ("SP2", "2", "7"), ("SP-much-too-long", None, None)], "ma_san_pham string, don_gia string, ton_kho string")
     good, bad = staging.split_castable(staging.stage(df, CAT["san_pham"], C.CSV, 1, order=None))
