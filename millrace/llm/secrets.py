@@ -158,6 +158,10 @@ def _moments(candidate: Column) -> Column:
     )
 
 
+def _counter(from_: Column, to: Column):
+    return lambda count, x: count + ((x > from_) & (x <= to)).cast("double")
+
+
 def _statistics(candidate: Column) -> Column:
     v, a, n, mean, high = (candidate[k] for k in ("v", "a", "n", "mean", "high"))
     low = n - high
@@ -174,7 +178,8 @@ def _statistics(candidate: Column) -> Column:
     spread = F.sqrt(F.greatest(pairs * (pairs - n) / (n * n * (n - 1)), F.lit(1e-9)))
     quarters = F.lit(0.0)
     for k in range(4):
-        inside = F.size(F.filter(v, lambda x, k=k: (x > a * k / 4) & (x <= a * (k + 1) / 4))).cast("double")
+        from_, to = a * k / 4, a * (k + 1) / 4
+        inside = F.aggregate(v, F.lit(0.0), _counter(from_, to))
         # How many symbols the quarter has: not all alphabets can be divided by four.
         share = (F.floor(a * (k + 1) / 4) - F.floor(a * k / 4)) / a
         quarters = quarters + (inside - n * share) * (inside - n * share) / (n * share)
