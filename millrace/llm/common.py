@@ -112,3 +112,23 @@ def runs_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+
+
+def word_table(separators: bytes) -> np.ndarray:
+    """For each byte, whether it belongs to a word."""
+    table = np.ones(256, bool)
+    table[list(separators)] = False
+    return table
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of several texts, and the place of each text's first word (one more at the end)."""
+    inside = table[data]
+    cuts = offsets[1:-1]
+    before = np.concatenate([[False], inside[:-1]]) if len(data) else inside
+    before[cuts[cuts < len(data)]] = False
+    after = np.concatenate([inside[1:], [False]]) if len(data) else inside
+    after[cuts[cuts > 0] - 1] = False
+    starts = np.flatnonzero(inside & ~before)
+    ends = np.flatnonzero(inside & ~after) + 1
+    return starts, ends, np.searchsorted(starts, offsets)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import secrets
+from millrace.llm import decontam, secrets
 from millrace.llm.common import documents
 
 
@@ -15,8 +15,14 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(documents(spark, sf_dir).select("doc_id", "text")))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontam.digests(decontam.contamination(documents(spark, sf_dir), benchmark))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op4_decontamination": op4_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
