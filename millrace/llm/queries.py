@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontam, secrets
+from millrace.llm import decontam, packing, secrets
 from millrace.llm.common import documents
 
 
@@ -20,9 +20,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(decontam.contamination(documents(spark, sf_dir), benchmark))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(packing.pack(documents(spark, sf_dir)))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op4_decontamination": op4_decontamination,
+    "op8_packing": op8_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
