@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontam, fingerprints, packing, secrets
+from millrace.llm import archives, decontam, fingerprints, packing, secrets
 from millrace.llm.common import documents
 
 
@@ -20,6 +20,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(decontam.contamination(documents(spark, sf_dir), benchmark))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.digests(archives.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(documents(spark, sf_dir))
 
@@ -31,6 +35,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op4_decontamination": op4_decontamination,
+    "op6_warc": op6_warc,
     "op7_fingerprints": op7_fingerprints,
     "op8_packing": op8_packing,
 }
