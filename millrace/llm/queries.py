@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import archives, decontam, fingerprints, packing, secrets
+from millrace.llm import archives, decontam, fingerprints, langid, packing, secrets, toxicity
 from millrace.llm.common import documents
 
 
@@ -15,6 +15,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(documents(spark, sf_dir).select("doc_id", "text")))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontam.digests(decontam.contamination(documents(spark, sf_dir), benchmark))
@@ -32,12 +36,18 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(documents(spark, sf_dir)))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predictions(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_language": op2_language,
     "op4_decontamination": op4_decontamination,
     "op6_warc": op6_warc,
     "op7_fingerprints": op7_fingerprints,
     "op8_packing": op8_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
