@@ -92,7 +92,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array([_shown(fingerprint(t)) for t in texts], pa.string())],
+                [batch.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array([_bytes(fingerprint(t)).hex() for t in texts], pa.string())],
                 names=["doc_id", "n_chars", "fingerprint"],
             )
 
@@ -101,8 +101,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
 
 
-def _shown(value: np.ndarray) -> str:
-    return value.astype(">u4").tobytes().hex()
+def _bytes(value: np.ndarray) -> bytes:
+    return value.astype(">u4").tobytes()
 
 
 def edited(text: str, following: str) -> str:
@@ -111,8 +111,9 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+#: Digests stay bytes until the end, half of what their digits take.
 _RESULT = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double"
 )
 #: What a pass over an ordered part leaves: finished rows, and the first and last text of the part.
@@ -123,7 +124,7 @@ def _compared(doc_id, text: str, own: np.ndarray, following: str, its: np.ndarra
     changed = edited(text, following)
     changed_print = fingerprint(changed)
     return (
-        doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), _shown(own), _shown(changed_print),
+        doc_id, len(text), hashlib.sha256(changed.encode()).digest(), _bytes(own), _bytes(changed_print),
         likeness(own, changed_print), likeness(own, its),
     )
 
@@ -134,8 +135,8 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 _RESULT_FIELDS = [
-    ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
-    ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
+    ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.binary()), ("fingerprint", pa.binary()),
+    ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
 ]
 
 
@@ -190,4 +191,6 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
             ]
             yield _table(rows, pa.schema(_RESULT_FIELDS))
 
-    return passed.where(F.col("kind") == _DONE).select(*names).unionByName(border.mapInArrow(finish, _RESULT))
+    found = passed.where(F.col("kind") == _DONE).select(*names).unionByName(border.mapInArrow(finish, _RESULT))
+    digests = ("edited_sha256", "fingerprint", "edited_fingerprint")
+    return found.withColumns({c: F.lower(F.hex(c)) for c in digests})
