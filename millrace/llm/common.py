@@ -132,3 +132,63 @@ def words_of(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[
     starts = np.flatnonzero(inside & ~before)
     ends = np.flatnonzero(inside & ~after) + 1
     return starts, ends, np.searchsorted(starts, offsets)
+
+
+class Scatter:
+    """Collects columns of numbers and deals them out by the range of a hash, packed into few rows.
+
+    A row is (part, n, blob): ``n`` entries of the columns, one column after the other. ``bits`` of the hash decide
+    the part; what reads a part sees about as many entries as any other.
+    """
+
+    def __init__(self, bits: int, types: list[str], limit: int = 1 << 20):
+        self.bits, self.types, self.limit, self.held, self.n = bits, types, limit, [], 0
+
+    def add(self, hashes: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append((hashes >> U64(64 - self.bits) if self.bits else hashes * U64(0), *columns))
+        self.n += len(hashes)
+        if self.n >= self.limit:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.n:
+            parts, *columns = (np.concatenate(c) for c in zip(*self.held, strict=True))
+            parts = parts.astype(np.uint16 if self.bits <= 16 else np.uint32)
+            order = np.argsort(parts, kind="stable")
+            parts = parts[order]
+            cuts = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1], [True]]))
+            packed = [c.astype(t)[order] for c, t in zip(columns, self.types, strict=True)]
+            blobs = [b"".join(c[a:b].tobytes() for c in packed) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(parts[cuts[:-1]].astype(np.int32)), pa.array(np.diff(cuts).astype(np.int32)), pa.array(blobs, pa.binary())],
+                names=["part", "n", "blob"],
+            )
+        self.held, self.n = [], 0
+
+
+SCATTERED = "part int, n int, blob binary"
+
+
+def gathered(table: pa.Table, types: list[str]) -> list[np.ndarray]:
+    """The columns of all entries of a part."""
+    columns: list[list[np.ndarray]] = [[] for _ in types]
+    for n, blob in zip(table.column("n").to_pylist(), table.column("blob").to_pylist(), strict=True):
+        at = 0
+        for column, t in zip(columns, types, strict=True):
+            column.append(np.frombuffer(blob, t, n, at))
+            at += n * np.dtype(t).itemsize
+    return [np.concatenate(c) if c else np.zeros(0, t) for c, t in zip(columns, types, strict=True)]
+
+
+def part_bits(entries: float, each: int) -> int:
+    """Bits of a hash for parts of about ``each`` entries."""
+    return max(3, int(np.ceil(np.log2(max(entries / each, 1)))))
+
+
+def groups_of(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A sorting order by the keys (the first counts most) and, in it, where a new combination begins."""
+    order = np.lexsort(keys[::-1])
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    return order, new

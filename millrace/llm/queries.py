@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import archives, decontam, fingerprints, langid, packing, secrets, toxicity
+from millrace.llm import archives, decontam, fingerprints, langid, packing, secrets, suffixes, toxicity
 from millrace.llm.common import documents
 
 
@@ -36,6 +36,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(documents(spark, sf_dir)))
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(suffixes.deduplicated(documents(spark, sf_dir)))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -47,6 +51,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_fingerprints": op7_fingerprints,
     "op8_packing": op8_packing,
+    "op9_suffixes": op9_suffixes,
     "op10_toxicity": op10_toxicity,
 }
 
