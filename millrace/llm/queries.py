@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import archives, decontam, fingerprints, langid, packing, secrets, suffixes, toxicity
+from millrace.llm import archives, decontam, fingerprints, langid, ngram_join, packing, secrets, suffixes, toxicity
 from millrace.llm.common import documents
 
 
@@ -19,6 +19,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontam.digests(decontam.contamination(documents(spark, sf_dir), benchmark))
@@ -47,6 +51,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_language": op2_language,
+    "op3_ngram_join": op3_ngram_join,
     "op4_decontamination": op4_decontamination,
     "op6_warc": op6_warc,
     "op7_fingerprints": op7_fingerprints,
