@@ -277,3 +277,11 @@ def digests(found: DataFrame) -> DataFrame:
             )
 
     return found.mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")))
+    found = digests(contamination(docs.select(key.alias("doc_id"), "text"), benchmark))
+    gone = found.where("contaminated").select(F.col("doc_id").alias("_key")).distinct()
+    return docs.withColumn("_key", key).join(gone, "_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from millrace.llm import archives, decontam, fingerprints, langid, ngram_join, packing, secrets, suffixes, toxicity
+from millrace.llm import archives, decontam, fingerprints, langid, lines, ngram_join, packing, secrets, suffixes, toxicity
 from millrace.llm.common import documents
 
 
@@ -28,6 +27,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(decontam.contamination(documents(spark, sf_dir), benchmark))
 
 
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digests(lines.deduplicated(documents(spark, sf_dir)))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.digests(archives.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
@@ -53,6 +56,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_ngram_join": op3_ngram_join,
     "op4_decontamination": op4_decontamination,
+    "op5_lines": op5_lines,
     "op6_warc": op6_warc,
     "op7_fingerprints": op7_fingerprints,
     "op8_packing": op8_packing,
@@ -60,4 +64,4 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_lines": lines.SQL}

@@ -298,7 +298,28 @@ def digests(scanned: DataFrame) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame) -> DataFrame:
-    """Documents without those that hold a secret, by the scan of the whole table; the columns stay."""
+def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """All rows of ``docs`` with ``mark`` in place of every span (overlapping ones together); its columns stay.
+
+    ``n_chars``, where there is such a column, is the length of the new text. A null text stays null.
+    """
     scanned = scan(docs.withColumn("_secret_text", F.col("text")), text="_secret_text")
-    return scanned.where(F.size("spans") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    text = F.col("text")
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+
+    def step(done: Column, span: Column) -> Column:
+        # Spans come in order; one that begins inside what is done only moves its end.
+        before = F.when(
+            (span["start"] > done["at"]) | (done["at"] == 0) & (span["start"] == 0),
+            F.concat(done["out"], F.substring(text, done["at"] + 1, span["start"] - done["at"]), F.lit(mark)),
+        ).when(span["start"] == done["at"], F.concat(done["out"], F.lit(mark))).otherwise(done["out"])
+        return F.struct(before.alias("out"), F.greatest(done["at"], span["end"]).alias("at"))
+
+    clean = F.aggregate(
+        F.sort_array("spans"), start, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
+    )
+    result = scanned.withColumn("text", F.when(F.size("spans") > 0, clean).otherwise(text))
+    if "n_chars" in docs.columns:
+        changed = F.length("text").cast(docs.schema["n_chars"].dataType)
+        result = result.withColumn("n_chars", F.when(F.size("spans") > 0, changed).otherwise(F.col("n_chars")))
+    return result.select(*[F.col(f"`{c}`") for c in docs.columns])
