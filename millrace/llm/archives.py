@@ -20,11 +20,12 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import saved
+from millrace.llm.common import saved, steps
 from millrace.session import scratch_path
 
 # Signatures and sizes of the ZIP format's structures.
@@ -200,15 +201,25 @@ RECORDS = (
 )
 
 
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in steps(batches, "payload"):
+        z = [pack.compress(x) for x in batch.column("payload").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("page_id"), batch.column("url"), pa.array(z, pa.binary()), batch.column("_key")],
+            names=["page_id", "url", "z", "_key"],
+        )
+
+
 def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Pages with their payload and, where an equal one of at least ``least_bytes`` has a larger id, that id."""
+    """Pages with their payload (``z``, compressed) and, where an equal one of at least ``least_bytes`` has a larger id, that id."""
+    # Compressed on the way: pages are the bulk of what is shuffled.
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
-    base = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload")).withColumn(
-        "_key", F.sha1("payload")
-    )
+    raw = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload"), F.sha1(payload).alias("_key"))
+    base = raw.mapInArrow(_compressed, "page_id long, url string, z binary, _key string")
     # Only payloads that occur again meet the pages, and of each one row.
     again = (
-        base.where(F.octet_length("payload") >= least_bytes)
+        raw.where(F.octet_length("payload") >= least_bytes)
         .groupBy("_key")
         .agg(F.max("page_id").alias("_last"), F.count(F.lit(1)).alias("_n"))
         .where("_n > 1 and _last is not null")
@@ -217,7 +228,7 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     return (
         base.join(again, "_key", "left")
         .withColumn("refers_to", F.expr("if(_last > page_id or (_last is not null and page_id is null), _last, null)"))
-        .select("page_id", "url", "payload", "refers_to")
+        .select("page_id", "url", "z", "refers_to")
     )
 
 
@@ -227,7 +238,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = open_store(folder)
         store.create_dir(root)
-        archive = None
+        archive, unpack = None, zstandard.ZstdDecompressor()
         done: list[tuple[str, int, int]] = []
 
         def close() -> None:
@@ -242,42 +253,41 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                 stream.close()
                 done.append((f"{folder}/{name}", writer.at, len(index)))
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                if archive and archive[0].current[3] >= MEMBER_BYTES:
-                    if len(archive[0].members) + 1 >= ARCHIVE_MEMBERS:
-                        close()
-                        archive = None
-                    else:
-                        archive[0].end()
-                        archive[0].begin(WARC_MEMBER.format(len(archive[0].members)))
-                if not archive:
-                    name = f"{uuid.uuid4().hex}.wacz"
-                    stream = store.open_output_stream(f"{root}/{name}")
-                    archive = (ZipWriter(stream), stream, name, [])
-                    archive[0].begin(WARC_MEMBER.format(0))
-                writer, _, _, index = archive
-                payload, revisit = row["payload"] or b"", row["refers_to"] is not None
-                http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-                headers = {
-                    "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>",
-                    "WARC-Target-URI": json.dumps(row["url"])[1:-1] if row["url"] is not None else "",
-                    "WARC-Payload-Digest": f"sha1:{payload_digest(payload)}",
-                    "Content-Type": "application/http; msgtype=response",
-                    "X-Page-ID": "" if row["page_id"] is None else str(row["page_id"]),
+        for row in (r for batch in batches for k in range(0, batch.num_rows, 200) for r in batch.slice(k, 200).to_pylist()):
+            if archive and archive[0].current[3] >= MEMBER_BYTES:
+                if len(archive[0].members) + 1 >= ARCHIVE_MEMBERS:
+                    close()
+                    archive = None
+                else:
+                    archive[0].end()
+                    archive[0].begin(WARC_MEMBER.format(len(archive[0].members)))
+            if not archive:
+                name = f"{uuid.uuid4().hex}.wacz"
+                stream = store.open_output_stream(f"{root}/{name}")
+                archive = (ZipWriter(stream), stream, name, [])
+                archive[0].begin(WARC_MEMBER.format(0))
+            writer, _, _, index = archive
+            payload, revisit = unpack.decompress(row["z"]), row["refers_to"] is not None
+            http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+            headers = {
+                "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>",
+                "WARC-Target-URI": json.dumps(row["url"])[1:-1] if row["url"] is not None else "",
+                "WARC-Payload-Digest": f"sha1:{payload_digest(payload)}",
+                "Content-Type": "application/http; msgtype=response",
+                "X-Page-ID": "" if row["page_id"] is None else str(row["page_id"]),
+            }
+            if row["url"] is None:
+                del headers["WARC-Target-URI"]
+            if revisit:
+                headers |= {
+                    "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
+                    "X-Refers-To-Page-ID": str(row["refers_to"]),
                 }
-                if row["url"] is None:
-                    del headers["WARC-Target-URI"]
-                if revisit:
-                    headers |= {
-                        "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                        "X-Refers-To-Page-ID": str(row["refers_to"]),
-                    }
-                record = warc_record("revisit" if revisit else "response", headers, http if revisit else http + payload)
-                member = WARC_MEMBER.format(len(writer.members))
-                in_member = writer.current[3]
-                writer.data(record)
-                index.append(json.dumps({"page_id": row["page_id"], "filename": member, "offset": in_member, "length": len(record)}).encode() + b"\n")
+            record = warc_record("revisit" if revisit else "response", headers, http if revisit else http + payload)
+            member = WARC_MEMBER.format(len(writer.members))
+            in_member = writer.current[3]
+            writer.data(record)
+            index.append(json.dumps({"page_id": row["page_id"], "filename": member, "offset": in_member, "length": len(record)}).encode() + b"\n")
         close()
         paths, sizes, counts = zip(*done, strict=True) if done else ((), (), ())
         yield pa.RecordBatch.from_arrays(
@@ -285,7 +295,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
             names=["path", "bytes", "records"],
         )
 
-    return saved(pages.select("page_id", "url", "payload", "refers_to").mapInArrow(run, ARCHIVES), "archives")
+    return saved(pages.select("page_id", "url", "z", "refers_to").mapInArrow(run, ARCHIVES), "archives")
 
 
 def list_records(archives: DataFrame) -> DataFrame:
@@ -362,7 +372,8 @@ def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """
     folder = scratch_path(pages.sparkSession, "wacz")
     archives = write_archives(with_revisits(pages, least_bytes), folder)
-    return read_records(list_records(archives.repartition(F.col("path"))))
+    # A fixed number: paths are few bytes, and adaptive execution would read all archives in one task.
+    return read_records(list_records(archives.repartition(min(max(archives.count(), 1), 10_000), "path")))
 
 
 def digests(records: DataFrame) -> DataFrame:
