@@ -164,7 +164,7 @@ def search(index: DataFrame, hashes: np.ndarray, lengths: np.ndarray, owners: li
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (r for k in range(batch.num_rows) for r in batch.slice(k, 1).to_pylist()):
                 segment, doc_ids = Segment(row), row["doc_ids"]
                 phrase, start = segment.phrases(hashes, lengths)
                 place = segment.document(start)
@@ -200,7 +200,7 @@ def phrase_matches(index: DataFrame, phrases: dict[str, str], near: int | None =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (r for k in range(batch.num_rows) for r in batch.slice(k, 1).to_pylist()):
                 segment, out = Segment(row), []
                 for name, terms in parts.items():
                     if near is not None:
