@@ -53,7 +53,8 @@ def _rank(c: Column, dtype: T.DataType) -> Column:
     return F.when(present, 0).when(c.isNotNull(), 1).otherwise(2)
 
 
-# Arrival positions stay below this, so that a multiple of it can rank values before positions do.
+# Arrival positions stay below this, so that a multiple of it can rank values before positions do;
+# a position beyond it fails the job.
 _FAR = 1 << 61
 
 
@@ -63,7 +64,8 @@ def _merged(df: DataFrame, column: str, order: str) -> Column:
     if not isinstance(df.schema[order].dataType, (T.IntegerType, T.LongType)):
         return _best(df, column, position)["value"]
     # Rank and position as one number are much cheaper to compare than as a pair.
-    return F.min_by(c, position + _rank(c, df.schema[column].dataType) * F.lit(_FAR))
+    near = F.when(position < _FAR, position).otherwise(F.raise_error(F.lit("an arrival position is too large")).cast("bigint"))
+    return F.min_by(c, near + _rank(c, df.schema[column].dataType) * F.lit(_FAR))
 
 
 def dedup_merge(
@@ -139,9 +141,11 @@ def _lineage(joined: Column, names: Column) -> Column:
     return F.when((F.col(GROUP_SIZE) > 1) & (F.size(names) > 0), joined)
 
 
-def dedup_counts(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Rows before and after duplicate removal, and their difference."""
-    groups = df.groupBy(composite_key(keys).alias(KEY)).agg(F.count(F.lit(1)).alias("n"))
+def dedup_counts(
+    df: DataFrame, keys: Sequence[str], name: str, null_keys: str = "merge", order: str = C.ORDER_COLUMN
+) -> DataFrame:
+    """Rows before and after duplicate removal, and their difference; ``null_keys`` as in :func:`dedup_merge`."""
+    groups = df.groupBy(_group_key(df, keys, order, null_keys).alias(KEY)).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("original"),
         F.count(F.lit(1)).alias("after"),
@@ -153,9 +157,14 @@ def dedup_counts(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     )
 
 
-def dedup_report(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
+def dedup_report(
+    tables: Mapping[str, DataFrame],
+    keys: Mapping[str, Sequence[str]],
+    null_keys: str = "merge",
+    order: str = C.ORDER_COLUMN,
+) -> DataFrame:
     """Removal counts per table and, in the row named ``total``, over all of them."""
-    parts = [dedup_counts(df, keys[name], name) for name, df in tables.items() if name in keys]
+    parts = [dedup_counts(df, keys[name], name, null_keys, order) for name, df in tables.items() if name in keys]
     parts += [
         df.agg(F.count(F.lit(1)).alias("original")).select(
             F.lit(name).alias("table_name"), "original", F.col("original").alias("after"), F.lit(0).cast("bigint").alias("removed")
@@ -198,19 +207,23 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: str = C.ORDER_COLUMN)
 
 
 def find_duplicates(df: DataFrame, keys: Sequence[str], order: str = C.ORDER_COLUMN) -> DataFrame:
-    """Every row that is not the first of its key, as ``(_key, existing, duplicate)``."""
-    keyed = df.withColumn(KEY, composite_key(keys))
+    """Every row that is not the first of its key, as ``(_key, existing, duplicate)``.
+
+    Rows of one position follow a hash of their content; only copies in all columns are one row.
+    """
+    place = F.struct(F.col(order).alias("position"), F.xxhash64(*df.columns).alias("content"))
+    keyed = df.select("*", composite_key(keys).alias(KEY), place.alias("__place"))
     row = F.struct(*[F.col(c) for c in df.columns])
     firsts = (
         keyed.groupBy(KEY)
-        .agg(F.min_by(row, order).alias("existing"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min_by(row, "__place").alias("existing"), F.min("__place").alias("__first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
         .drop("n")
         .withColumn("__zero", zero_of(KEY))
     )
-    rows = keyed.select(KEY, row.alias("duplicate"), zero_of(KEY).alias("__zero"))
+    rows = keyed.select(KEY, "__place", row.alias("duplicate"), zero_of(KEY).alias("__zero"))
     # A large group is one row on the side of the firsts, so the join can split its other side.
-    return rows.join(firsts, [KEY, "__zero"]).where(F.col(f"duplicate.{order}") > F.col(f"existing.{order}")).select(
+    return rows.join(firsts, [KEY, "__zero"]).where(F.col("__place") > F.col("__first")).select(
         KEY, "existing", "duplicate"
     )
 

@@ -18,6 +18,7 @@ from millrace.functions.plans import zero_of
 from millrace.session import cut_lineage, for_each, hadoop_path
 
 VIOLATIONS = "_violations"
+UNCAST = "_uncast"
 # Rows without a reference are spread over this many join keys, so that they do not meet in one task.
 _SPREAD = 4096
 
@@ -140,51 +141,82 @@ def _first_per_key(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
 def _insert_by_rounds(df: DataFrame, keys: list[list[str]], order: str) -> DataFrame:
     """Several unique keys: a row dropped for one key must not block others by another.
 
-    Each round takes the rows that come first in all their keys, then drops those in conflict with
-    them; what is left goes into the next round. Usually one or two rounds settle everything.
+    Only rows whose values occur again in some key take part, and of those only keys and position. Each
+    round takes the rows that come first in all their keys and drops those in conflict with them; what
+    is left goes into the next round, with one checkpoint. Rows in random arrival order need few rounds;
+    a chain in which each row conflicts with the next by another key needs one for every two of its rows.
     """
-    columns = df.columns
-    remaining = cut_lineage(df)
-    taken: list[DataFrame] = []
-    while True:
-        leaders = remaining
-        for key in keys:
-            firsts = _first_per_key(remaining.select(*dict.fromkeys([*key, order])), key, order)
-            leaders = leaders.join(firsts.select(order), order, "left_semi")
-        accepted = cut_lineage(leaders.select(*columns))
-        taken.append(accepted)
-        rest = remaining.join(accepted.select(order), order, "left_anti")
+    narrow = cut_lineage(df.select(*dict.fromkeys([*(c for key in keys for c in key), order])))
+    contested = None
+    for key in keys:
+        repeated = narrow.dropna(subset=key).groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+        mine = narrow.join(repeated.select(*key), key, "left_semi").select(order)
+        contested = mine if contested is None else contested.unionByName(mine)
+    contested = contested.distinct()
+    state = cut_lineage(_with_leaders(narrow.join(contested, order, "left_semi"), keys, order))
+    accepted = []
+    while not state.isEmpty():
+        leaders = state.where("__lead")
+        accepted.append(leaders.select(order))
+        rest = state.where("not __lead").drop("__lead")
         for key in keys:
-            rest = _without_taken(rest, accepted, key)
-        remaining = cut_lineage(rest.select(*columns))
-        if remaining.isEmpty():
-            return reduce(DataFrame.unionByName, taken)
+            rest = _without_taken(rest, leaders, key)
+        state = cut_lineage(_with_leaders(rest, keys, order))
+    if not accepted:
+        return df
+    lost = contested.join(reduce(DataFrame.unionByName, accepted), order, "left_anti")
+    return df.join(lost, order, "left_anti").select(*df.columns)
+
+
+def _with_leaders(df: DataFrame, keys: list[list[str]], order: str) -> DataFrame:
+    """Add ``__lead``: the row is the first in each of its keys; a key with a null has no other row."""
+    lead = F.lit(True)
+    columns = df.columns
+    for i, key in enumerate(keys):
+        # Minima are combined before the shuffle, so a value of very many rows is one row of the join.
+        renamed = {k: f"__k{i}_{k}" for k in key}
+        firsts = df.dropna(subset=key).groupBy(*key).agg(F.min(order).alias(f"__first_{i}")).withColumnsRenamed(renamed)
+        df = _spread_join(df, firsts, renamed, _incomplete(key), "left")
+        lead = lead & (F.col(f"__first_{i}").isNull() | (F.col(order) == F.col(f"__first_{i}")))
+    return df.select(*columns, lead.alias("__lead"))
 
 
 def project_warehouse(
-    df: DataFrame, table: C.Table, loaded_at: Column | None = None, keep: Sequence[str] = ()
+    df: DataFrame,
+    table: C.Table,
+    loaded_at: Column | None = None,
+    keep: Sequence[str] = (),
+    uncast: str | None = None,
 ) -> DataFrame:
     """The columns of a warehouse table in its types, with defaults and the load time.
 
     A default applies where the frame lacks the column altogether, as an insert that does not name it.
+    A value that does not fit its type becomes null; ``uncast`` names a list of the columns where that
+    happened, which :func:`check_constraints` counts as violations.
     """
-    columns = []
+    columns, failed = [], []
     for c in table.columns:
         if c.name in df.columns:
             value = F.col(c.name)
             if df.schema[c.name].dataType != c.dtype:
                 value = value.try_cast(c.dtype)
+                failed.append(F.when(F.col(c.name).isNotNull() & value.isNull(), F.lit(c.name)))
         else:
             value = F.lit(c.default)
         columns.append(value.cast(c.dtype).alias(c.name))
     if table.has_created_at:
         columns.append((loaded_at if loaded_at is not None else F.current_timestamp()).alias(C.CREATED_AT_COLUMN))
+    if uncast is not None:
+        found = F.filter(F.array(*failed), lambda name: name.isNotNull()) if failed else F.array().cast("array<string>")
+        columns.append(found.alias(uncast))
     return df.select(*columns, *[k for k in keep if k in df.columns])
 
 
 def violation_column(df: DataFrame, table: C.Table) -> Column:
-    """The names of the constraints a row breaks: missing values, lengths and ranges."""
+    """The names of the constraints a row breaks: types, missing values, lengths and ranges."""
     broken = []
+    if UNCAST in df.columns:
+        broken += [F.when(F.array_contains(UNCAST, c.name), F.lit(f"{c.name}:type")) for c in table.columns]
     for c in table.columns:
         if c.name not in df.columns:
             continue
@@ -206,7 +238,7 @@ def check_constraints(df: DataFrame, table: C.Table, on_violation: str = "fail")
     ``fail`` ends the job at the first row that breaks one; ``mark`` adds the list ``_violations``;
     ``quarantine`` keeps the rows that break none (``mark`` has the others).
     """
-    marked = df.withColumn(VIOLATIONS, violation_column(df, table))
+    marked = df.withColumn(VIOLATIONS, violation_column(df, table)).drop(UNCAST)
     if on_violation == "mark":
         return marked
     broken = F.size(VIOLATIONS) > 0
@@ -236,8 +268,7 @@ class Star:
 def _settled_keys(table: C.Table) -> list[list[str]]:
     """The keys that still can collide once rows are distinct by the dedup key."""
     keys = [list(table.primary_key), *[list(u) for u in table.unique]]
-    left = [k for k in keys if tuple(k) != tuple(table.dedup_key)]
-    return left or [list(table.primary_key)]
+    return [k for k in keys if tuple(k) != tuple(table.dedup_key)]
 
 
 def plan_table(
@@ -249,10 +280,11 @@ def plan_table(
     loaded_at: Column | None,
     deduplicated: bool,
     observation: Observation | None = None,
+    catalog: C.Catalog = C.DEFAULT_CATALOG,
 ) -> tuple[DataFrame, DataFrame]:
     """The rows one table gains, in warehouse form, and those that fail its references."""
     references = {
-        column: parent_keys(parents[parent], primary_key_of(parent))
+        column: parent_keys(parents[parent], primary_key_of(parent, catalog))
         for column, parent in table.foreign_keys.items()
         if column in df.columns
     }
@@ -263,8 +295,8 @@ def plan_table(
         )
     passed = marked.where("_fk_ok").drop("_fk_ok")
     keys = _settled_keys(table) if deduplicated else [list(table.primary_key), *[list(u) for u in table.unique]]
-    typed = check_constraints(project_warehouse(passed, table, loaded_at, keep=[order]), table, on_violation)
-    return insert_if_absent(typed, keys, order).drop(order), marked.where(~F.col("_fk_ok")).drop("_fk_ok")
+    typed = check_constraints(project_warehouse(passed, table, loaded_at, keep=[order], uncast=UNCAST), table, on_violation)
+    return (insert_if_absent(typed, keys, order) if keys else typed).drop(order), marked.where(~F.col("_fk_ok")).drop("_fk_ok")
 
 
 def load_star(
@@ -286,7 +318,7 @@ def load_star(
         if table.name not in clean:
             continue
         loaded, skipped = plan_table(
-            clean[table.name], table, star.tables, order, on_violation, loaded_at, deduplicated
+            clean[table.name], table, star.tables, order, on_violation, loaded_at, deduplicated, catalog=catalog
         )
         star.tables[table.name] = cut_lineage(loaded) if table.name in with_children else loaded
         star.skipped[table.name] = skipped
@@ -324,7 +356,7 @@ def write_star(
     def load_table(table: C.Table) -> tuple[DataFrame, DataFrame, dict[str, int]]:
         seen, written = Observation(), Observation()
         loaded, skipped = plan_table(
-            clean[table.name], table, star.tables, order, on_violation, loaded_at, deduplicated, seen
+            clean[table.name], table, star.tables, order, on_violation, loaded_at, deduplicated, seen, catalog
         )
         target = f"{star.path}/{table.warehouse_name}"
         loaded.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)

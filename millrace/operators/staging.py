@@ -14,34 +14,55 @@ from millrace.session import hadoop_path
 
 UNCASTABLE = "_uncastable"
 
-# An arrival position is one long: the rank of the source, the chunk, the place in the chunk.
-PLACE_BITS, CHUNK_BITS = 20, 36
+# An arrival position is one long: the rank of the source, the ingested batch, the message in the
+# batch, the place in the message.
+PLACE_BITS, MESSAGE_BITS, BATCH_BITS, RANK_BITS = 20, 20, 16, 5
+CHUNK_BITS = MESSAGE_BITS + BATCH_BITS
 MAX_CHUNK = 1 << PLACE_BITS
 
 
-def arrival_position(rank: Column, chunk: Column, place: Column) -> Column:
-    return (
-        F.shiftleft(rank.cast("bigint"), PLACE_BITS + CHUNK_BITS)
-        + F.shiftleft(chunk.cast("bigint"), PLACE_BITS)
-        + place.cast("bigint")
-    )
+def arrival_position(rank: Column, batch: Column, message: Column, place: Column) -> Column:
+    """One number that orders records as they arrived; a part that is too large fails the job."""
+    parts = ((rank, RANK_BITS), (batch, BATCH_BITS), (message, MESSAGE_BITS), (place, PLACE_BITS))
+    position = F.lit(0).cast("bigint")
+    fits = F.lit(True)
+    for part, bits in parts:
+        position = F.shiftleft(position, bits) + part.cast("bigint")
+        fits = fits & part.between(0, (1 << bits) - 1)
+    too_large = F.raise_error(F.lit("a batch, message or record number is too large for an arrival position"))
+    return F.when(fits, position).otherwise(too_large.cast("bigint"))
 
 
 def inserted_at() -> Column:
     return F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
 
 
-def typed_columns(columns: Sequence[C.Column], value: Callable[[str], Column]) -> tuple[dict[str, Column], Column]:
-    """Casts of values by column, and the list of columns whose value does not fit its type."""
+def staging_length(c: C.Column) -> int | None:
+    """The longest text that a column takes in staging."""
+    if not isinstance(c.dtype, T.StringType) or c.max_length is None:
+        return None
+    return C.STAGING_ID_LENGTH if c.name in C.ID_COLUMNS else c.max_length
+
+
+def typed_columns(
+    columns: Sequence[C.Column],
+    value: Callable[[str], Column],
+    longest: Callable[[C.Column], Column | int | None] | None = None,
+) -> tuple[dict[str, Column], Column]:
+    """Casts of values by column, and the list of columns whose value does not fit its type.
+
+    ``longest`` gives the limit of a text column, by default that of the column itself.
+    """
     casts, failed = {}, []
     for c in columns:
         raw = value(c.name)
         casts[c.name] = raw.cast("string") if isinstance(c.dtype, T.StringType) else raw.try_cast(c.dtype)
         if not isinstance(c.dtype, T.StringType):
             failed.append(F.when(raw.isNotNull() & casts[c.name].isNull(), F.lit(c.name)))
-        elif c.max_length is not None:
-            longest = C.STAGING_ID_LENGTH if c.name in C.ID_COLUMNS else c.max_length
-            failed.append(F.when(F.length(casts[c.name]) > longest, F.lit(c.name)))
+        else:
+            limit = staging_length(c) if longest is None else longest(c)
+            if limit is not None:
+                failed.append(F.when(F.length(casts[c.name]) > limit, F.lit(c.name)))
     uncastable = (
         F.filter(F.array(*failed), lambda name: name.isNotNull()) if failed else F.array().cast("array<string>")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
@@ -33,10 +34,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where it is unset is one made for the session."""
+    """The folder of ``spark.checkpoint.dir``; where it is unset, a local master gets one for the session.
+
+    Elsewhere a folder of the driver would not be seen by the executors, so the setting must be there.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not configured and not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="millrace-checkpoint-"))
     return configured or context.getCheckpointDir()
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ def read_csv(
     columns: Sequence[str] | None = None,
     multiline: bool = False,
     position: bool = False,
+    on_long: str = "fail",
 ) -> DataFrame:
     """Rows of CSV files as trimmed text.
 
@@ -40,14 +42,35 @@ def read_csv(
     An empty cell is empty text, a cell a short row lacks is null, and blank lines are no rows.
     Without ``multiline`` a file can be read by many tasks. ``position`` adds ``_line``, which orders
     rows as they stand in their files.
+
+    A row with more cells than the header fails the job or, with ``on_long="reject"``, is left out:
+    :func:`long_rows` has those. Paths whose headers differ in order are matched by name; other names,
+    also within the files of one path, are an error.
     """
+    if on_long not in ("fail", "reject", "keep"):
+        raise ValueError("on_long is 'fail' or 'reject'")
     paths = [path] if isinstance(path, str) else list(path)
     require_sources(spark, paths)
     options = _options(multiline)
+    if len(paths) > 1:
+        by_header: dict[tuple[str, ...], list[str]] = {}
+        for p in paths:
+            by_header.setdefault(tuple(spark.read.options(**options).csv(p).columns), []).append(p)
+        if len(by_header) > 1:
+            parts = [read_csv(spark, p, columns, multiline, position, on_long) for group in by_header.values() for p in group]
+            names_of = [sorted(part.columns) for part in parts]
+            if any(n != names_of[0] for n in names_of):
+                raise ValueError(f"different columns in {', '.join(paths)}")
+            return reduce(DataFrame.unionByName, parts)
     header = spark.read.options(**options).csv(paths).columns
     names = [h.strip(text.WHITESPACE) for h in header]
     schema = T.StructType([T.StructField(h, T.StringType()) for h in [*header, _SHORT]])
-    raw = spark.read.options(**options).schema(schema).option("columnNameOfCorruptRecord", _SHORT).csv(paths)
+    reader = spark.read.options(**options).schema(schema).option("columnNameOfCorruptRecord", _SHORT)
+    raw = reader.option("enforceSchema", "false").csv(paths)
+    if on_long != "keep":
+        fault = F.concat(F.lit(f"more than {len(header)} cells in a row of {paths[0]}: "), F.substring(_SHORT, 1, 200))
+        failed = F.raise_error(fault).cast("boolean") if on_long == "fail" else F.lit(False)
+        raw = raw.where(F.when(_is_long(header), failed).otherwise(True))
     place = []
     if position:
         # The counter rises within one piece of a file, whatever pieces share a task.
@@ -71,6 +94,25 @@ def read_csv(
     return df.select(*columns, *([LINE] if position else []))
 
 
+def _cells(line: Column) -> Column:
+    """How many cells a line has; null for rows that have as many as the header."""
+    return F.regexp_count(F.regexp_replace(line, '"(?:[^"]|"")*"', ""), F.lit(",")) + 1
+
+
+def _is_long(header: Sequence[str]) -> Column:
+    # A reader that is asked for the malformed line alone refuses, so another column takes part.
+    return (_cells(F.col(_SHORT)) > len(header)) & (F.length(F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))) >= 0)
+
+
+def long_rows(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """The lines with more cells than the header, as they are."""
+    options = _options(multiline)
+    header = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in [*header, _SHORT]])
+    raw = spark.read.options(**options).schema(schema).option("columnNameOfCorruptRecord", _SHORT).csv(path)
+    return raw.where(_is_long(header)).select(F.col(_SHORT).alias("line"))
+
+
 def read_csv_tables(
     spark: SparkSession, root: str, names: Sequence[str], multiline: bool = False
 ) -> dict[str, DataFrame]:

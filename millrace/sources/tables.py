@@ -13,7 +13,8 @@ from millrace.session import cut_lineage
 
 LINE = "_line"
 
-# A page that ends within this many rows is cut by a bounded top-n; a later one by row numbers.
+# A page that ends within this many rows is cut by a bounded top-n; a later one by row numbers. Both
+# tell tied rows apart in the same way, so the rows of a page do not depend on which of them ran.
 TOP_N_LIMIT = 100_000
 
 
@@ -22,8 +23,9 @@ class Relational:
     """Where the tables of a relational source are.
 
     ``kind`` is ``jdbc``, ``parquet`` (``root/<table>.parquet``) or ``table`` (catalogue tables or
-    views). For JDBC, ``options`` holds url and credentials, and ``partitions`` may give for each table
-    the reader options partitionColumn, lowerBound, upperBound and numPartitions of a parallel read.
+    views). For JDBC, ``options`` holds url and credentials, and ``partitions`` gives for each table the
+    reader options partitionColumn, lowerBound, upperBound and numPartitions of a parallel read, or an
+    empty mapping for a table that one connection may read.
     """
 
     kind: str
@@ -32,6 +34,22 @@ class Relational:
     partitions: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
 
 
+# Without it some drivers hold a whole result in memory.
+FETCH_SIZE = 10_000
+_PARALLEL = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+
+
+def jdbc_options(source: Relational, name: str) -> dict[str, str]:
+    """The reader options of a table; a parallel read must be described, or a single one asked for."""
+    if name not in source.partitions:
+        raise ValueError(f"say in partitions how {name} is read in parallel, or give it an empty mapping")
+    parallel = {k: str(v) for k, v in source.partitions[name].items()}
+    missing = [k for k in _PARALLEL if parallel and k not in parallel]
+    if missing:
+        raise ValueError(f"partitions of {name} lack {', '.join(missing)}")
+    return {"fetchsize": str(FETCH_SIZE), **source.options, "dbtable": name, **parallel}
+
+
 def read_table(
     spark: SparkSession,
     source: Relational,
@@ -46,8 +64,7 @@ def read_table(
     ``_line``, which orders rows as they stand in their files, where the source has files.
     """
     if source.kind == "jdbc":
-        reader = spark.read.format("jdbc").options(**source.options).option("dbtable", name)
-        df = reader.options(**source.partitions.get(name, {})).load()
+        df = spark.read.format("jdbc").options(**jdbc_options(source, name)).load()
     elif source.kind == "parquet":
         df = spark.read.parquet(f"{source.root.rstrip('/')}/{name}.parquet")
         if position:
@@ -78,13 +95,17 @@ def arrival_order(df: DataFrame, key: Sequence[str]) -> list[Column]:
 
 
 def read_page(df: DataFrame, order_by: Sequence[str | Column], limit: int = 1000, offset: int = 0) -> DataFrame:
-    """``limit`` rows after the first ``offset`` ones in a total order."""
+    """``limit`` rows after the first ``offset`` ones, in order.
+
+    Rows the order leaves equal follow a hash of their content, so that pages of any offset fit together.
+    """
     if not order_by:
         raise ValueError("paging needs an order")
     if offset + limit <= TOP_N_LIMIT:
-        return df.orderBy(*order_by).offset(offset).limit(limit)
+        tied = df.withColumn("__content", F.xxhash64(*df.columns))
+        return tied.orderBy(*order_by, "__content").offset(offset).limit(limit).drop("__content")
     numbered = number_rows(df, order_by, "__row")
-    return numbered.where(F.col("__row").between(offset, offset + limit - 1)).drop("__row")
+    return numbered.where(F.col("__row").between(offset, offset + limit - 1)).orderBy("__row").drop("__row")
 
 
 def number_rows(
@@ -135,7 +156,8 @@ def read_sql(
 
 def read_jdbc_query(spark: SparkSession, source: Relational, query: str) -> DataFrame:
     """Any query, run by the database."""
-    return spark.read.format("jdbc").options(**source.options).option("query", query).load()
+    options = {"fetchsize": str(FETCH_SIZE), **source.options, "query": query}
+    return spark.read.format("jdbc").options(**options).load()
 
 
 def extract_report(tables: Mapping[str, DataFrame]) -> DataFrame:

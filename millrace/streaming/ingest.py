@@ -10,23 +10,27 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace import catalog as C
 from millrace.operators.staging import (
+    MAX_CHUNK,
     UNCASTABLE,
     arrival_position,
     empty_staging,
     inserted_at,
     staged_schema,
+    staging_length,
     typed_columns,
 )
 from millrace.session import hadoop_path
 from millrace.streaming.envelopes import ENVELOPE_SCHEMA
 
+# What one batch reads at most; it is persisted while its three outputs are written.
+MAX_BYTES = 8 << 30
 REASON = "reason"
 FITS = "fits"
 
@@ -60,18 +64,32 @@ def parse_envelopes(lines: DataFrame, catalog: C.Catalog = C.DEFAULT_CATALOG) ->
         .when(~F.col("table").isin(*tables), "unknown table")
         .when(F.col("source").isNull(), "no source")
         .when(F.col("recordCount") != F.size(records), "wrong record count")
+        .when(F.size(records) > MAX_CHUNK, "too many records")
     )
     return parsed.withColumn(REASON, reason)
 
 
+def number_messages(envelopes: DataFrame) -> DataFrame:
+    """Add ``message``: consecutive numbers of the sound envelopes of a table, in the order of their chunks.
+
+    Chunks of one number, as of two publishes or of messages that are no chunks, follow a hash of their text.
+    Only numbers and hashes are sorted, for each table on its own.
+    """
+    keyed = envelopes.withColumn("__message", F.monotonically_increasing_id())
+    order = Window.partitionBy("source", "table").orderBy(F.coalesce("batch", F.lit(1)), "__hash", "__message")
+    narrow = keyed.where(F.col(REASON).isNull()).select("source", "table", "batch", "__message", F.xxhash64("value").alias("__hash"))
+    numbers = narrow.select("__message", (F.row_number().over(order) - 1).alias("message"))
+    return keyed.join(numbers, "__message", "left").drop("__message")
+
+
 def explode_records(envelopes: DataFrame) -> DataFrame:
-    """One row per record of sound envelopes, with the place of the record in its chunk."""
+    """One row per record of sound, numbered envelopes, with the place of the record in its message."""
     return envelopes.where(F.col(REASON).isNull()).select(
-        "source", "table", F.coalesce("batch", F.lit(1)).alias("batch"), F.posexplode("records").alias("place", "record")
+        "source", "table", "message", F.posexplode("records").alias("place", "record")
     )
 
 
-def typed_rows(records: DataFrame, catalog: C.Catalog, ranks: dict[str, int]) -> DataFrame:
+def typed_rows(records: DataFrame, catalog: C.Catalog, ranks: dict[str, int], batch_id: int = 0) -> DataFrame:
     """Staging rows of all tables side by side: one frame with the columns of all, typed once.
 
     ``_uncastable`` lists what keeps a record from its table: values that do not fit, and columns
@@ -79,7 +97,14 @@ def typed_rows(records: DataFrame, catalog: C.Catalog, ranks: dict[str, int]) ->
     """
     columns = {c.name: c for t in catalog for c in t.columns}
     catalog.wide_columns  # raises where tables disagree on a type
-    casts, misfits = typed_columns(list(columns.values()), lambda name: F.try_element_at("record", F.lit(name)))
+
+    def longest(c: C.Column) -> Column | None:
+        # Tables differ in the limit of a column of the same name.
+        limits = {t.name: staging_length(own) for t in catalog for own in t.columns if own.name == c.name}
+        limited = [F.lit(x) for pair in limits.items() if pair[1] is not None for x in pair]
+        return F.try_element_at(F.create_map(*limited), F.col("table")) if limited else None
+
+    casts, misfits = typed_columns(list(columns.values()), lambda name: F.try_element_at("record", F.lit(name)), longest)
     known = F.create_map(
         *[x for t in catalog for x in (F.lit(t.name), F.array(*[F.lit(c) for c in t.column_names]))]
     )
@@ -92,7 +117,7 @@ def typed_rows(records: DataFrame, catalog: C.Catalog, ranks: dict[str, int]) ->
         *[casts[name].alias(name) for name in columns],
         F.col("source").alias(C.SOURCE_COLUMN),
         inserted_at().alias(C.INSERTED_AT_COLUMN),
-        arrival_position(rank, F.col("batch") - 1, F.col("place")).alias(C.ORDER_COLUMN),
+        arrival_position(rank, F.lit(batch_id), F.col("message"), F.col("place")).alias(C.ORDER_COLUMN),
         F.concat(misfits, unknown).alias(UNCASTABLE),
         F.col("table").alias("table_name"),
         F.when(F.size(F.concat(misfits, unknown)) > 0, F.to_json("record")).alias("record"),
@@ -120,7 +145,7 @@ def stage_batch(
         folder = f"ingest={stream}-{batch_id}"
         envelopes = parse_envelopes(lines, catalog).persist()
         try:
-            typed_rows(explode_records(envelopes), catalog, order).withColumn(
+            typed_rows(explode_records(number_messages(envelopes)), catalog, order, batch_id).withColumn(
                 FITS, F.size(UNCASTABLE) == 0
             ).write.mode("overwrite").partitionBy(FITS, "table_name", C.SOURCE_COLUMN).parquet(
                 f"{area.rows}/{folder}"
@@ -135,10 +160,13 @@ def stage_batch(
     return write
 
 
-def read_lines(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, landing: str, max_files: int | None = None, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Lines that land in a folder, in batches of bounded size: of files if ``max_files`` is given, else of bytes."""
     reader = spark.readStream.option("recursiveFileLookup", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    else:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.text(landing)
 
 
@@ -162,12 +190,18 @@ def ingest(
     catalog: C.Catalog = C.DEFAULT_CATALOG,
     ranks: dict[str, int] | None = None,
     max_files: int | None = None,
+    require: bool = False,
 ) -> None:
-    """Stage everything that has landed, source after source; running it again stages only what is new."""
+    """Stage everything that has landed, source after source; running it again stages only what is new.
+
+    A source without a folder has published nothing yet; with ``require`` that is an error.
+    """
     for source in sources:
         path = f"{landing.rstrip('/')}/{source}"
         fs, handle = hadoop_path(spark, path)
         if not fs.exists(handle):
+            if require:
+                raise FileNotFoundError(f"nothing has landed for {source}: {path}")
             continue
         function = stage_batch(area, catalog, ranks, stream=source)
         _drain(read_lines(spark, path, max_files), function, f"{checkpoint.rstrip('/')}/{source}")

@@ -675,6 +675,13 @@ def build() -> dict[str, str]:
     q["insert_incremental"] = f"""WITH {src('chi_tiet_don_hang')} SELECT _seq, ma_don_hang, ma_san_pham FROM chi_tiet_don_hang c
         WHERE NOT EXISTS (SELECT 1 FROM chi_tiet_don_hang t WHERE t.so_luong IS NULL AND t.ma_don_hang = c.ma_don_hang AND t.ma_san_pham = c.ma_san_pham)
         QUALIFY row_number() OVER (PARTITION BY ma_don_hang, ma_san_pham ORDER BY _seq) = 1"""
+    # Ids are distinct within a source, and all rows of the first come before those of the second.
+    first_email = "QUALIFY email IS NULL OR row_number() OVER (PARTITION BY email ORDER BY _seq) = 1"
+    q["insert_two_unique_keys"] = f"""WITH {customers}, first AS (SELECT * FROM khach_hang WHERE source = 'postgresql' {first_email}),
+        second AS (SELECT * FROM khach_hang k WHERE source = 'csv'
+            AND NOT EXISTS (SELECT 1 FROM first f WHERE f.ma_khach_hang = k.ma_khach_hang)
+            AND NOT EXISTS (SELECT 1 FROM first f WHERE f.email = k.email) {first_email})
+        SELECT _seq, ma_khach_hang, email, so_dien_thoai FROM first UNION ALL SELECT _seq, ma_khach_hang, email, so_dien_thoai FROM second"""
     q["warehouse_projection"] = f"""WITH {customers} SELECT ma_khach_hang, ho_ten, email, so_dien_thoai, dia_chi, ngay_sinh, ngay_dang_ky,
         CAST(NULL AS VARCHAR) AS gioi_tinh, 'Thường' AS loai_khach_hang, {DAY} AS created_at FROM khach_hang"""
     q["constraint_check"] = f"""WITH {customers} SELECT _seq, concat_ws(',', CASE WHEN length(ma_khach_hang) > 20 THEN 'ma_khach_hang:length' END,
