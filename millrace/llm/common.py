@@ -141,11 +141,12 @@ class Scatter:
     the part; what reads a part sees about as many entries as any other.
     """
 
-    def __init__(self, bits: int, types: list[str], limit: int = 1 << 20):
+    def __init__(self, bits: int, types: list[str], limit: int = 1 << 19):
         self.bits, self.types, self.limit, self.held, self.n = bits, types, limit, [], 0
 
     def add(self, hashes: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.held.append((hashes >> U64(64 - self.bits) if self.bits else hashes * U64(0), *columns))
+        parts = (hashes >> U64(64 - self.bits)).astype(np.uint16 if self.bits <= 16 else np.uint32)
+        self.held.append((parts, *[c.astype(t) for c, t in zip(columns, self.types, strict=True)]))
         self.n += len(hashes)
         if self.n >= self.limit:
             yield from self.flush()
@@ -153,11 +154,11 @@ class Scatter:
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.n:
             parts, *columns = (np.concatenate(c) for c in zip(*self.held, strict=True))
-            parts = parts.astype(np.uint16 if self.bits <= 16 else np.uint32)
+            self.held = []
             order = np.argsort(parts, kind="stable")
             parts = parts[order]
             cuts = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1], [True]]))
-            packed = [c.astype(t)[order] for c, t in zip(columns, self.types, strict=True)]
+            packed = [c[order] for c in columns]
             blobs = [b"".join(c[a:b].tobytes() for c in packed) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(parts[cuts[:-1]].astype(np.int32)), pa.array(np.diff(cuts).astype(np.int32)), pa.array(blobs, pa.binary())],

@@ -30,8 +30,8 @@ from millrace.llm.common import (
 
 LENGTH, BLOCK = 100, 32
 #: Entries that a task of the first and of the last pass sorts at a time.
-FIRST_PART, LAST_PART = 500_000, 20_000
-_STEP = 1 << 20
+FIRST_PART, LAST_PART = 250_000, 8_000
+_STEP = 1 << 19
 #: anchor, context, document, text's hash, start of its first window, number of windows, place of the anchor.
 _ENTRY = ["<u4", "<u8", "<i8", "<i4", "<u4", "u1", "u1"]
 MARKS = "doc_id long, check int, start long, n int, anchor int, again boolean"
