@@ -25,6 +25,8 @@ def _options(multiline: bool) -> dict[str, str]:
         "ignoreTrailingWhiteSpace": "true",
         "multiLine": str(multiline).lower(),
         "mode": "PERMISSIVE",
+        # A row is only found to be too long if all of it is parsed.
+        "columnPruning": "false",
     }
 
 

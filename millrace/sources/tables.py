@@ -94,14 +94,16 @@ def arrival_order(df: DataFrame, key: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in dict.fromkeys([*key, *df.columns])]
 
 
-def read_page(df: DataFrame, order_by: Sequence[str | Column], limit: int = 1000, offset: int = 0) -> DataFrame:
+def read_page(
+    df: DataFrame, order_by: Sequence[str | Column], limit: int = 1000, offset: int = 0, top_n: int | None = None
+) -> DataFrame:
     """``limit`` rows after the first ``offset`` ones, in order.
 
     Rows the order leaves equal follow a hash of their content, so that pages of any offset fit together.
     """
     if not order_by:
         raise ValueError("paging needs an order")
-    if offset + limit <= TOP_N_LIMIT:
+    if offset + limit <= (TOP_N_LIMIT if top_n is None else top_n):
         tied = df.withColumn("__content", F.xxhash64(*df.columns))
         return tied.orderBy(*order_by, "__content").offset(offset).limit(limit).drop("__content")
     numbered = number_rows(df, order_by, "__row")

@@ -136,16 +136,23 @@ def _counters(envelopes: DataFrame) -> DataFrame:
 
 
 def stage_batch(
-    area: StagingArea, catalog: C.Catalog = C.DEFAULT_CATALOG, ranks: dict[str, int] | None = None, stream: str = "s"
+    area: StagingArea,
+    catalog: C.Catalog = C.DEFAULT_CATALOG,
+    ranks: dict[str, int] | None = None,
+    stream: str = "s",
+    first_batch: int = 0,
 ) -> Callable[[DataFrame, int], None]:
-    """The function that writes one micro-batch; the folder of the batch is replaced as a whole."""
+    """The function that writes one micro-batch; the folder of the batch is replaced as a whole.
+
+    ``first_batch`` is added to the number of the batch in arrival positions.
+    """
     order = dict(C.SOURCE_RANKS if ranks is None else ranks)
 
     def write(lines: DataFrame, batch_id: int) -> None:
         folder = f"ingest={stream}-{batch_id}"
         envelopes = parse_envelopes(lines, catalog).persist()
         try:
-            typed_rows(explode_records(number_messages(envelopes)), catalog, order, batch_id).withColumn(
+            typed_rows(explode_records(number_messages(envelopes)), catalog, order, first_batch + batch_id).withColumn(
                 FITS, F.size(UNCASTABLE) == 0
             ).write.mode("overwrite").partitionBy(FITS, "table_name", C.SOURCE_COLUMN).parquet(
                 f"{area.rows}/{folder}"
@@ -191,10 +198,13 @@ def ingest(
     ranks: dict[str, int] | None = None,
     max_files: int | None = None,
     require: bool = False,
+    stream: str | None = None,
+    first_batch: int = 0,
 ) -> None:
     """Stage everything that has landed, source after source; running it again stages only what is new.
 
-    A source without a folder has published nothing yet; with ``require`` that is an error.
+    Another landing folder for the same area needs a checkpoint and a ``stream`` of its own, and as
+    ``first_batch`` a number beyond the batches staged so far. A source without a folder has published nothing yet; with ``require`` that is an error.
     """
     for source in sources:
         path = f"{landing.rstrip('/')}/{source}"
@@ -203,7 +213,8 @@ def ingest(
             if require:
                 raise FileNotFoundError(f"nothing has landed for {source}: {path}")
             continue
-        function = stage_batch(area, catalog, ranks, stream=source)
+        name = source if stream is None else f"{source}-{stream}"
+        function = stage_batch(area, catalog, ranks, name, first_batch)
         _drain(read_lines(spark, path, max_files), function, f"{checkpoint.rstrip('/')}/{source}")
 
 

@@ -152,3 +152,15 @@ def test_hot_group_of_duplicates_is_split(spark):
         for key in settings:
             spark.conf.unset(key)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_report_counts_what_the_merge_keeps(spark):
+    df = spark.createDataFrame([(1, "a", "csv"), (2, None, "csv"), (3, None, "csv"), (4, "A", "csv")], "_seq bigint, email string, source string")
+    for null_keys, after in (("merge", 2), ("keep", 3)):
+        assert dedup.dedup_merge(df, ["email"], null_keys=null_keys).count() == after
+        assert dedup.dedup_counts(df, ["email"], "t", null_keys).first().after == after
+
+
+def test_duplicates_of_one_position(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (1, "a", "y"), (1, "b", "z")], "_seq bigint, email string, v string")
+    assert dedup.find_duplicates(df, ["email"]).count() == 1

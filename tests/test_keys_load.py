@@ -190,3 +190,30 @@ def test_audit(spark):
         ("dim_danh_muc", "repeated_key"): 1, ("dim_danh_muc", "missing_key"): 1, ("dim_san_pham", "repeated_key"): 0,
         ("dim_san_pham", "missing_key"): 0, ("dim_san_pham", "orphan"): 2,
     }
+
+
+def test_values_that_do_not_fit_are_violations(spark):
+    df = spark.createDataFrame([(1, "KH1", "An", "a@b.vn", "not a date"), (2, "KH2", "Bo", "c@d.vn", "2000-01-02")], "_seq bigint, ma_khach_hang string, ho_ten string, email string, ngay_sinh string")
+    with pytest.raises(Exception, match="ngay_sinh:type"):
+        load.load_star({"khach_hang": df}).tables["khach_hang"].collect()
+    kept = load.load_star({"khach_hang": df}, on_violation="quarantine").tables["khach_hang"].collect()
+    assert [(r.ma_khach_hang, str(r.ngay_sinh)) for r in kept] == [("KH2", "2000-01-02")]
+
+
+def test_chains_of_conflicts(spark):
+    """Every row conflicts with the next by another key, so that each round settles two of them."""
+    rows = [(k, f"a{k // 2}", f"b{(k + 1) // 2}") for k in range(12)] + [(100, None, None), (101, None, "b0")]
+    df = spark.createDataFrame(rows, "_seq bigint, a string, b string")
+    taken, expected = ({"a": set(), "b": set()}, [])
+    for seq, a, b in rows:
+        if a not in taken["a"] and b not in taken["b"]:
+            expected.append(seq)
+            taken["a"] |= {a} - {None}
+            taken["b"] |= {b} - {None}
+    assert sorted(r._seq for r in load.insert_if_absent(df, [["a"], ["b"]]).collect()) == expected
+
+
+def test_rows_distinct_by_their_key_are_not_sorted_again(spark):
+    df = spark.createDataFrame([(1, "DM1", "x")], "_seq bigint, ma_danh_muc string, ten_danh_muc string")
+    star = load.load_star({"danh_muc": df.repartition(2)})
+    assert "Window" not in star.tables["danh_muc"]._jdf.queryExecution().executedPlan().toString()

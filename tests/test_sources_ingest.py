@@ -163,3 +163,63 @@ def test_callback(spark):
     N.ingest_with(spark, f"{root}/landing", f"{root}/cp", lambda df, i: seen.extend(df.select("table", "recordCount").collect()), dead_letters=f"{root}/dead")
     assert [tuple(r) for r in seen] == [("danh_gia", 5)]
     assert spark.read.parquet(f"{root}/dead").first().value == "junk"
+
+
+def test_tied_pages_do_not_depend_on_the_plan(spark):
+    df = spark.range(300).repartition(5).select((F.col("id") % 3).alias("v"), "id")
+    for offset in (0, 10, 150):
+        pages = [[tuple(r) for r in T.read_page(df, ["v"], 20, offset, top_n=n).collect()] for n in (1000, 0)]
+        assert pages[0] == pages[1]
+
+
+def test_jdbc_reads_are_parallel_or_asked_for(spark):
+    parts = {"partitionColumn": "id", "lowerBound": 0, "upperBound": 9, "numPartitions": 3}
+    source = T.Relational("jdbc", options={"url": "jdbc:x"}, partitions={"a": parts, "b": {}, "c": {"numPartitions": 2}})
+    assert T.jdbc_options(source, "a")["numPartitions"] == "3" and T.jdbc_options(source, "a")["fetchsize"] == str(T.FETCH_SIZE)
+    assert "numPartitions" not in T.jdbc_options(source, "b")
+    for name in ("c", "d"):
+        with pytest.raises(ValueError):
+            T.jdbc_options(source, name)
+
+
+def test_csv_rows_that_are_too_long(spark, tmp_path):
+    path = str(tmp_path / "long.csv")
+    (tmp_path / "long.csv").write_text('id,name\n1,Ann\n2,Bob,EXTRA\n3,"a, ""b"", c"\n4\n5,\n')
+    with pytest.raises(Exception, match="more than 2 cells"):
+        S.read_csv(spark, path).collect()
+    kept = S.read_csv(spark, path, on_long="reject")
+    assert kept.count() == 4
+    assert {(r.id, r.name) for r in kept.collect()} == {("1", "Ann"), ("3", 'a, "b", c'), ("4", None), ("5", "")}
+    assert [r.line for r in S.long_rows(spark, path).collect()] == ["2,Bob,EXTRA"]
+
+
+def test_csv_headers_in_another_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,Ann\n")
+    (tmp_path / "b.csv").write_text("name,id\nCid,3\n")
+    (tmp_path / "c.csv").write_text("name,key\nDot,4\n")
+    a, b, c = (str(tmp_path / f"{x}.csv") for x in "abc")
+    assert {(r.id, r.name) for r in S.read_csv(spark, [a, b]).collect()} == {("1", "Ann"), ("3", "Cid")}
+    with pytest.raises(ValueError):
+        S.read_csv(spark, [a, c])
+
+
+def test_positions_of_repeated_publishes(spark):
+    root = scratch_path(spark, "p")
+    area = N.StagingArea(f"{root}/staging")
+    message = lambda k: json.dumps({"source": "csv", "table": "danh_muc", "records": [{"ma_danh_muc": f"DM{k}", "ten_danh_muc": "x"}], "recordCount": 1})
+    for run in range(2):
+        spark.createDataFrame([(message(10 * run + k),) for k in range(4)], "value string").write.text(f"{root}/landing/csv/{run}")
+        N.ingest(spark, f"{root}/landing", f"{root}/cp", area)
+    rows = N.read_staged(spark, area)["danh_muc"].collect()
+    assert len({r._seq for r in rows}) == len(rows) == 8
+    early = {r._seq for r in rows if len(r.ma_danh_muc) == 3}
+    assert max(early) < min(r._seq for r in rows if r._seq not in early)
+
+
+def test_limits_are_those_of_the_table(spark):
+    root = scratch_path(spark, "l")
+    area = N.StagingArea(f"{root}/staging")
+    agent = {"source": "csv", "table": "nhanvien_cskh", "records": [{"ma_nhan_vien": "NV1", "trang_thai": "x" * 30}], "recordCount": 1}
+    spark.createDataFrame([(json.dumps(agent),)], "value string").write.text(f"{root}/landing/csv/a")
+    N.ingest(spark, f"{root}/landing", f"{root}/cp", area)
+    assert [r._uncastable for r in N.read_rejects(spark, area).collect()] == [["trang_thai"]]

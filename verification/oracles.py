@@ -439,6 +439,7 @@ def build() -> dict[str, str]:
     q["scan_page"] = "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 1000 OFFSET 700"
     q["scan_page_deep"] = """SELECT l_orderkey, l_linenumber, l_extendedprice,
         row_number() OVER (ORDER BY l_extendedprice, l_orderkey, l_linenumber, l_partkey, l_shipdate) - 1 AS row_number FROM lineitem"""
+    q["scan_page_ties"] = "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders"
     q["scan_count"] = "SELECT count(*) AS total FROM lineitem"
     q["raw_sql"] = """SELECT n_name, count(*) AS n_orders, count(DISTINCT c_custkey) AS n_customers FROM orders
         JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderstatus <> 'P' GROUP BY n_name"""
@@ -461,6 +462,7 @@ def build() -> dict[str, str]:
         CAST(diem_danh_gia AS VARCHAR) AS amount, source FROM danh_gia UNION ALL
         SELECT ma_don_hang, ma_khach_hang, ngay_dat, CAST(CAST(tong_tien AS BIGINT) AS VARCHAR), source FROM don_hang"""
     q["envelope_order"] = f"WITH {ratings} SELECT ma_danh_gia, row_number() OVER (ORDER BY _seq) - 1 AS row_number FROM danh_gia"
+    q["ingest_positions"] = "SELECT 2 * count(*) AS n, 2 * count(*) AS positions FROM events"
     q["ingest_counters"] = f"""SELECT 'csv' AS source, 'danh_gia' AS table_name, CAST(ceil(count(*) / 1000) AS BIGINT) AS processed_messages,
         count(*) AS total_records, CAST(0 AS BIGINT) AS rejected_messages FROM events
         UNION ALL SELECT 'postgresql', 'don_hang', CAST(ceil(count(*) / 1000) AS BIGINT), count(*), 0 FROM orders
@@ -501,6 +503,9 @@ def build() -> dict[str, str]:
     per_table = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS original, count(DISTINCT {k}) AS after FROM {t}" for t, k in keys.items())
     q["dedup_report"] = f"""WITH {src(*keys)}, n AS ({per_table}) SELECT table_name, original, after, original - after AS removed FROM n
         UNION ALL SELECT 'total', CAST(sum(original) AS BIGINT), CAST(sum(after) AS BIGINT), CAST(sum(original - after) AS BIGINT) FROM n"""
+    q["dedup_report_keep_nulls"] = f"""WITH {customers}, n AS (SELECT count(*) AS original,
+        count(DISTINCT CASE WHEN email IS NOT NULL THEN {EMAIL_KEY} END) + count(*) FILTER (WHERE email IS NULL) AS after FROM khach_hang)
+        SELECT t AS table_name, original, after, original - after AS removed FROM n, (VALUES ('khach_hang'), ('total')) v(t)"""
     numbered = f"""SELECT *, {EMAIL_KEY} AS key, row_number() OVER w AS place, first_value(_seq) OVER w AS existing_seq,
         first_value(ma_khach_hang) OVER w AS existing_id FROM khach_hang WINDOW w AS (PARTITION BY {EMAIL_KEY} ORDER BY _seq)"""
     q["dedup_first"] = f"WITH {customers} SELECT {MERGE_COLUMNS} FROM ({numbered}) WHERE place = 1"

@@ -90,6 +90,16 @@ def scan_page_deep(spark, sf_dir):
     return numbered.select("l_orderkey", "l_linenumber", "l_extendedprice", "row_number")
 
 
+@query
+def scan_page_ties(spark, sf_dir):
+    """Two pages of a tied order, one by a top-n and one by row numbers: together they are the whole table."""
+    df = I.read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    n = df.count()
+    near = table_source.read_page(df, ["o_orderpriority"], limit=n // 3, offset=0, top_n=n)
+    far = table_source.read_page(df, ["o_orderpriority"], limit=n, offset=n // 3, top_n=0)
+    return near.unionByName(far)
+
+
 @query
 def scan_count(spark, sf_dir):
     return table_source.count_rows(I.read(spark, sf_dir, "lineitem"))
@@ -234,6 +244,24 @@ def envelope_ingest(spark, sf_dir):
     return ratings.unionByName(orders)
 
 
+@query
+def ingest_positions(spark, sf_dir):
+    """Positions stay unique over a table that is published twice, and messages that are no chunks."""
+    root = scratch_path(spark, "ingest")
+    landing, area = f"{root}/landing", ingest_stream.StagingArea(f"{root}/staging")
+    ratings = _event_records(spark, sf_dir)
+    for part in (0, 1):
+        rows = ratings.where(F.pmod("_seq", F.lit(2)) == part)
+        envelope_stream.write_envelopes(rows, "danh_gia", C.CSV, f"{landing}/{part}", ["_seq"], 1000, drop=["_seq"])
+        single = envelope_stream.envelopes(rows, "danh_gia", C.CSV, ["_seq"], 500, drop=["_seq"])
+        without = F.regexp_replace("value", ',"batch":[0-9]+,"totalBatches":[0-9]+', "").alias("value")
+        single.select(without).write.text(f"{landing}/{part}/csv/unchunked")
+        # The second publish lands when the first is staged.
+        ingest_stream.ingest(spark, f"{landing}/{part}", f"{root}/checkpoints-{part}", area, stream=f"part{part}", first_batch=part)
+    staged = ingest_stream.read_staged(spark, area)["danh_gia"]
+    return staged.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(C.ORDER_COLUMN).alias("positions"))
+
+
 @query
 def envelope_order(spark, sf_dir):
     """Arrival positions follow the published order."""
@@ -412,6 +440,12 @@ def dedup_report(spark, sf_dir):
     return dedup.dedup_report({n: table(spark, sf_dir, n) for n in names}, {n: CAT[n].dedup_key for n in names})
 
 
+@query
+def dedup_report_keep_nulls(spark, sf_dir):
+    rows = table(spark, sf_dir, "khach_hang")
+    return dedup.dedup_report({"khach_hang": rows}, {"khach_hang": ["email"]}, null_keys="keep")
+
+
 @query
 def dedup_first(spark, sf_dir):
     return dedup.dedup_first(table(spark, sf_dir, "khach_hang"), ["email"]).select(*_merge_columns())
