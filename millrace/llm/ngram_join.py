@@ -46,6 +46,8 @@ _STEP = 1 << 20
 PART, RUN_DOCUMENTS = 1_000_000, 60_000
 #: Documents compared with each other in one go where a signature has several components, or with one hub.
 BLOCK, HUB_BLOCK = 1024, 256
+#: Rows of several small groups that are compared in one task.
+CELL_ROWS = 20_000
 _WIDEST = 1 << 16
 
 
@@ -161,12 +163,13 @@ def may_link(n_a: np.ndarray, n_b: np.ndarray, distance: np.ndarray) -> np.ndarr
     return (100 * small >= PERCENT * large) & (distance * (100 + PERCENT) <= (small + large) * (100 - PERCENT))
 
 
-_BITS = np.array([bin(x).count("1") for x in range(256)], np.uint16)
-
-
 def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Differing classes of each row of ``a`` with each of ``b``."""
-    return np.stack([_BITS[row ^ b].sum(axis=1) for row in a]) if len(a) else np.zeros((0, len(b)), np.int64)
+    """Differing classes of each row of ``a`` with each of ``b``; rows are whole 64-bit words."""
+    p, q = (np.ascontiguousarray(x).view(U64) for x in (a, b))
+    out = np.zeros((len(p), len(q)), np.int32)
+    for word in range(p.shape[1]):
+        out += np.bitwise_count(p[:, word, None] ^ q[None, :, word])
+    return out
 
 
 _PASS = "part int, flush long, n int, blob binary, node long, doc_id long, check long, size int, digest binary, sketch binary"
@@ -264,7 +267,7 @@ def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             for x, y in zip(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist(), strict=True):
                 width = min(len(x), len(y))
                 p, q = (_folded(np.frombuffer(z, np.uint8)[None], width) for z in (x, y))
-                keep.append(int(_BITS[p ^ q].sum()))
+                keep.append(int(_distance(p, q)[0, 0]))
             chosen = pa.array(may_link(*sizes, np.array(keep, np.int64)))
             yield batch.select(["a", "b"]).filter(chosen)
 
@@ -309,30 +312,37 @@ def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _across(table: pa.Table) -> pa.Table:
-    """Pairs of different components within a block, or across two, that sketches do not exclude."""
-    node, component, side = (table.column(c).to_numpy() for c in ("node", "component", "side"))
-    size = table.column("size").to_numpy()
-    raw = table.column("sketch").to_pylist()
-    width = np.array([len(x) for x in raw])
-    left, right = [], []
-    two = table.column("x")[0].as_py() != table.column("y")[0].as_py()
-    for w in np.unique(width):
-        # Each width with itself and wider ones, folded to it: similar sizes are at most one width apart.
-        for v in (w, 2 * w):
-            rows, columns = np.flatnonzero(width == w), np.flatnonzero(width == v)
-            if not len(rows) or not len(columns):
-                continue
-            p = np.stack([np.frombuffer(raw[k], np.uint8) for k in rows])
-            q = _folded(np.stack([np.frombuffer(raw[k], np.uint8) for k in columns]), w)
-            keep = may_link(size[rows][:, None], size[columns][None, :], _distance(p, q))
-            keep &= component[rows][:, None] != component[columns][None, :]
-            keep &= (side[rows][:, None] != side[columns][None, :]) if two else True
-            i, j = np.nonzero(keep)
-            left.append(node[rows[i]])
-            right.append(node[columns[j]])
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-    order, new = groups_of(np.minimum(a, b), np.maximum(a, b))
-    return pa.table({"a": np.minimum(a, b)[order][new].astype(np.int64), "b": np.maximum(a, b)[order][new].astype(np.int64)})
+    """Pairs of different components within the groups of a cell that sketches do not exclude."""
+    names = ("bucket", "x", "y", "node", "component", "side", "size")
+    bucket, x, y, node, component, side, size = (table.column(c).to_numpy() for c in names)
+    raw = table.column("sketch").combine_chunks()
+    order, new = groups_of(bucket, x, y)
+    cuts = np.append(np.flatnonzero(new), len(order))
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        group = order[a:b]
+        sketches = [raw[int(k)].as_py() for k in group]
+        width = np.array([len(z) for z in sketches])
+        two = x[group[0]] != y[group[0]]
+        for w in np.unique(width):
+            # Each width with itself and the double, folded to it: similar sizes are at most one width apart.
+            for v in (w, 2 * w):
+                i, j = np.flatnonzero(width == w), np.flatnonzero(width == v)
+                if not len(i) or not len(j):
+                    continue
+                p, q = (np.stack([np.frombuffer(sketches[k], np.uint8) for k in part]) for part in (i, j))
+                rows, columns = group[i], group[j]
+                keep = component[rows][:, None] != component[columns][None, :]
+                if two:
+                    keep &= side[rows][:, None] != side[columns][None, :]
+                keep &= may_link(size[rows][:, None], size[columns][None, :], _distance(p, _folded(q, w)))
+                k, m = np.nonzero(keep)
+                left.append(node[rows[k]])
+                right.append(node[columns[m]])
+    a, b = (np.concatenate(part) for part in (left, right))
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    order, new = groups_of(low, high)
+    return pa.table({"a": low[order][new].astype(np.int64), "b": high[order][new].astype(np.int64)})
 
 
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -389,21 +399,31 @@ def join(docs: DataFrame) -> DataFrame:
     # Signatures whose documents are still in several components.
     shared = named(found.where(F.col("kind") == _BUCKET).select(F.col("a").alias("bucket"), F.explode("members").alias("node")), "node")
     placed = shared.join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    open_ = (
+    # Many signatures have the very same documents: one of those is enough.
+    open_ = saved(
         placed.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
+        .agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"),
+            F.bit_xor(F.xxhash64("node")).alias("h1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("h2"),
+        )
         .where("low != high")
-        .select("bucket", F.expr(f"cast((n + {BLOCK // 2 - 1}) div {BLOCK // 2} as int)").alias("blocks"))
-    )
+        .groupBy("n", "h1", "h2")
+        .agg(F.min("bucket").alias("bucket"))
+        .select("bucket", "n", F.expr(f"(n + {BLOCK // 2 - 1}) div {BLOCK // 2}").alias("blocks")),
+        "open",
+    )
+    compared = open_.agg(F.sum(F.expr("n * blocks"))).first()[0] or 0
+    cells = 1 + int(compared) // CELL_ROWS
     # A large bucket is cut into blocks, and each pair of blocks is a group of bounded size.
     blocks = (
         placed.join(open_, "bucket")
         .join(nodes.select("node", "size", "sketch"), "node")
-        .withColumn("side", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
-        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .withColumn("side", F.expr("pmod(xxhash64(node), blocks)"))
+        .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
         .select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "node", "component", "size", "sketch")
+        .withColumn("cell", F.pmod(F.xxhash64("bucket", "x", "y"), F.lit(cells)))
     )
-    more = blocks.groupBy("bucket", "x", "y").applyInArrow(_across, "a long, b long").distinct()
+    more = blocks.groupBy("cell").applyInArrow(_across, "a long, b long").distinct()
     second = saved(more.join(first, ["a", "b"], "left_anti"), "pairs")
     links = links.unionByName(_linked(second, nodes, texts))
     parts = saved(components(links), "components")
