@@ -32,7 +32,7 @@ from millrace.operators.validate import (
     summary_counts,
     validate,
 )
-from millrace.session import cut_lineage, for_each
+from millrace.session import configure, cut_lineage, for_each
 from millrace.sources.csv import read_csv, require_sources
 from millrace.sources.tables import LINE, Relational, arrival_order, read_tables
 from millrace.streaming.envelopes import publish
@@ -186,6 +186,7 @@ def run(
     All folders are below ``root``, which must be shared storage on a cluster and new for every run.
     """
     started = monotonic()
+    configure(spark)
     root = root.rstrip("/")
     landing, area = f"{root}/landing", StagingArea(f"{root}/staging")
     if relational is not None:
