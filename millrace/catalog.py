@@ -222,6 +222,11 @@ class Table:
     def column_names(self) -> list[str]:
         return [c.name for c in self.columns]
 
+    @property
+    def id_columns(self) -> list[str]:
+        """The columns that hold ids: those of the primary key and references."""
+        return [c.name for c in self.columns if c.name in self.primary_key or c.name in self.foreign_keys]
+
     @property
     def staging_schema(self) -> T.StructType:
         return T.StructType([T.StructField(c.name, c.dtype) for c in self.columns])

@@ -161,12 +161,16 @@ def validate(
     as_of=None,
     status_context: str = "record",
     table: str | None = None,
+    where: Column | str | None = None,
 ) -> DataFrame:
     """Check every row against the rules of its columns, in column order.
 
     Adds the errors of the row, those errors split by whether their rule is fixable, the verdicts
     ``_is_valid`` and ``_can_fix``, and the checked columns. A row without errors "can be fixed".
+    ``where`` picks the rows to check; other than a later filter it reaches the source.
     """
+    if where is not None:
+        df = df.where(where)
     registry = registry or default_rules()
     df = df.drop(*[c for c in RESULT_COLUMNS if c in df.columns])
     wanted = list(fields) if fields is not None else df.columns

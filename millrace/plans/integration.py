@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 from time import monotonic
@@ -63,10 +63,21 @@ class Quality:
     checked: DataFrame
 
 
-def plan_quality(staged: DataFrame, table: C.Table, options: Options = Options()) -> Quality:
-    """Prefix ids, merge duplicates, validate, repair, validate again."""
+def plan_quality(
+    staged: DataFrame,
+    table: C.Table,
+    options: Options = Options(),
+    observed: Callable[[str, DataFrame], DataFrame] = lambda phase, df: df,
+) -> Quality:
+    """Prefix ids, merge duplicates, validate, repair, validate again.
+
+    ``observed`` may attach counts to the frames of the phases staged, validated, repaired and checked.
+    """
     merged = dedup_merge(
-        prefix_ids(staged), table.dedup_key, sources=options.sources, null_keys=options.null_keys
+        prefix_ids(observed("staged", staged), table.id_columns),
+        table.dedup_key,
+        sources=options.sources,
+        null_keys=options.null_keys,
     ).drop(SOURCES, GROUP_SIZE)
     rules = options.rules or default_rules()
     repairs = options.repairs or default_repairs(options.birth_date_by_age)
@@ -74,9 +85,9 @@ def plan_quality(staged: DataFrame, table: C.Table, options: Options = Options()
     def judge(df: DataFrame) -> DataFrame:
         return validate(df, rules, as_of=options.as_of, status_context=options.status_context, table=table.name)
 
-    validated = judge(merged)
-    repaired = repair(validated, repairs, options.as_of)
-    return Quality(merged, validated, repaired, judge(repaired))
+    validated = observed("validated", judge(merged))
+    repaired = observed("repaired", repair(validated, repairs, options.as_of))
+    return Quality(merged, validated, repaired, observed("checked", judge(repaired)))
 
 
 def plan_star(
@@ -128,20 +139,18 @@ def run_quality(
     def clean_table(name: str) -> DataFrame:
         df, table = staged[name], catalog[name]
         before, first, second, changed = (Observation() for _ in range(4))
-        counted = df.observe(before, F.count(F.lit(1)).alias("original"))
-        merged = dedup_merge(
-            prefix_ids(counted), table.dedup_key, sources=options.sources, null_keys=options.null_keys
-        ).drop(SOURCES, GROUP_SIZE)
-        rules = options.rules or default_rules()
-        repairs = options.repairs or default_repairs(options.birth_date_by_age)
-        kw = {"as_of": options.as_of, "status_context": options.status_context, "table": name}
-        validated = validate(merged, rules, **kw).observe(first, *summary_counts())
-        repaired = repair(validated, repairs, options.as_of).observe(
-            changed, F.count_if(F.col(CHANGED)).alias("transformed"), F.count_if(~F.col(CHANGED)).alias("skipped")
-        )
-        checked = validate(repaired, rules, **kw).observe(
-            second, F.count_if(F.col(IS_VALID)).alias("clean"), F.count_if(~F.col(IS_VALID)).alias("still_invalid")
-        )
+        counts = {
+            "staged": (before, [F.count(F.lit(1)).alias("original")]),
+            "validated": (first, summary_counts()),
+            "repaired": (changed, [F.count_if(F.col(CHANGED)).alias("transformed"), F.count_if(~F.col(CHANGED)).alias("skipped")]),
+            "checked": (second, [F.count_if(F.col(IS_VALID)).alias("clean"), F.count_if(~F.col(IS_VALID)).alias("still_invalid")]),
+        }
+
+        def observed(phase: str, frame: DataFrame) -> DataFrame:
+            observation, columns = counts[phase]
+            return frame.observe(observation, *columns)
+
+        checked = plan_quality(df, table, options, observed).checked
         # Both splits of the error list can be had from the list.
         checked = checked.drop(FIXABLE_ERRORS, UNFIXABLE_ERRORS, FIELDS_VALIDATED)
         path = f"{root}/checked/{name}"

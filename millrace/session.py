@@ -47,9 +47,23 @@ def shared_root(spark: SparkSession) -> str:
     return configured or context.getCheckpointDir()
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder that no other run uses."""
-    return f"{shared_root(spark).rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder that no other run uses; :func:`discard_scratch` removes it."""
+    path = f"{shared_root(spark).rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def discard_scratch(spark: SparkSession) -> int:
+    """Delete what this process has put into the shared folder, once no frame reads it any more."""
+    found = 0
+    while _scratch:
+        fs, handle = hadoop_path(spark, _scratch.pop())
+        found += bool(fs.delete(handle, True))
+    return found
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

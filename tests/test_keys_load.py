@@ -3,6 +3,7 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace import catalog as C
 from millrace.operators import keys, load
@@ -217,3 +218,18 @@ def test_rows_distinct_by_their_key_are_not_sorted_again(spark):
     df = spark.createDataFrame([(1, "DM1", "x")], "_seq bigint, ma_danh_muc string, ten_danh_muc string")
     star = load.load_star({"danh_muc": df.repartition(2)})
     assert "Window" not in star.tables["danh_muc"]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_own_catalogue(spark):
+    text, own = T.StringType(), C.Column
+    shops = C.Table("shop", "dim_shop", (own("shop_no", text), own("title", text)), ("shop_no",), ("shop_no",), has_created_at=False)
+    sales = C.Table("sale", "fact_sale", (own("sale_no", text), own("shop_ref", text)), ("sale_no",), ("sale_no",), foreign_keys={"shop_ref": "shop"}, has_created_at=False)
+    catalog = C.Catalog({t.name: t for t in (shops, sales)})
+    rows = {
+        "shop": spark.createDataFrame([(1, "s1", "One")], "_seq bigint, shop_no string, title string"),
+        "sale": spark.createDataFrame([(1, "a", "s1"), (2, "b", "s9"), (3, "c", None)], "_seq bigint, sale_no string, shop_ref string"),
+    }
+    star = load.load_star(rows, catalog)
+    assert {r.sale_no for r in star.tables["sale"].collect()} == {"a", "c"}
+    assert load.integrity_audit(star.tables, catalog).where("n > 0").count() == 0
+    assert sales.id_columns == ["sale_no", "shop_ref"]

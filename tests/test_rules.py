@@ -227,3 +227,11 @@ def test_declared_rules(spark):
     df = spark.createDataFrame([("KH1", "Nam", 0), ("KH0001", "?", 3)], "ma_khach_hang string, gioi_tinh string, so_luong int")
     out = validate(df, rules.declared_rules(), as_of=AS_OF).collect()
     assert [[e.rule for e in r[ERRORS]] for r in out] == [["ma_khach_hang_pattern", "so_luong_range"], ["gioi_tinh_domain"]]
+
+
+def test_a_condition_of_validate_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.createDataFrame([(1, "An Binh"), (2, None)], "_seq bigint, ho_ten string").write.parquet(path)
+    checked = validate(spark.read.parquet(path), where="_seq = 2")
+    assert "EqualTo(_seq,2)" in checked._jdf.queryExecution().executedPlan().toString()
+    assert [r._seq for r in checked.collect()] == [2]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace import catalog as C
 from millrace.operators import staging
-from millrace.session import scratch_path
+from millrace.session import discard_scratch, scratch_path
 from millrace.sources import csv as S
 from millrace.sources import tables as T
 from millrace.streaming import envelopes as E
@@ -223,3 +223,14 @@ def test_limits_are_those_of_the_table(spark):
     spark.createDataFrame([(json.dumps(agent),)], "value string").write.text(f"{root}/landing/csv/a")
     N.ingest(spark, f"{root}/landing", f"{root}/cp", area)
     assert [r._uncastable for r in N.read_rejects(spark, area).collect()] == [["trang_thai"]]
+
+
+def test_scratch_can_be_discarded(spark, monkeypatch):
+    import millrace.session as session
+
+    monkeypatch.setattr(session, "_scratch", [])
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert discard_scratch(spark) == 1 and discard_scratch(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
