@@ -43,11 +43,13 @@ PERCENT = 75
 _TABLE = word_table(b" \t\n\r\x0b\x0c")
 _STEP = 1 << 20
 #: Signatures that a task looks through at a time; documents of one run of signatures.
-PART, RUN_DOCUMENTS = 1_000_000, 60_000
+PART, RUN_DOCUMENTS = 500_000, 60_000
 #: Documents compared with each other in one go where a signature has several components, or with one hub.
 BLOCK, HUB_BLOCK = 1024, 256
 #: Rows of several small groups that are compared in one task.
 CELL_ROWS = 20_000
+#: Pairs of a document and signature that a round looks at; the last one looks at all that are left.
+ROUNDS = (8, None)
 _WIDEST = 1 << 16
 
 
@@ -311,38 +313,95 @@ def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _across(table: pa.Table) -> pa.Table:
-    """Pairs of different components within the groups of a cell that sketches do not exclude."""
-    names = ("bucket", "x", "y", "node", "component", "side", "size")
-    bucket, x, y, node, component, side, size = (table.column(c).to_numpy() for c in names)
-    raw = table.column("sketch").combine_chunks()
-    order, new = groups_of(bucket, x, y)
-    cuts = np.append(np.flatnonzero(new), len(order))
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        group = order[a:b]
-        sketches = [raw[int(k)].as_py() for k in group]
-        width = np.array([len(z) for z in sketches])
-        two = x[group[0]] != y[group[0]]
-        for w in np.unique(width):
-            # Each width with itself and the double, folded to it: similar sizes are at most one width apart.
-            for v in (w, 2 * w):
-                i, j = np.flatnonzero(width == w), np.flatnonzero(width == v)
-                if not len(i) or not len(j):
-                    continue
-                p, q = (np.stack([np.frombuffer(sketches[k], np.uint8) for k in part]) for part in (i, j))
-                rows, columns = group[i], group[j]
-                keep = component[rows][:, None] != component[columns][None, :]
-                if two:
-                    keep &= side[rows][:, None] != side[columns][None, :]
-                keep &= may_link(size[rows][:, None], size[columns][None, :], _distance(p, _folded(q, w)))
-                k, m = np.nonzero(keep)
-                left.append(node[rows[k]])
-                right.append(node[columns[m]])
-    a, b = (np.concatenate(part) for part in (left, right))
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    order, new = groups_of(low, high)
-    return pa.table({"a": low[order][new].astype(np.int64), "b": high[order][new].astype(np.int64)})
+def _nearest(end: np.ndarray, distance: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs are among the ``most`` nearest of their end."""
+    order = np.lexsort((distance, end))
+    first = np.flatnonzero(np.concatenate([[True], end[order][1:] != end[order][:-1]])) if len(end) else order
+    rank = np.arange(len(end)) - np.repeat(first, np.diff(np.append(first, len(end))))
+    near = np.zeros(len(end), bool)
+    near[order[rank < most]] = True
+    return near
+
+
+def _across(most: int | None):
+    """Pairs of different components within the groups of a cell that sketches do not exclude.
+
+    With ``most``, only the nearest of each document: the others wait for a later round.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        names = ("bucket", "x", "y", "node", "component", "side", "size")
+        bucket, x, y, node, component, side, size = (table.column(c).to_numpy() for c in names)
+        raw = table.column("sketch").combine_chunks()
+        order, new = groups_of(bucket, x, y)
+        cuts = np.append(np.flatnonzero(new), len(order))
+        low, high = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            group = order[a:b]
+            sketches = [raw[int(k)].as_py() for k in group]
+            width = np.array([len(z) for z in sketches])
+            two = x[group[0]] != y[group[0]]
+            found = []
+            for w in np.unique(width):
+                # Each width with itself and the double, folded to it: similar sizes are at most one width apart.
+                for v in (w, 2 * w):
+                    i, j = np.flatnonzero(width == w), np.flatnonzero(width == v)
+                    if not len(i) or not len(j):
+                        continue
+                    p, q = (np.stack([np.frombuffer(sketches[k], np.uint8) for k in part]) for part in (i, j))
+                    rows, columns = group[i], group[j]
+                    keep = component[rows][:, None] != component[columns][None, :]
+                    if two:
+                        keep &= side[rows][:, None] != side[columns][None, :]
+                    distance = _distance(p, _folded(q, w))
+                    keep &= may_link(size[rows][:, None], size[columns][None, :], distance)
+                    k, m = np.nonzero(keep)
+                    found.append((node[rows[k]], node[columns[m]], distance[k, m]))
+            left, right, distance = (np.concatenate(part) for part in zip(*found, strict=True))
+            left, right = np.minimum(left, right), np.maximum(left, right)
+            chosen, fresh = groups_of(left, right)
+            left, right, distance = (part[chosen][fresh] for part in (left, right, distance))
+            if most is not None:
+                near = _nearest(left, distance, most) | _nearest(right, distance, most)
+                left, right = left[near], right[near]
+            low.append(left)
+            high.append(right)
+        a, b = np.concatenate(low), np.concatenate(high)
+        order, new = groups_of(a, b)
+        return pa.table({"a": a[order][new].astype(np.int64), "b": b[order][new].astype(np.int64)})
+
+    return run
+
+
+def _open_pairs(shared: DataFrame, parts: DataFrame, nodes: DataFrame, most: int | None) -> DataFrame | None:
+    """Pairs to verify among the documents of signatures that span several components; None if there are none."""
+    placed = shared.join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    # Many signatures have the very same documents: one of those is enough.
+    open_ = saved(
+        placed.groupBy("bucket")
+        .agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"),
+            F.bit_xor(F.xxhash64("node")).alias("h1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("h2"),
+        )
+        .where("low != high")
+        .groupBy("n", "h1", "h2")
+        .agg(F.min("bucket").alias("bucket"))
+        .select("bucket", "n", F.expr(f"(n + {BLOCK // 2 - 1}) div {BLOCK // 2}").alias("blocks")),
+        "open",
+    )
+    compared = open_.agg(F.sum(F.expr("n * blocks"))).first()[0]
+    if not compared:
+        return None
+    # A large group is cut into blocks, and each pair of blocks is a group of bounded size.
+    blocks = (
+        placed.join(open_, "bucket")
+        .join(nodes.select("node", "size", "sketch"), "node")
+        .withColumn("side", F.expr("pmod(xxhash64(node), blocks)"))
+        .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+        .select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "node", "component", "size", "sketch")
+        .withColumn("cell", F.pmod(F.xxhash64("bucket", "x", "y"), F.lit(1 + int(compared) // CELL_ROWS)))
+    )
+    return blocks.groupBy("cell").applyInArrow(_across(most), "a long, b long").distinct()
 
 
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,37 +455,23 @@ def join(docs: DataFrame) -> DataFrame:
     links = saved(_linked(first, nodes, texts), "links")
     parts = components(links)
 
-    # Signatures whose documents are still in several components.
-    shared = named(found.where(F.col("kind") == _BUCKET).select(F.col("a").alias("bucket"), F.explode("members").alias("node")), "node")
-    placed = shared.join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    # Many signatures have the very same documents: one of those is enough.
-    open_ = saved(
-        placed.groupBy("bucket")
-        .agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"),
-            F.bit_xor(F.xxhash64("node")).alias("h1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("h2"),
-        )
-        .where("low != high")
-        .groupBy("n", "h1", "h2")
-        .agg(F.min("bucket").alias("bucket"))
-        .select("bucket", "n", F.expr(f"(n + {BLOCK // 2 - 1}) div {BLOCK // 2}").alias("blocks")),
-        "open",
-    )
-    compared = open_.agg(F.sum(F.expr("n * blocks"))).first()[0] or 0
-    cells = 1 + int(compared) // CELL_ROWS
-    # A large bucket is cut into blocks, and each pair of blocks is a group of bounded size.
-    blocks = (
-        placed.join(open_, "bucket")
-        .join(nodes.select("node", "size", "sketch"), "node")
-        .withColumn("side", F.expr("pmod(xxhash64(node), blocks)"))
-        .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-        .select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "node", "component", "size", "sketch")
-        .withColumn("cell", F.pmod(F.xxhash64("bucket", "x", "y"), F.lit(cells)))
+    # Signatures whose documents are still in several components. The nearest pairs come first, so that what
+    # belongs together becomes one component before all pairs across components are asked for.
+    shared = saved(
+        named(found.where(F.col("kind") == _BUCKET).select(F.col("a").alias("bucket"), F.explode("members").alias("node")), "node"),
+        "shared",
     )
-    more = blocks.groupBy("cell").applyInArrow(_across, "a long, b long").distinct()
-    second = saved(more.join(first, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(_linked(second, nodes, texts))
-    parts = saved(components(links), "components")
+    done = first
+    for most in ROUNDS:
+        pairs = _open_pairs(shared, parts, nodes, most)
+        if pairs is None:
+            break
+        pairs = saved(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            continue
+        links = links.unionByName(saved(_linked(pairs, nodes, texts), "links"))
+        done = done.unionByName(pairs)
+        parts = saved(components(links), "components")
 
     known = members.join(nodes.select("digest", "node"), "digest", "left").join(parts, "node", "left")
     known = known.select("doc_id", "check", "size", "node", F.coalesce("component", "node").alias("component"))
