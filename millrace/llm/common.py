@@ -16,6 +16,15 @@ U64 = np.uint64
 STEP_BYTES = 2 << 20
 
 
+#: What a task sends to its Python worker at a time; the default takes 10,000 texts, however long.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound batches by bytes, in the session: half of a small executor would else be batches on their way."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

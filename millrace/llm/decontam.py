@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
-    U64, byte_array, lower_ascii, prefix_hash, run_hash, runs_of, saved, steps, word_table, words_of,
+    U64, byte_array, lower_ascii, prefix_hash, run_hash, runs_of, saved, small_batches, steps, word_table, words_of,
 )
 
 # Fixed value: bytes that no word has, beside capitals, which are lowered first.
@@ -230,6 +230,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     without words hit nothing; rows of an item's id are united. Only ``doc_id``, ``text``, ``item_id`` and
     ``text`` are read, other columns are ignored. An empty table on either side gives no hits.
     """
+    small_batches(docs.sparkSession)
     index = saved(build_index(docs), "postings")
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0

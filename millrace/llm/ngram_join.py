@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
-    U64, Scatter, byte_array, gathered, groups_of, lower_ascii, mix, part_bits, prefix_hash, run_hash, saved, steps,
+    U64, Scatter, byte_array, gathered, groups_of, lower_ascii, mix, part_bits, prefix_hash, run_hash, saved, small_batches, steps,
     word_table, words_of,
 )
 from millrace.llm.graphs import components
@@ -422,6 +422,7 @@ def join(docs: DataFrame) -> DataFrame:
     smallest id counts, and null ids only where there is no other. Other columns are ignored; an empty table gives
     no rows. Shingles and sets are compared by 64-bit and 128-bit hashes.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
-    SCATTERED, U64, Scatter, byte_array, gathered, groups_of, mix, part_bits, prefix_hash, run_hash, runs_of, saved, steps,
+    SCATTERED, U64, Scatter, byte_array, gathered, groups_of, mix, part_bits, prefix_hash, run_hash, runs_of, saved, small_batches, steps,
 )
 
 LENGTH, BLOCK = 100, 32
@@ -144,6 +144,7 @@ def _repeated(table: pa.Table) -> pa.Table:
 
 def find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Compressed texts (doc_id, check, z), and marks: ``n`` repeated windows from ``start`` on of a document."""
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
