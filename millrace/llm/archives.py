@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import saved, steps
+from millrace.llm.common import saved, small_batches, steps
 from millrace.session import scratch_path
 
 # Signatures and sizes of the ZIP format's structures.
@@ -40,7 +40,7 @@ WARC_MEMBER = "archive/data-{:05d}.warc"
 MEMBER_BYTES = 64 << 20
 ARCHIVE_MEMBERS = 8
 #: Records that are near each other in an archive are read together.
-READ_BYTES = 8 << 20
+READ_BYTES = 2 << 20
 
 
 def open_store(uri: str) -> tuple[fs.FileSystem, str]:
@@ -298,53 +298,58 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     return saved(pages.select("page_id", "url", "z", "refers_to").mapInArrow(run, ARCHIVES), "archives")
 
 
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            store, place = open_store(path)
+            with store.open_input_file(place) as source:
+                reader = ZipReader(source, source.size())
+                starts = {m: reader.range_of(m)[0] for m in reader.members if m.startswith("archive/")}
+                lines = [json.loads(x) for x in reader.read(*reader.range_of(INDEX_MEMBER)).splitlines()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([path] * len(lines), pa.string()),
+                    pa.array([starts[x["filename"]] + x["offset"] for x in lines], pa.int64()),
+                    pa.array([x["length"] for x in lines], pa.int64()),
+                ],
+                names=["path", "at", "length"],
+            )
+
+
 def list_records(archives: DataFrame) -> DataFrame:
     """(path, at, length) of every record of the archives, from their directories and indexes alone."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path in batch.column("path").to_pylist():
-                store, place = open_store(path)
-                with store.open_input_file(place) as source:
-                    reader = ZipReader(source, source.size())
-                    starts = {m: reader.range_of(m)[0] for m in reader.members if m.startswith("archive/")}
-                    lines = [json.loads(x) for x in reader.read(*reader.range_of(INDEX_MEMBER)).splitlines()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([path] * len(lines), pa.string()),
-                        pa.array([starts[x["filename"]] + x["offset"] for x in lines], pa.int64()),
-                        pa.array([x["length"] for x in lines], pa.int64()),
-                    ],
-                    names=["path", "at", "length"],
-                )
-
-    return archives.mapInArrow(run, "path string, at long, length long")
+    return archives.mapInArrow(_listed, "path string, at long, length long")
 
 
 def read_records(ranges: DataFrame) -> DataFrame:
     """Records by (path, at, length); neighbours in an archive are read in one go of bounded size."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            wanted = sorted(zip(*(batch.column(c).to_pylist() for c in ("path", "at", "length")), strict=True))
-            first = 0
-            while first < len(wanted):
-                path, begin, n = wanted[first]
-                last, end = first + 1, begin + n
-                while last < len(wanted) and wanted[last][0] == path and wanted[last][1] <= end and wanted[last][1] + wanted[last][2] - begin <= READ_BYTES:
-                    end = max(end, wanted[last][1] + wanted[last][2])
-                    last += 1
-                store, place = open_store(path)
-                with store.open_input_file(place) as source:
-                    data = source.read_at(end - begin, begin)
-                rows = [_record(data[at - begin : at - begin + n]) for _, at, n in wanted[first:last]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)],
-                    names=["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"],
-                )
-                first = last
-
-    return ranges.mapInArrow(run, RECORDS)
+    return ranges.mapInArrow(_read, RECORDS)
+
+
+def read_archives(archives: DataFrame) -> DataFrame:
+    """All records of the archives, listed and read by one worker of each task."""
+    return archives.mapInArrow(lambda batches: _read(_listed(batches)), RECORDS)
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        wanted = sorted(zip(*(batch.column(c).to_pylist() for c in ("path", "at", "length")), strict=True))
+        first = 0
+        while first < len(wanted):
+            path, begin, n = wanted[first]
+            last, end = first + 1, begin + n
+            while last < len(wanted) and wanted[last][0] == path and wanted[last][1] <= end and wanted[last][1] + wanted[last][2] - begin <= READ_BYTES:
+                end = max(end, wanted[last][1] + wanted[last][2])
+                last += 1
+            store, place = open_store(path)
+            with store.open_input_file(place) as source:
+                data = source.read_at(end - begin, begin)
+            rows = [_record(data[at - begin : at - begin + n]) for _, at, n in wanted[first:last]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)],
+                names=["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"],
+            )
+            first = last
 
 
 def _record(data: bytes) -> tuple:
@@ -370,10 +375,11 @@ def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     with the largest id; repeated rows of that largest id are all responses, and a null id is smaller than any. A
     group of null ids only has no revisits. An empty table gives no records. Other columns are ignored.
     """
+    small_batches(pages.sparkSession)
     folder = scratch_path(pages.sparkSession, "wacz")
     archives = write_archives(with_revisits(pages, least_bytes), folder)
     # A fixed number: paths are few bytes, and adaptive execution would read all archives in one task.
-    return read_records(list_records(archives.repartition(min(max(archives.count(), 1), 10_000), "path")))
+    return read_archives(archives.repartition(min(max(archives.count(), 1), 10_000), "path"))
 
 
 def digests(records: DataFrame) -> DataFrame:
