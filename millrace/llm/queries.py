@@ -44,7 +44,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.digests(suffixes.deduplicated(documents(spark, sf_dir)))
+    return suffixes.deduplicated_digests(documents(spark, sf_dir))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

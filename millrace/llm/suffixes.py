@@ -226,43 +226,60 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     has one result twice; different texts of one id stand in the order of a hash. An empty table gives no rows. Other
     columns are ignored.
     """
+    return _marked(docs).mapInArrow(_finish, _ROWS)
+
+
+_ROWS = "doc_id long, text binary, starts array<long>, ends array<long>"
+
+
+def _marked(docs: DataFrame) -> DataFrame:
     texts, again = find(docs)
     grouped = again.groupBy("doc_id", "check").agg(F.collect_list("start").alias("s"), F.collect_list("n").alias("c"))
+    return texts.join(grouped, ["doc_id", "check"], "left")
+
+
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for first in range(0, batch.num_rows, 200):
+            rows = []
+            for r in batch.slice(first, 200).to_pylist():
+                text = unpack.decompress(r["z"])
+                a, b = removed_runs(len(text), r["s"] or [], r["c"] or [])
+                rows.append((None if r["doc_id"] == -(2**63) else r["doc_id"], text, a.tolist(), b.tolist()))
+            columns, runs = zip(*rows, strict=True), pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.binary(), runs, runs), strict=True)],
+                names=["doc_id", "text", "starts", "ends"],
+            )
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
-            for first in range(0, batch.num_rows, 200):
-                rows = []
-                for r in batch.slice(first, 200).to_pylist():
-                    text = unpack.decompress(r["z"])
-                    a, b = removed_runs(len(text), r["s"] or [], r["c"] or [])
-                    rows.append((None if r["doc_id"] == -(2**63) else r["doc_id"], text, a.tolist(), b.tolist()))
-                columns, runs = zip(*rows, strict=True), pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.binary(), runs, runs), strict=True)],
-                    names=["doc_id", "text", "starts", "ends"],
-                )
 
-    return texts.join(grouped, ["doc_id", "check"], "left").mapInArrow(finish, "doc_id long, text binary, starts array<long>, ends array<long>")
+_DIGESTS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+
+
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, 200):
+            out = []
+            for r in batch.slice(first, 200).to_pylist():
+                kept, at, text = hashlib.sha256(), 0, r["text"]
+                for a, b in zip(r["starts"], r["ends"], strict=True):
+                    kept.update(text[at:a])
+                    at = b
+                kept.update(text[at:])
+                out.append((r["doc_id"], len(text), sum(r["ends"]) - sum(r["starts"]), len(r["starts"]), kept.hexdigest()))
+            columns, number = zip(*out, strict=True), pa.int64()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(columns, (number, number, number, number, pa.string()), strict=True)],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+            )
 
 
 def digests(rows: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, batch.num_rows, 200):
-                out = []
-                for r in batch.slice(first, 200).to_pylist():
-                    kept, at, text = hashlib.sha256(), 0, r["text"]
-                    for a, b in zip(r["starts"], r["ends"], strict=True):
-                        kept.update(text[at:a])
-                        at = b
-                    kept.update(text[at:])
-                    out.append((r["doc_id"], len(text), sum(r["ends"]) - sum(r["starts"]), len(r["starts"]), kept.hexdigest()))
-                columns, number = zip(*out, strict=True), pa.int64()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t) for c, t in zip(columns, (number, number, number, number, pa.string()), strict=True)],
-                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
-                )
+    """What :func:`deduplicated` comes to, by document."""
+    return rows.mapInArrow(_digest, _DIGESTS)
+
 
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+def deduplicated_digests(docs: DataFrame) -> DataFrame:
+    """The same as ``digests(deduplicated(docs))``, by one worker of each task."""
+    return _marked(docs).mapInArrow(lambda batches: _digest(_finish(batches)), _DIGESTS)
