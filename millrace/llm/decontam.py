@@ -9,7 +9,6 @@ lists. Phrases go out in blocks of bounded size, so a benchmark of any size can
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -252,32 +251,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
 
 
 def digests(found: DataFrame) -> DataFrame:
-    """What the contamination of each document comes to."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = []
-            for starts, ends in zip(batch.column("starts").to_pylist(), batch.column("ends").to_pylist(), strict=True):
-                total, reached = 0, 0
-                for a, b in sorted(zip(starts, ends, strict=True)):
-                    total += max(0, b - max(a, reached))
-                    reached = max(reached, b)
-                hit.append(total)
-            items = batch.column("items").to_pylist()
-            n_hit, n_words = np.array(hit, np.int64), batch.column("n_words").to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("n_words"),
-                    pa.array(n_hit),
-                    pa.array([len(x) for x in items], pa.int64()),
-                    pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
-                    pa.array((n_hit > 0) & (20 * n_hit >= n_words)),
-                ],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
-            )
-
-    return found.mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    """What the contamination of each document comes to; spans of several blocks can overlap."""
+    zero = F.lit(0).cast("long")
+    n_hit = F.aggregate(
+        F.array_sort(F.arrays_zip("starts", "ends")),
+        F.struct(zero.alias("total"), zero.alias("reached")),
+        lambda done, span: F.struct(
+            (done["total"] + F.greatest(zero, span["ends"] - F.greatest(span["starts"], done["reached"]))).alias("total"),
+            F.greatest(done["reached"], span["ends"]).alias("reached"),
+        ),
+        lambda done: done["total"],
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+    ).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
