@@ -12,6 +12,7 @@ has reported are read.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
 import struct
@@ -35,7 +36,7 @@ MAX16, MAX32 = 0xFFFF, 0xFFFFFFFF
 ZIP64_FIELD = 1
 
 INDEX_MEMBER = "indexes/index.cdxj"
-WARC_MEMBER = "archive/data-{:05d}.warc"
+WARC_MEMBER = "archive/data-{:05d}.warc.gz"
 #: A WARC member is closed beyond this size, and an archive beyond so many members.
 MEMBER_BYTES = 64 << 20
 ARCHIVE_MEMBERS = 8
@@ -284,6 +285,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                     "X-Refers-To-Page-ID": str(row["refers_to"]),
                 }
             record = warc_record("revisit" if revisit else "response", headers, http if revisit else http + payload)
+            # Each record is a gzip member of its own, so it can be read alone; the ZIP member stays stored.
+            record = gzip.compress(record, mtime=0)
             member = WARC_MEMBER.format(len(writer.members))
             in_member = writer.current[3]
             writer.data(record)
@@ -353,7 +356,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _record(data: bytes) -> tuple:
-    headers, block = parse_record(data)
+    headers, block = parse_record(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data)
     head, _, payload = block.partition(b"\r\n\r\n")
     http = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode().split("\r\n")[1:])}
     stated = headers["warc-payload-digest"].removeprefix("sha1:")
