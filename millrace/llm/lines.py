@@ -32,7 +32,7 @@ def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
     """(doc_id, check, place) of every line that stands earlier: in a smaller doc_id, or before in the same text."""
     units = _rows(docs).select("doc_id", "check", F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
     line = normalised(F.col("line"))
-    units = units.where(F.size(F.split(line, " ")) >= least_words).select(
+    units = units.where((F.size(F.split(line, " ")) >= least_words) & (line != "")).select(
         "doc_id", "check", "place", F.unhex(F.md5(line)).alias("digest")
     )
     units = saved(units, "lines")
@@ -115,3 +115,6 @@ SELECT doc_id, (sum(length(line) + 1) - 1)::BIGINT AS n_chars, count(*) AS n_lin
     sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM placed GROUP BY doc_id
 """
+
+#: The same with every line that is not empty as a unit.
+EVERY_SQL = SQL.replace(f"len(string_split(unit, ' ')) >= {LEAST_WORDS}", "unit <> ''")

@@ -31,6 +31,10 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(lines.deduplicated(documents(spark, sf_dir)))
 
 
+def op5_every_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digests(lines.deduplicated(documents(spark, sf_dir), least_words=1))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.digests(archives.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
@@ -57,6 +61,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_join": op3_ngram_join,
     "op4_decontamination": op4_decontamination,
     "op5_lines": op5_lines,
+    "op5_every_line": op5_every_line,
     "op6_warc": op6_warc,
     "op7_fingerprints": op7_fingerprints,
     "op8_packing": op8_packing,
@@ -64,4 +69,4 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_lines": lines.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_lines": lines.SQL, "op5_every_line": lines.EVERY_SQL}

@@ -51,6 +51,15 @@ def test_lines(spark):
     assert lines.deduplicated(docs.limit(0)).count() == 0
 
 
+def test_every_line(spark):
+    """Short lines and lines without blanks are units too; empty lines are none."""
+    assert rows_of_spark(queries.op5_every_line(spark, SF)) == rows_of_sql(connect(SF), queries.ORACLE_SQL["op5_every_line"])
+    rows = [(1, "short line\n\n汉字" * 2), (2, "Short  line\n\n \n汉字\nown"), (3, None), (4, "own")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    out = {r["doc_id"]: r["kept"] for r in lines.deduplicated(docs, least_words=1).collect()}
+    assert out == {1: "short line\n\n汉字short line\n\n汉字", 2: "\n \nown", 3: "", 4: ""}
+
+
 def test_redaction(spark):
     rows = [(1, "a token=abcdefghij b"), (2, "AKIA" + "A1" * 10), (3, None), (4, "clean"), (5, "secret=" + "ab" * 20 + " x " + "cd" * 16)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
