@@ -8,9 +8,11 @@ anchors at equal places. The passes are
 1. by anchor: blocks that occur once end here, and with them nearly all windows;
 2. by context (the bytes of all windows of an anchor): of equal contexts the earliest goes on, all windows of the
    others are repeated;
-3. by the digits of the windows themselves, eight bytes at a time: only for anchors with several contexts.
+3. by the digits of the windows themselves: only for anchors with several contexts.
 
-Equal contexts within a task are put together before anything is shuffled.
+Within a task equal contexts are put together before anything is shuffled, and so are equal windows (eight bytes at a
+time); of those only the earliest goes on, so that an anchor or window of very many documents is a few entries for
+each task. Across tasks windows are compared by 128-bit hashes.
 """
 
 from __future__ import annotations
@@ -32,8 +34,14 @@ LENGTH, BLOCK = 100, 32
 #: Entries that a task of the first and of the last pass sorts at a time.
 FIRST_PART, LAST_PART = 250_000, 8_000
 _STEP = 1 << 19
-#: anchor, context, document, text's hash, start of its first window, number of windows, place of the anchor.
-_ENTRY = ["<u4", "<u8", "<i8", "<i4", "<u4", "u1", "u1"]
+#: Entries, and windows, that a task puts together at a time; contexts of an anchor that it sends on one by one.
+_ENTRIES, _WINDOWS, _SEVERAL = 1 << 19, 1 << 19, 8
+#: anchor, context, document, text's hash, start of its first window, number of windows, place of the anchor, state.
+_ENTRY = ["<u4", "<u8", "<i8", "<i4", "<u4", "u1", "u1", "u1"]
+#: An entry to be compared; the same, its anchor having further contexts; one that is repeated; one to look into.
+_PLAIN, _ONE_OF, _AGAIN, _OPEN = range(4)
+#: Both halves of a window's hash, document, text's hash, start, and how many windows are repeated, 0 if it is to be compared.
+_WINDOW = ["<u8", "<u8", "<i8", "<i4", "<u4", "<u4"]
 MARKS = "doc_id long, check int, start long, n int, anchor int, again boolean"
 
 
@@ -80,24 +88,47 @@ def _marks(doc_id, check, start, n, anchor, again) -> pa.RecordBatch:
     )
 
 
-def _settled(anchor, context, doc_id, check, start, n, place) -> pa.RecordBatch:
-    """Marks of entries: ``again`` where an equal context is earlier, not where the context must be looked into."""
-    order = np.argsort(anchor, kind="stable")
-    same = anchor[order][1:] == anchor[order][:-1]
-    chosen = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])] if len(order) else order
-    anchor, context, doc_id, check, start, n, place = (x[chosen] for x in (anchor, context, doc_id, check, start, n, place))
+def _ranked(anchor, context, doc_id, check, start):
+    """A sorting order, and in it: the anchor's group, where a context begins, where an entry is its context's first."""
     order, _ = groups_of(anchor, context, doc_id, check, start)
-    anchor, context, doc_id, check, start, n, place = (x[order] for x in (anchor, context, doc_id, check, start, n, place))
-    if not len(order):
-        return _marks(doc_id, check, start, n, place, np.zeros(0, bool))
-    new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
-    new_context = new_anchor | np.concatenate([[True], context[1:] != context[:-1]])
+    anchor, context, doc_id, check, start = (x[order] for x in (anchor, context, doc_id, check, start))
+    new_anchor, new_context = np.ones(len(order), bool), np.ones(len(order), bool)
+    new_anchor[1:] = anchor[1:] != anchor[:-1]
+    new_context[1:] = new_anchor[1:] | (context[1:] != context[:-1])
+    first = np.maximum.accumulate(np.where(new_context, np.arange(len(order)), 0))
     # The same row twice is one document.
-    twice = ~new_context & np.concatenate([[False], (doc_id[1:] == doc_id[:-1]) & (check[1:] == check[:-1]) & (start[1:] == start[:-1])])
-    group = np.cumsum(new_anchor) - 1
-    several = np.bincount(group, new_context)[group] > 1
-    wanted = (~new_context & ~twice) | (new_context & several)
-    return _marks(*(x[wanted] for x in (doc_id, check, start, n, place)), ~new_context[wanted])
+    return order, np.cumsum(new_anchor) - 1, new_context, (doc_id == doc_id[first]) & (check == check[first]) & (start == start[first])
+
+
+def _together(most: int, anchor, *columns):
+    """Entries of a task, put together: hashes by which they are dealt out, and the columns of ``_ENTRY``.
+
+    What is settled here goes anywhere: repeated contexts, and contexts to be looked into because their anchor has
+    more than ``most`` in this task. Of the latter one stands for all in the comparison with other tasks.
+    """
+    order, group, new_context, first = _ranked(anchor, *columns[:4])
+    anchor, *columns = (x[order] for x in (anchor, *columns))
+    many = np.bincount(group, new_context, minlength=1)[group] > most
+    new_anchor = np.ones(len(order), bool)
+    new_anchor[1:] = group[1:] != group[:-1]
+    state = np.where(~first, _AGAIN, np.where(~many, _PLAIN, np.where(new_anchor, _ONE_OF, _OPEN)))
+    wanted = ~first | new_context
+    dealt = np.where(state >= _AGAIN, mix(columns[0] ^ mix(columns[1].astype(U64) + columns[3].astype(U64))), anchor)
+    return [x[wanted] for x in (dealt, anchor & U64(0xFFFFFFFF), *columns, state)]
+
+
+def _settled(anchor, context, doc_id, check, start, n, place, state) -> pa.RecordBatch:
+    """Marks of entries: ``again`` where an equal context is earlier, not where the context must be looked into."""
+    known = state >= _AGAIN
+    done = [x[known] for x in (doc_id, check, start, n, place)]
+    known_again = state[known] == _AGAIN
+    anchor, context, doc_id, check, start, n, place, state = (x[~known] for x in (anchor, context, doc_id, check, start, n, place, state))
+    order, group, new_context, first = _ranked(anchor, context, doc_id, check, start)
+    several = (np.bincount(group, new_context, minlength=1) > 1) | (np.bincount(group, state[order] == _ONE_OF, minlength=1) > 0)
+    wanted = ~first | (new_context & several[group])
+    chosen = order[wanted]
+    columns = [np.concatenate([a, b[chosen]]) for a, b in zip(done, (doc_id, check, start, n, place), strict=True)]
+    return _marks(*columns, np.concatenate([known_again, ~first[wanted]]))
 
 
 def equal_windows(data: np.ndarray, starts: np.ndarray, group: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -117,29 +148,64 @@ def equal_windows(data: np.ndarray, starts: np.ndarray, group: np.ndarray, lengt
     return left, group
 
 
-def _repeated(table: pa.Table) -> pa.Table:
-    """The last pass over a part: which windows of the contexts have an earlier equal."""
-    doc_id, check, start, n, place = (table.column(c).to_numpy() for c in ("doc_id", "check", "start", "n", "anchor"))
-    data, at = byte_array(table.column("context").combine_chunks())
-    block, new = groups_of(table.column("key").to_numpy())
-    anchor = np.empty(len(block), np.int64)
-    anchor[block] = np.cumsum(new)
-    earlier = np.empty(len(block), np.int64)
-    earlier[np.lexsort((start + place, check, doc_id))] = np.arange(len(block))
+def _window_hashes(data: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each window."""
+    words = np.zeros(max(len(data) - 7, 0), U64)
+    for k in range(8):
+        words |= data[k : len(data) - 7 + k].astype(U64) << U64(8 * (7 - k))
+    out = np.zeros(len(starts), U64)
+    for depth in [*range(0, length - 8, 8), length - 8]:
+        out = mix(out * U64(0x9E3779B97F4A7C15) + words[starts + depth])
+    return run_hash(prefix_hash(data), starts, starts + length), out
+
+
+def _windows(doc_id, check, start, n, contexts: list[bytes]):
+    """Windows of contexts, put together: hashes by which they are dealt out, and the columns of ``_WINDOW``.
+
+    Of equal windows the earliest is to be compared with other tasks; the others are repeated, neighbours as one.
+    """
+    doc_id, check, start, n = (np.array(x, np.int64) for x in (doc_id, check, start, n))
+    data = np.frombuffer(b"".join(contexts), np.uint8)
+    sizes = np.array([len(c) for c in contexts])
     entry = np.repeat(np.arange(len(n)), n)
     within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    # Windows of one anchor can only be equal where it has the same place in them.
-    group = anchor[entry] * 256 + (place[entry] - within)
-    left, group = equal_windows(data, at[entry] + within, group)
-    order, new = groups_of(group, earlier[entry[left]])
+    at = (np.cumsum(sizes) - sizes)[entry] + within
+    place = start[entry] + within
+    left, group = equal_windows(data, at, np.zeros(len(at), np.int64))
+    order, _ = groups_of(group, doc_id[entry[left]], check[entry[left]], place[left])
     left, group = left[order], group[order]
-    first = np.concatenate([[True], group[1:] != group[:-1]]) if len(left) else np.zeros(0, bool)
-    again = np.sort(left[~first])
+    later = np.zeros(len(left), bool)
+    later[1:] = group[1:] == group[:-1]
+    again = np.sort(left[later])
     # Neighbouring windows of an entry become one mark.
     cut = np.flatnonzero(np.concatenate([[True], (np.diff(again) != 1) | (entry[again][1:] != entry[again][:-1])])) if len(again) else again
-    sizes = np.diff(np.concatenate([cut, [len(again)]])) if len(again) else again
-    e, w = entry[again[cut]], within[again[cut]]
-    return pa.Table.from_batches([_marks(doc_id[e], check[e], start[e] + w, sizes, place[e], np.ones(len(e), bool))])
+    counts = np.diff(np.concatenate([cut, [len(again)]])) if len(again) else again
+    marked = again[cut]
+    compared = np.ones(len(at), bool)
+    compared[left[later]] = False
+    compared = np.flatnonzero(compared)
+    h1, h2 = _window_hashes(data, at[compared])
+    anywhere = mix(mix(doc_id[entry[marked]].astype(U64)) + place[marked].astype(U64))
+    chosen = np.concatenate([compared, marked])
+    none = np.zeros(len(marked), U64)
+    return [
+        np.concatenate([h1, anywhere]), np.concatenate([h1, none]), np.concatenate([h2, none]),
+        doc_id[entry[chosen]], check[entry[chosen]], place[chosen], np.concatenate([np.zeros(len(compared), np.int64), counts]),
+    ]
+
+
+def _repeated(table: pa.Table) -> pa.Table:
+    """The last pass over a part: which windows have an earlier equal."""
+    h1, h2, doc_id, check, start, n = gathered(table, _WINDOW)
+    known = np.flatnonzero(n > 0)
+    rest = np.flatnonzero(n == 0)
+    order, _ = groups_of(*(x[rest] for x in (h1, h2, doc_id, check, start)))
+    order = rest[order]
+    later = np.zeros(len(order), bool)
+    later[1:] = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
+    again = np.concatenate([known, order[later]])
+    zero = np.zeros(len(again), np.int64)
+    return pa.Table.from_batches([_marks(doc_id[again], check[again], start[again], np.maximum(n[again], 1), zero, zero == 0)])
 
 
 def find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -153,52 +219,46 @@ def find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     bits = part_bits(total * 2 / (LENGTH - BLOCK), FIRST_PART)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Scatter(bits, _ENTRY)
+        out, held = Scatter(bits, _ENTRY, 1), []
         for batch in steps(batches, limit=_STEP):
             doc_id, check = batch.column("doc_id").to_numpy(), batch.column("check").to_numpy()
             data, offsets = byte_array(batch.column("text"))
             hashes, place, start, last, context = anchors(data, offsets)
             row = np.searchsorted(offsets, start, side="right") - 1
-            yield from out.add(
-                hashes, (hashes & U64(0xFFFFFFFF)), context, doc_id[row], check[row], start - offsets[row], last - start + 1, place - start
-            )
-        yield from out.flush()
+            held.append((hashes, context, doc_id[row], check[row], start - offsets[row], (last - start + 1).astype(np.uint8), (place - start).astype(np.uint8)))
+            if sum(len(h[0]) for h in held) >= _ENTRIES:
+                yield from out.add(*_together(_SEVERAL, *(np.concatenate(c) for c in zip(*held, strict=True))))
+                held = []
+        if held:
+            yield from out.add(*_together(_SEVERAL, *(np.concatenate(c) for c in zip(*held, strict=True))))
 
     def settle(table: pa.Table) -> pa.Table:
-        anchor, context, doc_id, check, start, n, place = gathered(table, _ENTRY)
-        return pa.Table.from_batches([_settled(anchor, context, doc_id, check, start, n, place)])
+        return pa.Table.from_batches([_settled(*gathered(table, _ENTRY))])
 
     marks = saved(rows.mapInArrow(first, SCATTERED).groupBy("part").applyInArrow(settle, MARKS), "anchors")
     texts = rows.mapInArrow(_compressed, "doc_id long, check int, z binary")
 
     open_ = marks.where("not again")
-    parts = 1 << part_bits(open_.count(), LAST_PART)
-    wanted = open_.groupBy("doc_id", "check").agg(F.collect_set(F.struct("start", "n", "anchor")).alias("wanted"))
+    last_bits = part_bits(open_.count(), LAST_PART)
+    wanted = open_.groupBy("doc_id", "check").agg(F.collect_set(F.struct("start", "n")).alias("wanted"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
+        unpack, out, held, count = zstandard.ZstdDecompressor(), Scatter(last_bits, _WINDOW, 1), [], 0
         for batch in batches:
             for first_row in range(0, batch.num_rows, 200):
-                found = []
                 for r in batch.slice(first_row, 200).to_pylist():
                     text = unpack.decompress(r["z"])
                     for w in r["wanted"]:
-                        at, n, k = w["start"], w["n"], w["anchor"]
-                        key = int.from_bytes(hashlib.blake2b(text[at + k : at + k + BLOCK], digest_size=8).digest(), "little", signed=True)
-                        found.append((key % parts, key, r["doc_id"], r["check"], at, n, k, text[at : at + n - 1 + LENGTH]))
-                columns = list(zip(*found, strict=True)) or [[]] * 8
-                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)],
-                    names=["part", "key", "doc_id", "check", "start", "n", "anchor", "context"],
-                )
-
-    looked_into = (
-        texts.join(wanted, ["doc_id", "check"])
-        .mapInArrow(contexts, "part int, key long, doc_id long, check int, start long, n int, anchor int, context binary")
-        .groupBy("part")
-        .applyInArrow(_repeated, MARKS)
-    )
+                        at, n = w["start"], w["n"]
+                        held.append((r["doc_id"], r["check"], at, n, text[at : at + n - 1 + LENGTH]))
+                        count += n
+                        if count >= _WINDOWS:
+                            yield from out.add(*_windows(*(list(c) for c in zip(*held, strict=True))))
+                            held, count = [], 0
+        if held:
+            yield from out.add(*_windows(*(list(c) for c in zip(*held, strict=True))))
+
+    looked_into = texts.join(wanted, ["doc_id", "check"]).mapInArrow(contexts, SCATTERED).groupBy("part").applyInArrow(_repeated, MARKS)
     again = marks.where("again").unionByName(looked_into).select("doc_id", "check", "start", "n")
     return texts, again
 

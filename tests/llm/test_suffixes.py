@@ -70,3 +70,35 @@ def test_tables(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert got(queries.op9_suffixes(spark, sf)) == brute(rows)
+
+
+def test_shared_passage_is_few_entries_of_a_task():
+    """An anchor or window of all documents, with other text around it in each, does not go on once for each document."""
+    rng = random.Random(7)
+    passage = bytes(rng.randrange(97, 123) for _ in range(150))
+    texts = [bytes(rng.randrange(97, 123) for _ in range(120)) + passage + bytes(rng.randrange(97, 123) for _ in range(120)) for _ in range(300)]
+    offsets = np.cumsum([0, *map(len, texts)])
+    hashes, place, start, last, context = suffixes.anchors(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    row = np.searchsorted(offsets, start, side="right") - 1
+    n, at = last - start + 1, start - offsets[row]
+    assert np.unique(hashes, return_counts=True)[1].max() >= 300
+    dealt, anchor, *_, state = suffixes._together(suffixes._SEVERAL, hashes, context, row, row, at, n, place - start)
+    assert np.unique(anchor[state < suffixes._AGAIN], return_counts=True)[1].max() <= suffixes._SEVERAL
+    assert np.unique(dealt, return_counts=True)[1].max() <= suffixes._SEVERAL
+    contexts = [texts[r][a : a + k + 99] for r, a, k in zip(row, at, n, strict=True)]
+    dealt, *_, counts = suffixes._windows(row, row, at, n, contexts)
+    assert np.unique(dealt, return_counts=True)[1].max() == 1
+    windows = [text[k : k + 100] for text in texts for k in range(len(text) - 99)]
+    assert counts.sum() == len(windows) - len(set(windows))
+
+
+@pytest.mark.parametrize("several", [1, 8])
+def test_pieces_of_tasks_agree(spark, several, monkeypatch):
+    """Contexts and windows that are put together in several pieces of a task."""
+    rng = random.Random(11)
+    for name, value in (("_SEVERAL", several), ("_ENTRIES", 40), ("_WINDOWS", 100), ("_STEP", 2000), ("FIRST_PART", 500), ("LAST_PART", 20)):
+        monkeypatch.setattr(suffixes, name, value)
+    passage, pieces = " ".join(passages(rng, 6)), passages(rng, 6)
+    rows = [(i, " ".join([passages(rng, 1)[0], passage[: rng.randrange(100, 300)], rng.choice(pieces), *passages(rng, 1)])) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(suffixes.digests(suffixes.deduplicated(docs))) == brute(rows)
