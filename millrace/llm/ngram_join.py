@@ -458,8 +458,9 @@ def join(docs: DataFrame) -> DataFrame:
 
     # Signatures whose documents are still in several components. The nearest pairs come first, so that what
     # belongs together becomes one component before all pairs across components are asked for.
+    # Equal sets of several runs are one node now, and count once in a signature.
     shared = saved(
-        named(found.where(F.col("kind") == _BUCKET).select(F.col("a").alias("bucket"), F.explode("members").alias("node")), "node"),
+        named(found.where(F.col("kind") == _BUCKET).select(F.col("a").alias("bucket"), F.explode("members").alias("node")), "node").distinct(),
         "shared",
     )
     done = first

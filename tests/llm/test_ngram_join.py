@@ -125,3 +125,23 @@ def test_tables(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert got(queries.op3_ngram_join(spark, sf)) == brute(rows)
+
+
+def signed(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return set(J.signatures(J.shingle_sets(data, np.array([0, len(data)]))[0]).tolist())
+
+
+def test_copies_in_another_partition(spark):
+    """Pairs E-F that meet only in signatures with an unrelated smaller D, every row once more in another partition."""
+    rng, rows = random.Random(5), []
+    while len(rows) < 18:
+        words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(24)]
+        d, e = " ".join(words[:9] + words[17:]), " ".join(words[:16])
+        f = " ".join(words[:15] + words[16:17])
+        both = signed(e) & signed(f)
+        if both and both <= signed(d):
+            rows += [(len(rows) + k, text) for k, text in enumerate((d, e, f))]
+    rows += [(100 + k, text) for k, text in rows]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
+    assert got(J.join(docs)) == brute(rows)
