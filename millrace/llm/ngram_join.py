@@ -414,14 +414,8 @@ def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _NO_ID = -(2**63)
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """Every row of ``docs``: (doc_id, check, n_shingles, component_id); ``check`` is a hash of the text.
-
-    Rows without words have no shingles and are linked with nothing: their component is their own id. Fewer than
-    five words are one shingle. Equal sets are linked. Repeated rows are rows of their own with the same result; the
-    smallest id counts, and null ids only where there is no other. Other columns are ignored; an empty table gives
-    no rows. Shingles and sets are compared by 64-bit and 128-bit hashes.
-    """
+def _grouped(docs: DataFrame) -> DataFrame:
+    """(doc_id, check, size, component, smallest) of every row: the node of its component, null without words, and the component's id."""
     small_batches(docs.sparkSession)
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"),
@@ -480,7 +474,18 @@ def join(docs: DataFrame) -> DataFrame:
     smallest = known.where("component is not null").groupBy("component").agg(
         F.coalesce(F.min(F.when(F.col("doc_id") != _NO_ID, F.col("doc_id"))), F.lit(_NO_ID)).alias("smallest")
     )
-    answer = known.join(smallest, "component", "left")
+    return known.join(smallest, "component", "left")
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """Every row of ``docs``: (doc_id, check, n_shingles, component_id); ``check`` is a hash of the text.
+
+    Rows without words have no shingles and are linked with nothing: their component is their own id. Fewer than
+    five words are one shingle. Equal sets are linked. Repeated rows are rows of their own with the same result; the
+    smallest id counts, and null ids only where there is no other. Other columns are ignored; an empty table gives
+    no rows. Shingles and sets are compared by 64-bit and 128-bit hashes.
+    """
+    answer = _grouped(docs)
     own = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
     return answer.select(
         own("doc_id").alias("doc_id"), "check", F.col("size").cast("long").alias("n_shingles"),
@@ -489,13 +494,19 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents of which each is the smallest id of its component, with all their columns.
+    """One document of each component, that of the smallest id, with all its columns.
 
-    Of repeated rows of that id all but one go; rows without words stay; a component of null ids only keeps one.
+    Null ids count only where there is no other; of different texts of one id the one of the smallest hash stays, and
+    of repeated rows one. Rows without words stay.
     """
-    joined = join(docs)
-    kept = joined.where("doc_id <=> component_id").select("doc_id", "check", F.col("n_shingles").alias("_n")).distinct()
-    marked = docs.withColumn("_check", F.xxhash64(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    matched = marked.join(kept.toDF("_doc", "_check2", "_n"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_check") == F.col("_check2")))
-    wordless = matched.where("_n = 0").select(*docs.columns)
-    return wordless.unionByName(matched.where("_n > 0").select(*docs.columns).dropDuplicates(["doc_id"]))
+    rows = _grouped(docs)
+    first = F.min(F.struct(F.col("doc_id") == _NO_ID, "doc_id", "check")).alias("r")
+    kept = rows.where("size > 0").groupBy("component").agg(first).select("r.doc_id", "r.check", F.lit(False).alias("wordless"))
+    kept = kept.unionByName(rows.where("size = 0").select("doc_id", "check", F.lit(True).alias("wordless")).distinct())
+    marked = docs.withColumns({
+        "_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)),
+        "_check": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")),
+    })
+    matched = marked.join(kept.toDF("_doc", "_check", "_wordless"), ["_doc", "_check"])
+    wordless = matched.where("_wordless").select(*docs.columns)
+    return wordless.unionByName(matched.where("not _wordless").dropDuplicates(["_doc", "_check"]).select(*docs.columns))

@@ -145,3 +145,13 @@ def test_copies_in_another_partition(spark):
     rows += [(100 + k, text) for k, text in rows]
     docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
     assert got(J.join(docs)) == brute(rows)
+
+
+def test_keep_one_of_each_component(spark):
+    """Unrelated texts under null ids, and under one id, are components of their own."""
+    texts = [" ".join(f"{c}{k}" for k in range(12)) for c in "abcdef"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[3]), (None, texts[4]), (9, texts[4])]
+    kept = J.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(
+        [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[4])], key=str
+    )
