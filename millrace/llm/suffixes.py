@@ -174,15 +174,16 @@ def _windows(doc_id, check, start, n, contexts: list[bytes]):
     left, group = equal_windows(data, at, np.zeros(len(at), np.int64))
     order, _ = groups_of(group, doc_id[entry[left]], check[entry[left]], place[left])
     left, group = left[order], group[order]
-    later = np.zeros(len(left), bool)
-    later[1:] = group[1:] == group[:-1]
+    first = left[np.searchsorted(group, group)]
+    # The same row twice is one document.
+    later = (doc_id[entry[left]] != doc_id[entry[first]]) | (check[entry[left]] != check[entry[first]]) | (place[left] != place[first])
     again = np.sort(left[later])
     # Neighbouring windows of an entry become one mark.
     cut = np.flatnonzero(np.concatenate([[True], (np.diff(again) != 1) | (entry[again][1:] != entry[again][:-1])])) if len(again) else again
     counts = np.diff(np.concatenate([cut, [len(again)]])) if len(again) else again
     marked = again[cut]
     compared = np.ones(len(at), bool)
-    compared[left[later]] = False
+    compared[left[left != first]] = False
     compared = np.flatnonzero(compared)
     h1, h2 = _window_hashes(data, at[compared])
     anywhere = mix(mix(doc_id[entry[marked]].astype(U64)) + place[marked].astype(U64))
@@ -201,8 +202,10 @@ def _repeated(table: pa.Table) -> pa.Table:
     rest = np.flatnonzero(n == 0)
     order, _ = groups_of(*(x[rest] for x in (h1, h2, doc_id, check, start)))
     order = rest[order]
-    later = np.zeros(len(order), bool)
-    later[1:] = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
+    new = np.ones(len(order), bool)
+    new[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
+    first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    later = (doc_id[order] != doc_id[first]) | (check[order] != check[first]) | (start[order] != start[first])
     again = np.concatenate([known, order[later]])
     zero = np.zeros(len(again), np.int64)
     return pa.Table.from_batches([_marks(doc_id[again], check[again], start[again], np.maximum(n[again], 1), zero, zero == 0)])

@@ -102,3 +102,12 @@ def test_pieces_of_tasks_agree(spark, several, monkeypatch):
     rows = [(i, " ".join([passages(rng, 1)[0], passage[: rng.randrange(100, 300)], rng.choice(pieces), *passages(rng, 1)])) for i in range(120)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert got(suffixes.digests(suffixes.deduplicated(docs))) == brute(rows)
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_repeated_row_keeps_what_stands_first(spark, parts):
+    rng = random.Random(13)
+    p, q, x, y = ("".join(rng.choice("abcdefgh ") for _ in range(150)) for _ in range(4))
+    rows = [(1, p + q), (2, x + p + y), (2, x + p + y), (3, y + p[:120] + x)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, parts), "doc_id long, text string")
+    assert got(suffixes.digests(suffixes.deduplicated(docs))) == brute(rows)
