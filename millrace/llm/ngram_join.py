@@ -204,6 +204,10 @@ def _sign(bits: int):
         for batch in steps(batches, limit=_STEP):
             sets = shingle_sets(*byte_array(batch.column("text")))
             for members, doc_id, check in zip(sets, batch.column("doc_id").to_pylist(), batch.column("check").to_pylist(), strict=True):
+                # Within a step too: the documents of a run are numbered in 16 bits.
+                if out.n >= PART or len(rows) >= RUN_DOCUMENTS:
+                    yield from close()
+                    out, known, rows, flush = Scatter(bits, ["<u4", "<u2"], 1 << 62), {}, [], flush + 1
                 if not len(members):
                     rows.append((None, doc_id, check, 0, None, None))
                     continue
@@ -215,9 +219,6 @@ def _sign(bits: int):
                 if fresh:
                     signed = signatures(members)
                     list(out.add(signed, signed & U64(0xFFFFFFFF), np.full(len(signed), local)))
-            if out.n >= PART or len(rows) >= RUN_DOCUMENTS:
-                yield from close()
-                out, known, rows, flush = Scatter(bits, ["<u4", "<u2"], 1 << 62), {}, [], flush + 1
         yield from close()
 
     return run

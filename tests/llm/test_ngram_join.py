@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,3 +156,13 @@ def test_keep_one_of_each_component(spark):
     assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(
         [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[4])], key=str
     )
+
+
+def test_runs_close_within_a_step(monkeypatch):
+    """A step larger than what is left of a run: no run has more documents than can be numbered."""
+    monkeypatch.setattr(J, "RUN_DOCUMENTS", 20)
+    monkeypatch.setattr(J, "TaskContext", type("Context", (), {"get": staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 0})())}))
+    texts = [f"own{k} words of text{k}".encode() for k in range(90)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(90)), "check": list(range(90)), "text": pa.array(texts, pa.binary())})
+    nodes = [n for out in J._sign(3)(iter([batch])) for n in out.column("node").to_pylist() if n is not None]
+    assert len(set(nodes)) == 90 and max(n & 0xFFFF for n in nodes) < 20
