@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import archives, decontam, fingerprints, langid, lines, ngram_join, packing, secrets, suffixes, toxicity
+from millrace.llm import archives, decontam, fingerprints, langid, lines, ngram_join, packing, search, secrets, suffixes, toxicity
 from millrace.llm.common import documents
 
 
@@ -55,6 +55,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_language": op2_language,
@@ -67,6 +71,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_suffixes": op9_suffixes,
     "op10_toxicity": op10_toxicity,
+    "op11_search": op11_search,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_lines": lines.SQL, "op5_every_line": lines.EVERY_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_lines": lines.SQL, "op5_every_line": lines.EVERY_SQL, "op11_search": search.SQL}
