@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import archives, decontam, fingerprints, langid, lines, ngram_join, packing, search, secrets, suffixes, toxicity
+from millrace.llm import archives, decontam, extraction, fingerprints, langid, lines, ngram_join, packing, search, secrets, suffixes, toxicity, tries
 from millrace.llm.common import documents
 
 
@@ -59,6 +59,14 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op12_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_language": op2_language,
@@ -72,6 +80,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffixes": op9_suffixes,
     "op10_toxicity": op10_toxicity,
     "op11_search": op11_search,
+    "op12_extraction": op12_extraction,
+    "op13_trie": op13_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_lines": lines.SQL, "op5_every_line": lines.EVERY_SQL, "op11_search": search.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_lines": lines.SQL, "op5_every_line": lines.EVERY_SQL, "op11_search": search.SQL, "op13_trie": tries.SQL}
