@@ -372,11 +372,16 @@ def write_star(
 
 
 def _point_to(spark: SparkSession, root: str, version: str) -> None:
+    swap_pointer(spark, root, {"version": version})
+
+
+def swap_pointer(spark: SparkSession, root: str, content: Mapping[str, object]) -> None:
+    """Replace the pointer file of a folder in one step: readers see the old content or the new one."""
     fs, current = hadoop_path(spark, f"{root.rstrip('/')}/CURRENT")
-    _, staged = hadoop_path(spark, f"{root.rstrip('/')}/CURRENT.{version}")
+    _, staged = hadoop_path(spark, f"{root.rstrip('/')}/CURRENT.{uuid.uuid4().hex}")
     stream = fs.create(staged, True)
     try:
-        stream.write(bytearray(json.dumps({"version": version}).encode()))
+        stream.write(bytearray(json.dumps(content).encode()))
     finally:
         stream.close()
     jvm = spark.sparkContext._jvm
@@ -388,10 +393,20 @@ def _point_to(spark: SparkSession, root: str, version: str) -> None:
     context.rename(staged, current, options)
 
 
+def read_pointer(spark: SparkSession, root: str) -> dict | None:
+    """What the pointer file of a folder holds, if there is one."""
+    fs, current = hadoop_path(spark, f"{root.rstrip('/')}/CURRENT")
+    if not fs.exists(current):
+        return None
+    return json.loads(spark.read.text(current.toString(), wholetext=True).first()["value"])
+
+
 def read_star(spark: SparkSession, root: str, catalog: C.Catalog = C.DEFAULT_CATALOG) -> dict[str, DataFrame]:
     """The tables of the current warehouse version."""
-    pointer = spark.read.text(f"{root.rstrip('/')}/CURRENT", wholetext=True).first()
-    version = json.loads(pointer["value"])["version"]
+    pointer = read_pointer(spark, root)
+    if pointer is None:
+        raise FileNotFoundError(f"no warehouse version below {root}")
+    version = pointer["version"]
     tables = {}
     for table in catalog:
         path = f"{root.rstrip('/')}/{version}/{table.warehouse_name}"

@@ -17,6 +17,47 @@ AGENT_DOMAIN = ["Đang làm", "Nghỉ phép", "Đã nghỉ"]
 ALL_DOMAINS = ORDER_DOMAIN + PAYMENT_DOMAIN + TICKET_DOMAIN + AGENT_DOMAIN
 
 
+def increments() -> str:
+    """Two loads of five tables, one after the other; the first offers two rows of three, the second all."""
+    first = "_seq % 3 <> 0"
+    parts = [src("danh_muc", "san_pham", "khach_hang", "don_hang", "chi_tiet_don_hang")]
+    parts.append(f"l_danh_muc AS (SELECT *, CASE WHEN {first} THEN 1 ELSE 2 END AS n_load FROM danh_muc)")
+    parts.append(f"""l_san_pham AS (SELECT s.*, CASE WHEN {first.replace('_seq', 's._seq')} AND d.n_load = 1 THEN 1 ELSE 2 END AS n_load
+        FROM san_pham s JOIN l_danh_muc d USING (ma_danh_muc))""")
+    # Customers have two unique keys. Ids are distinct within a source, so each load and source in turn adds the first of each mail.
+    parts.append("""kh AS (SELECT * FROM khach_hang WHERE ho_ten IS NOT NULL AND length(ho_ten) <= 100 AND email IS NOT NULL AND length(email) <= 100
+        AND coalesce(length(so_dien_thoai) <= 20, true))""")
+    accepted: list[str] = []
+    for n_load, offered in ((1, first), (2, "true")):
+        for source in ("postgresql", "csv"):
+            taken = " ".join(f"AND NOT EXISTS (SELECT 1 FROM {a} x WHERE x.ma_khach_hang = k.ma_khach_hang OR x.email = k.email)" for a in accepted)
+            name = f"kh_{n_load}_{source}"
+            parts.append(f"""{name} AS (SELECT k.*, {n_load} AS n_load FROM kh k WHERE source = '{source}' AND {offered} {taken}
+                QUALIFY row_number() OVER (PARTITION BY email ORDER BY _seq) = 1)""")
+            accepted.append(name)
+    parts.append("l_khach_hang AS (" + " UNION ALL ".join(f"SELECT * FROM {a}" for a in accepted) + ")")
+    parts.append(f"""l_don_hang AS (SELECT o.*, CASE WHEN {first.replace('_seq', 'o._seq')} AND coalesce(k.n_load, 1) = 1 THEN 1 ELSE 2 END AS n_load
+        FROM don_hang o LEFT JOIN l_khach_hang k USING (ma_khach_hang) WHERE o.ma_khach_hang IS NULL OR o.ma_khach_hang = '' OR k._seq IS NOT NULL)""")
+    parts.append(f"""l_chi_tiet_don_hang AS (SELECT * FROM (
+            SELECT c.*, CASE WHEN {first.replace('_seq', 'c._seq')} AND o.n_load = 1 AND s.n_load = 1 THEN 1 ELSE 2 END AS n_load
+            FROM chi_tiet_don_hang c JOIN l_don_hang o USING (ma_don_hang) JOIN l_san_pham s USING (ma_san_pham))
+        QUALIFY row_number() OVER (PARTITION BY ma_don_hang, ma_san_pham ORDER BY n_load, _seq) = 1)""")
+
+    columns = {
+        "dim_danh_muc": "ma_danh_muc ten_danh_muc",
+        "dim_san_pham": "ma_san_pham ten_san_pham mo_ta ma_danh_muc don_gia ton_kho",
+        "dim_khach_hang": "ma_khach_hang ho_ten email so_dien_thoai dia_chi ngay_sinh ngay_dang_ky gioi_tinh loai_khach_hang",
+        "fact_don_hang": "ma_don_hang ma_khach_hang ngay_dat tong_tien trang_thai",
+        "fact_chi_tiet_don_hang": "ma_don_hang ma_san_pham so_luong don_gia",
+    }
+
+    def content(name: str) -> str:
+        values = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns[name].split())
+        return f"SELECT '{name}' AS table_name, concat_ws('|', {values}) AS content, CAST(n_load AS INTEGER) AS n_load FROM l_{name.split('_', 1)[1]}"
+
+    return with_(*parts) + " " + " UNION ALL ".join(content(n) for n in columns)
+
+
 def src(*names: str) -> str:
     return I.ctes(*names)
 
@@ -440,6 +481,13 @@ def build() -> dict[str, str]:
     q["scan_page_deep"] = """SELECT l_orderkey, l_linenumber, l_extendedprice,
         row_number() OVER (ORDER BY l_extendedprice, l_orderkey, l_linenumber, l_partkey, l_shipdate) - 1 AS row_number FROM lineitem"""
     q["scan_page_ties"] = "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders"
+    ordered = "SELECT o_orderkey, o_custkey, o_orderpriority, row_number() OVER (ORDER BY o_orderpriority, o_orderkey) - 1 AS row_number FROM orders"
+    q["scan_page_directory"] = f"""WITH o AS ({ordered}), n AS (SELECT count(*) AS n FROM orders),
+        behind AS (SELECT count(*) AS n FROM orders WHERE o_orderpriority < '2-HIGH' OR (o_orderpriority = '2-HIGH' AND o_orderkey <= 700))
+        SELECT 'first' AS page, o.* FROM o WHERE row_number < 700
+        UNION ALL SELECT 'middle', o.* FROM o, n WHERE row_number >= n // 2 AND row_number < n // 2 + 1500
+        UNION ALL SELECT 'last', o.* FROM o, n WHERE row_number >= n - 300
+        UNION ALL SELECT 'behind', o.* FROM o, behind WHERE row_number >= n AND row_number < n + 500"""
     q["scan_count"] = "SELECT count(*) AS total FROM lineitem"
     q["raw_sql"] = """SELECT n_name, count(*) AS n_orders, count(DISTINCT c_custkey) AS n_customers FROM orders
         JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderstatus <> 'P' GROUP BY n_name"""
@@ -499,6 +547,7 @@ def build() -> dict[str, str]:
         FROM chi_tiet_don_hang GROUP BY ma_don_hang, ma_san_pham"""
     q["dedup_sources"] = f"WITH {customers} SELECT _seq, {SOURCES} AS sources FROM ({merged_customers()})"
     q["dedup_sources_any"] = f"WITH {customers} SELECT {MERGE_COLUMNS}, {SOURCES} AS sources, group_size FROM ({merged_customers()})"
+    q["dedup_merge_batches"] = q["dedup_sources_any"]
     keys = {"khach_hang": EMAIL_KEY, "san_pham": "ma_san_pham", "don_hang": "ma_don_hang", "chi_tiet_don_hang": "ma_don_hang || ma_san_pham"}
     per_table = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS original, count(DISTINCT {k}) AS after FROM {t}" for t, k in keys.items())
     q["dedup_report"] = f"""WITH {src(*keys)}, n AS ({per_table}) SELECT table_name, original, after, original - after AS removed FROM n
@@ -629,6 +678,18 @@ def build() -> dict[str, str]:
     again = customer_checks(AGAIN_DOB)
     q["quarantine"] = f"""WITH {customers}, {rc} SELECT 'khach_hang' AS table_name, ma_khach_hang AS record_key, _seq, ho_ten,
         {joined(*[(r, c) for f in again for r, _, c, _ in f.items])} AS rules FROM rc WHERE NOT ({ok_again})"""
+    raw_rules = joined(*[(r, c) for f in checks for r, _, c, _ in f.items])
+    repaired_rules = joined(*[(r, c) for f in again for r, _, c, _ in f.items])
+    failing = """SELECT record_key, string_agg(DISTINCT rule, ',' ORDER BY rule) AS rules, count(DISTINCT _seq) AS n
+        FROM (SELECT record_key, _seq, unnest(string_split(rules, ',')) AS rule FROM {rows}) GROUP BY record_key"""
+    q["quality_drift"] = f"""WITH {customers}, {rc},
+        b AS (SELECT ma_khach_hang AS record_key, _seq, {raw_rules} AS rules FROM khach_hang WHERE source = 'postgresql' AND NOT ({ok})),
+        a AS (SELECT ma_khach_hang AS record_key, _seq, {repaired_rules} AS rules FROM rc WHERE NOT ({ok_again})),
+        f AS ({failing.format(rows='b')}), g AS ({failing.format(rows='a')})
+        SELECT 'khach_hang' AS table_name, coalesce(f.record_key, g.record_key) AS record_key,
+            CASE WHEN f.n IS NOT NULL AND g.n IS NOT NULL THEN 'still failing' WHEN f.n IS NOT NULL THEN 'cured' ELSE 'new' END AS status,
+            coalesce(f.rules <> g.rules, false) AS changed, f.rules AS rules_before, g.rules AS rules_after, f.n AS rows_before, g.n AS rows_after
+        FROM f FULL OUTER JOIN g ON f.record_key IS NOT DISTINCT FROM g.record_key"""
     q["transform_audit"] = f"""WITH {customers}, {rc}, days AS (SELECT *, strftime(ngay_sinh, '%Y-%m-%d') AS new_day, strftime(old_day, '%Y-%m-%d') AS old_text FROM rc)
         SELECT ma_khach_hang AS record_key, _seq, new_day AS ngay_sinh, 'ho_ten' AS field, old_name AS original, ho_ten AS transformed, 'capitalize_and_normalize' AS action
           FROM days WHERE old_name IS DISTINCT FROM ho_ten
@@ -687,6 +748,7 @@ def build() -> dict[str, str]:
             AND NOT EXISTS (SELECT 1 FROM first f WHERE f.ma_khach_hang = k.ma_khach_hang)
             AND NOT EXISTS (SELECT 1 FROM first f WHERE f.email = k.email) {first_email})
         SELECT _seq, ma_khach_hang, email, so_dien_thoai FROM first UNION ALL SELECT _seq, ma_khach_hang, email, so_dien_thoai FROM second"""
+    q["star_increment"] = increments()
     q["warehouse_projection"] = f"""WITH {customers} SELECT ma_khach_hang, ho_ten, email, so_dien_thoai, dia_chi, ngay_sinh, ngay_dang_ky,
         CAST(NULL AS VARCHAR) AS gioi_tinh, 'Thường' AS loai_khach_hang, {DAY} AS created_at FROM khach_hang"""
     q["constraint_check"] = f"""WITH {customers} SELECT _seq, concat_ws(',', CASE WHEN length(ma_khach_hang) > 20 THEN 'ma_khach_hang:length' END,

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import catalog as C
-from millrace.operators import dedup, keys, load, quality, repair, repairs, rules, staging, validate
+from millrace.operators import dedup, history, increment, keys, load, merge_state, quality, repair, repairs, rules, staging, validate
 from millrace.operators.validate import CAN_FIX, ERRORS, IS_VALID
 from millrace.plans.integration import Options, plan_quality, plan_star
 from millrace.session import scratch_path
 from millrace.sources import csv as csv_source
+from millrace.sources import pages as page_source
 from millrace.sources import tables as table_source
 from millrace.streaming import envelopes as envelope_stream
 from millrace.streaming import ingest as ingest_stream
@@ -100,6 +101,20 @@ def scan_page_ties(spark, sf_dir):
     return near.unionByName(far)
 
 
+@query
+def scan_page_directory(spark, sf_dir):
+    """Pages by place and pages behind a key, from one sorted copy."""
+    df = I.read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    pages = page_source.PageDirectory.build(df, ["o_orderpriority", "o_orderkey"], scratch_path(spark, "pages"), rows_per_range=1 << 10)
+    wanted = {
+        "first": pages.page(700, row="row_number"),
+        "middle": pages.page(1500, pages.total // 2, row="row_number"),
+        "last": pages.page(1000, pages.total - 300, row="row_number"),
+        "behind": pages.page(500, pages.place_after(["2-HIGH", 700]), row="row_number"),
+    }
+    return quality.run_report([p.select(F.lit(name).alias("page"), "*") for name, p in wanted.items()])
+
+
 @query
 def scan_count(spark, sf_dir):
     return table_source.count_rows(I.read(spark, sf_dir, "lineitem"))
@@ -434,6 +449,16 @@ def dedup_sources_any(spark, sf_dir):
     return df.select(*_merge_columns(), F.col("_sources").alias("sources"), F.col("_group_size").alias("group_size"))
 
 
+@query
+def dedup_merge_batches(spark, sf_dir):
+    """The merge of batches that arrive one after the other, kept in a state, with one batch that comes twice."""
+    rows = table(spark, sf_dir, "khach_hang")
+    state = merge_state.MergeState(spark, scratch_path(spark, "merge"), rows.schema, ["email"], buckets=16)
+    for batch in (2, 0, 2, 1):
+        state.add(rows.where(F.pmod(F.col("_seq") + F.when(F.col("source") == C.CSV, 1).otherwise(0), F.lit(3)) == batch), f"batch {batch}")
+    return state.merged().select(*_merge_columns(), F.col("_sources").alias("sources"), F.col("_group_size").alias("group_size"))
+
+
 @query
 def dedup_report(spark, sf_dir):
     names = ["khach_hang", "san_pham", "don_hang", "chi_tiet_don_hang"]
@@ -746,6 +771,16 @@ def transform_audit(spark, sf_dir):
     ).drop("note")
 
 
+@query
+def quality_drift(spark, sf_dir):
+    """Failing customers of two runs: those of the first source as they came, and those of both after repair."""
+    raw = validate.validate(table(spark, sf_dir, "khach_hang").where(F.col("source") == C.RELATIONAL), as_of=AS_OF)
+    runs = history.RunHistory(spark, scratch_path(spark, "history"))
+    runs.append("first", {"quarantine": quality.quarantine_rows(raw, CAT["khach_hang"])})
+    runs.append("second", {"quarantine": quality.quarantine_rows(_checked(spark, sf_dir, "khach_hang"), CAT["khach_hang"])})
+    return runs.drift("first", "second")
+
+
 @query
 def run_report(spark, sf_dir):
     parts = []
@@ -827,6 +862,24 @@ def insert_two_unique_keys(spark, sf_dir):
     return load.insert_if_absent(rows, [["ma_khach_hang"], ["email"]])
 
 
+INCREMENT_TABLES = ("danh_muc", "san_pham", "khach_hang", "don_hang", "chi_tiet_don_hang")
+
+
+@query
+def star_increment(spark, sf_dir):
+    """Two increments of the star, the second with all rows of the first: every value, and the load that brought it."""
+    offered = {n: table(spark, sf_dir, n) for n in INCREMENT_TABLES}
+    star = increment.IncrementalStar(spark, scratch_path(spark, "increments"), default=increment.Layout(segments=8, buckets=8, bits=1 << 17))
+    star.add({n: df.where("_seq % 3 <> 0") for n, df in offered.items()}, on_violation="quarantine")
+    star.add(offered, on_violation="quarantine")
+    parts = []
+    for name, df in star.read(label="load").items():
+        values = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in CAT[name].column_names]
+        number = F.substring("load", 2, 6).cast("int") + 1
+        parts.append(df.select(F.lit(CAT[name].warehouse_name).alias("table_name"), F.concat_ws("|", *values).alias("content"), number.alias("n_load")))
+    return quality.run_report(parts)
+
+
 @query
 def warehouse_projection(spark, sf_dir):
     rows = table(spark, sf_dir, "khach_hang").drop("loai_khach_hang", "gioi_tinh")
