@@ -12,10 +12,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import saved
+from millrace.functions.plans import zero_of
+from millrace.llm.common import saved, small_batches
 
-#: Shorter lines are never removed: headings and refrains repeat by chance.
-LEAST_WORDS = 10
+#: Words that a line must have at least to be removed; one is every line that is not empty.
+LEAST_WORDS = 1
 
 
 def normalised(line: Column) -> Column:
@@ -42,8 +43,11 @@ def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
         .where("n > 1")
         .select("digest", "first")
     )
+    # A further key that is always zero gives the side of the firsts an exchange of its own, so that adaptive execution
+    # can split a line that stands everywhere.
+    first = first.withColumn("zero", zero_of("digest"))
     # The same row twice is one document: neither of the two is a repetition of the other.
-    again = units.join(first, "digest").where(~F.struct("doc_id", "check", "place").eqNullSafe(F.col("first")))
+    again = units.withColumn("zero", F.lit(0)).join(first, ["digest", "zero"]).where(~F.struct("doc_id", "check", "place").eqNullSafe(F.col("first")))
     return again.select("doc_id", "check", "place")
 
 
@@ -54,6 +58,7 @@ def deduplicated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     one empty line; a null id is smaller than any. Repeated rows are one document with one result twice; different
     texts of one id stand in the order of a hash. An empty table gives no rows. Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     gone = repeated_lines(docs, least_words).groupBy("doc_id", "check").agg(F.collect_set("place").alias("places"))
     rows = _rows(docs)
     joined = rows.join(
@@ -86,19 +91,25 @@ def deduplicated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
 
 
 def digests(rows: DataFrame) -> DataFrame:
-    """Counts, the removed spans as start:end, and the digest of what is kept."""
+    """Lengths before and after, the removed spans as start:end, and the digest of what is kept.
+
+    ``n_chars`` and ``n_removed`` count the code points that are kept and those of the removed lines.
+    """
+    lengths = F.zip_with("starts", "ends", lambda a, b: b - a)
     return rows.select(
         "doc_id",
-        F.length("text").cast("long").alias("n_chars"),
+        F.length("text").cast("long").alias("n_chars_before"),
+        F.length("kept").cast("long").alias("n_chars"),
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda total, n: total + n).alias("n_removed"),
         "n_lines",
-        F.size("starts").cast("long").alias("n_removed"),
+        F.size("starts").cast("long").alias("n_lines_removed"),
         F.array_join(F.zip_with("starts", "ends", lambda a, b: F.concat_ws(":", a, b)), ",").alias("removed"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
 
 
 #: The same in SQL.
-SQL = f"""
+SQL = """
 WITH units AS (
     SELECT doc_id, place, line, trim(regexp_replace(lower(line), '[ \t\r\f]+', ' ', 'g')) AS unit
     FROM (
@@ -107,14 +118,14 @@ WITH units AS (
     )
 ), placed AS (
     SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS from_,
-        len(string_split(unit, ' ')) >= {LEAST_WORDS} AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, place) > 1 AS gone
+        unit <> '' AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, place) > 1 AS gone
     FROM units
 )
-SELECT doc_id, (sum(length(line) + 1) - 1)::BIGINT AS n_chars, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+SELECT doc_id, (sum(length(line) + 1) - 1)::BIGINT AS n_chars_before,
+    greatest(coalesce(sum(length(line) + 1) FILTER (NOT gone), 0) - 1, 0)::BIGINT AS n_chars,
+    coalesce(sum(length(line)) FILTER (gone), 0)::BIGINT AS n_removed,
+    count(*) AS n_lines, count(*) FILTER (gone) AS n_lines_removed,
     coalesce(string_agg(from_ || ':' || (from_ + length(line)), ',' ORDER BY place) FILTER (gone), '') AS removed,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM placed GROUP BY doc_id
 """
-
-#: The same with every line that is not empty as a unit.
-EVERY_SQL = SQL.replace(f"len(string_split(unit, ' ')) >= {LEAST_WORDS}", "unit <> ''")

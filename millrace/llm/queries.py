@@ -31,10 +31,6 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(lines.deduplicated(documents(spark, sf_dir)))
 
 
-def op5_every_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.digests(lines.deduplicated(documents(spark, sf_dir), least_words=1))
-
-
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.digests(archives.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
@@ -73,7 +69,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_join": op3_ngram_join,
     "op4_decontamination": op4_decontamination,
     "op5_lines": op5_lines,
-    "op5_every_line": op5_every_line,
     "op6_warc": op6_warc,
     "op7_fingerprints": op7_fingerprints,
     "op8_packing": op8_packing,
@@ -84,4 +79,4 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_trie": op13_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_lines": lines.SQL, "op5_every_line": lines.EVERY_SQL, "op11_search": search.SQL, "op13_trie": tries.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_lines": lines.SQL, "op11_search": search.SQL, "op13_trie": tries.SQL}

@@ -28,13 +28,15 @@ def brute(rows):
         units = (text or "").split("\n")
         for line in units:
             unit = re.sub(r"[ \t\r\f]+", " ", line.lower()).strip(" ")
-            if len(unit.split(" ")) >= 10 and unit in seen:
-                removed.append(f"{at}:{at + len(line)}")
+            if unit and unit in seen:
+                removed.append((at, at + len(line)))
             else:
                 kept.append(line)
             seen.add(unit)
             at += len(line) + 1
-        out[doc_id] = (doc_id, len(text or ""), len(units), len(removed), ",".join(removed), hashlib.sha256("\n".join(kept).encode()).hexdigest())
+        spans = ",".join(f"{a}:{b}" for a, b in removed)
+        left = "\n".join(kept)
+        out[doc_id] = (doc_id, len(text or ""), len(left), sum(b - a for a, b in removed), len(units), len(removed), spans, hashlib.sha256(left.encode()).hexdigest())
     return sorted((out[d] for d, _ in rows), key=str)
 
 
@@ -53,13 +55,30 @@ def test_lines(spark):
 
 def test_every_line(spark):
     """Short lines and lines without blanks are units too; empty lines are none."""
-    assert rows_of_spark(queries.op5_every_line(spark, SF)) == rows_of_sql(connect(SF), queries.ORACLE_SQL["op5_every_line"])
     rows = [(1, "short line\n\n汉字" * 2), (2, "Short  line\n\n \n汉字\nown"), (3, None), (4, "own")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
-    out = {r["doc_id"]: r["kept"] for r in lines.deduplicated(docs, least_words=1).collect()}
+    out = {r["doc_id"]: r["kept"] for r in lines.deduplicated(docs).collect()}
     assert out == {1: "short line\n\n汉字short line\n\n汉字", 2: "\n \nown", 3: "", 4: ""}
 
 
+def test_longer_lines_only(spark):
+    rows = [(1, "one two three\nfour five"), (2, "one two three\nfour five")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["kept"] for r in lines.deduplicated(docs, least_words=3).collect()} == {1: rows[0][1], 2: "four five"}
+
+
+def test_common_line_can_be_split(spark):
+    """Both sides of the join on digests are read straight from exchanges."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lines.repeated_lines(spark.createDataFrame([(1, "a\na")], "doc_id long, text string"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sides = plan.split("SortMergeJoin")[1].split("Sort [digest")[1:]
+    assert len(sides) >= 2 and all("Exchange hashpartitioning(digest" in side.split("\n")[1] for side in sides[:2])
+    assert ", zero" in sides[0].split("\n")[0] and ", zero" in sides[1].split("\n")[0]
+
+
 def test_redaction(spark):
     rows = [(1, "a token=abcdefghij b"), (2, "AKIA" + "A1" * 10), (3, None), (4, "clean"), (5, "secret=" + "ab" * 20 + " x " + "cd" * 16)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
