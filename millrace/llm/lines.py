@@ -43,11 +43,11 @@ def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
         .where("n > 1")
         .select("digest", "first")
     )
-    # A further key that is always zero gives the side of the firsts an exchange of its own, so that adaptive execution
-    # can split a line that stands everywhere.
+    # A further key that is always zero, but computed, gives the side of the firsts an exchange of its own, so that
+    # adaptive execution can split a line that stands everywhere.
     first = first.withColumn("zero", zero_of("digest"))
     # The same row twice is one document: neither of the two is a repetition of the other.
-    again = units.withColumn("zero", F.lit(0)).join(first, ["digest", "zero"]).where(~F.struct("doc_id", "check", "place").eqNullSafe(F.col("first")))
+    again = units.withColumn("zero", zero_of("place")).join(first, ["digest", "zero"]).where(~F.struct("doc_id", "check", "place").eqNullSafe(F.col("first")))
     return again.select("doc_id", "check", "place")
 
 
