@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import scratch_path
@@ -36,6 +36,11 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame, name: str = "row") -> Column:
+    """All columns as one struct, so that helpers beside it cannot clash with any of them; ``row.*`` takes it apart."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns]).alias(name)
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for rows that models must not learn labels from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))

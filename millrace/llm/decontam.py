@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
-    U64, byte_array, lower_ascii, prefix_hash, run_hash, runs_of, saved, small_batches, steps, word_table, words_of,
+    U64, byte_array, lower_ascii, prefix_hash, run_hash, runs_of, saved, small_batches, whole_row, steps, word_table, words_of,
 )
 
 # Fixed value: bytes that no word has, beside capitals, which are lowered first.
@@ -143,14 +143,17 @@ class Segment:
         return [(a, b) for a, b in spans.items() if len(set(self.document(np.array([a, b - 1])))) == 1]
 
 
-def windows_of(texts: list[str | None], names: list[str], window: int = WINDOW):
-    """Distinct windows of the texts as rows of term hashes, their lengths, and the names of the texts of each."""
+def windows_of(texts: list[str | None], names: list[str | None], window: int = WINDOW):
+    """Distinct windows of the texts as rows of term hashes, their lengths, and the names of the texts of each.
+
+    A text without a name has windows that name nobody.
+    """
     rows: dict[bytes, tuple[np.ndarray, set[str]]] = {}
     for text, name in zip(texts, names, strict=True):
         terms, _ = terms_of(*byte_array(pa.array([text], pa.string())))
         for k in range(max(len(terms) - window + 1, min(len(terms), 1))):
             part = terms[k : k + window]
-            rows.setdefault(part.tobytes(), (part, set()))[1].add(name)
+            rows.setdefault(part.tobytes(), (part, set()))[1].update([] if name is None else [name])
     hashes = np.zeros((len(rows), window), U64)
     lengths = np.zeros(len(rows), np.int64)
     for k, (part, _) in enumerate(rows.values()):
@@ -225,13 +228,15 @@ def phrase_matches(index: DataFrame, phrases: dict[str, str], near: int | None =
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row for each row of ``docs``: the spans of words in windows of the benchmark, and the items they come from.
 
-    A null or empty text has no words and no hit. Repeated rows are rows of their own. Items without an id or
-    without words hit nothing; rows of an item's id are united. Only ``doc_id``, ``text``, ``item_id`` and
+    A null or empty text has no words and no hit. Repeated rows are rows of their own. Items without words hit
+    nothing; an item without an id hits, but is not among the items of a document; rows of an item's id are united. Only ``doc_id``, ``text``, ``item_id`` and
     ``text`` are read, other columns are ignored. An empty table on either side gives no hits.
     """
     small_batches(docs.sparkSession)
     index = saved(build_index(docs), "postings")
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    # A repeated item is one; copies would all fall into one block.
+    items = items.distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-int(total) // block_bytes) or 1
     found = None
@@ -272,8 +277,11 @@ def digests(found: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    """The rows of ``docs`` that are not contaminated, with all their columns, whatever they are called.
+
+    Rows of the same id and text are judged alike; null ids and texts count as values. Null and empty texts stay.
+    """
     key = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")))
     found = digests(contamination(docs.select(key.alias("doc_id"), "text"), benchmark))
-    gone = found.where("contaminated").select(F.col("doc_id").alias("_key")).distinct()
-    return docs.withColumn("_key", key).join(gone, "_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = found.where("contaminated").select(F.col("doc_id").alias("key")).distinct()
+    return docs.select(whole_row(docs), key.alias("key")).join(gone, "key", "left_anti").select("row.*")

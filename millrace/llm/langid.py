@@ -102,7 +102,9 @@ def train(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS, least_share: float =
     for k, language in enumerate(languages):
         limit = F.when(F.col("lang") == language, F.lit(round(min(1.0, sample / counts[language]) * 1_000_000))).otherwise(limit)
         number = F.when(F.col("lang") == language, F.lit(k)).otherwise(number)
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < limit).select(number.alias("language"), "text")
+    # By id, text and place: rows without an id, or of one, are drawn one by one like any others.
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(1_000_000))
+    chosen = known.where(draw < limit).select(number.alias("language"), "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):

@@ -11,9 +11,12 @@ their size and for the band below, in which a smaller partner can lie. How a ban
   documents with more empty segments than there are spare ones.
 
 Documents with a signature in common are candidates. Candidates need not be paired with each other: first each one
-is compared with the smallest of its signature's documents, and only where that leaves several components, pairs
-across them are looked at, after a bound from small parity sketches has sorted out nearly all. What remains is
-verified on the full sets.
+is compared with the smallest of its signature's documents. Where that leaves several components, small parity
+sketches bound how different two documents are at least. The nearest pairs that would join the components of a group
+are verified next, a spanning forest of them. What is still apart after that is settled within the groups: documents
+that the sketches leave a partner in another component meet with their sets, and pairs are verified there, nearest
+first, until none is left that would join two components. So no step hands on more rows than its groups have
+documents, and only documents with the same signature are ever compared.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import (
     U64, Scatter, byte_array, gathered, groups_of, lower_ascii, mix, part_bits, prefix_hash, run_hash, saved, small_batches, steps,
-    word_table, words_of,
+    whole_row, word_table, words_of,
 )
 from millrace.llm.graphs import components
 
@@ -48,9 +51,10 @@ PART, RUN_DOCUMENTS = 500_000, 60_000
 BLOCK, HUB_BLOCK = 1024, 256
 #: Rows of several small groups that are compared in one task.
 CELL_ROWS = 20_000
-#: Pairs of a document and signature that a round looks at; the last one looks at all that are left.
-ROUNDS = (8, None)
-_WIDEST = 1 << 16
+#: Bytes of compressed texts that one task settles.
+CELL_BYTES = 8 << 20
+#: Classes of a sketch for each member, at most in all, and how much narrower the first look at them is.
+_CLASSES, _WIDEST, _NARROWER = 4, 1 << 17, 4
 
 
 def similar(both: int, a: int, b: int) -> bool:
@@ -147,7 +151,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
 def sketch(members: np.ndarray) -> bytes:
     """Parities of how many members fall into each of a power of two of classes."""
-    width = min(max(64, 1 << max(len(members) - 1, 0).bit_length()), _WIDEST)
+    width = min(max(64, _CLASSES << max(len(members) - 1, 0).bit_length()), _WIDEST)
     return np.packbits((np.bincount((members & U64(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8)).tobytes()
 
 
@@ -298,84 +302,157 @@ def _verify(table: pa.Table) -> pa.Table:
     return pa.table({"u": pa.array([hub] * len(linked), pa.int64()), "v": pa.array(linked, pa.int64())})
 
 
-def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of the pairs whose sets are similar; a hub with many partners is split into blocks."""
     size = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     dealt = pairs.join(size, "a").withColumn("salt", F.expr(f"cast(pmod(xxhash64(b), (n + {HUB_BLOCK - 1}) div {HUB_BLOCK}) as int)"))
     wanted = dealt.select("a", "salt", "b").unionByName(
         size.select("a", F.explode(F.expr(f"sequence(0, cast((n + {HUB_BLOCK - 1}) div {HUB_BLOCK} as int) - 1)")).alias("salt"), F.col("a").alias("b"))
     )
-    keyed = wanted.join(nodes.select(F.col("node").alias("b"), "doc_id", "check"), "b")
-    return (
-        keyed.join(texts, ["doc_id", "check"])
-        .select("a", "salt", "b", "z")
-        .groupBy("a", "salt")
-        .applyInArrow(_verify, "u long, v long")
-    )
-
+    return wanted.join(texts.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "z").groupBy("a", "salt").applyInArrow(_verify, "u long, v long")
 
-def _nearest(end: np.ndarray, distance: np.ndarray, most: int) -> np.ndarray:
-    """Which pairs are among the ``most`` nearest of their end."""
-    order = np.lexsort((distance, end))
-    first = np.flatnonzero(np.concatenate([[True], end[order][1:] != end[order][:-1]])) if len(end) else order
-    rank = np.arange(len(end)) - np.repeat(first, np.diff(np.append(first, len(end))))
-    near = np.zeros(len(end), bool)
-    near[order[rank < most]] = True
-    return near
 
+def _near(sketches: list[bytes], size: np.ndarray, component: np.ndarray, side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, distance) of the pairs of different components that sketches do not exclude, the nearest first.
 
-def _across(most: int | None):
-    """Pairs of different components within the groups of a cell that sketches do not exclude.
-
-    With ``most``, only the nearest of each document: the others wait for a later round.
+    ``side`` tells the two blocks of a group apart, whose pairs within a block are looked at elsewhere.
     """
-
-    def run(table: pa.Table) -> pa.Table:
-        names = ("bucket", "x", "y", "node", "component", "side", "size")
-        bucket, x, y, node, component, side, size = (table.column(c).to_numpy() for c in names)
-        raw = table.column("sketch").combine_chunks()
-        order, new = groups_of(bucket, x, y)
-        cuts = np.append(np.flatnonzero(new), len(order))
-        low, high = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            group = order[a:b]
-            sketches = [raw[int(k)].as_py() for k in group]
-            width = np.array([len(z) for z in sketches])
-            two = x[group[0]] != y[group[0]]
-            found = []
-            for w in np.unique(width):
-                # Each width with itself and the double, folded to it: similar sizes are at most one width apart.
-                for v in (w, 2 * w):
-                    i, j = np.flatnonzero(width == w), np.flatnonzero(width == v)
-                    if not len(i) or not len(j):
-                        continue
-                    p, q = (np.stack([np.frombuffer(sketches[k], np.uint8) for k in part]) for part in (i, j))
-                    rows, columns = group[i], group[j]
-                    keep = component[rows][:, None] != component[columns][None, :]
-                    if two:
-                        keep &= side[rows][:, None] != side[columns][None, :]
-                    distance = _distance(p, _folded(q, w))
-                    keep &= may_link(size[rows][:, None], size[columns][None, :], distance)
-                    k, m = np.nonzero(keep)
-                    found.append((node[rows[k]], node[columns[m]], distance[k, m]))
-            left, right, distance = (np.concatenate(part) for part in zip(*found, strict=True))
-            left, right = np.minimum(left, right), np.maximum(left, right)
-            chosen, fresh = groups_of(left, right)
-            left, right, distance = (part[chosen][fresh] for part in (left, right, distance))
-            if most is not None:
-                near = _nearest(left, distance, most) | _nearest(right, distance, most)
-                left, right = left[near], right[near]
-            low.append(left)
-            high.append(right)
-        a, b = np.concatenate(low), np.concatenate(high)
-        order, new = groups_of(a, b)
-        return pa.table({"a": a[order][new].astype(np.int64), "b": b[order][new].astype(np.int64)})
-
-    return run
-
-
-def _open_pairs(shared: DataFrame, parts: DataFrame, nodes: DataFrame, most: int | None) -> DataFrame | None:
-    """Pairs to verify among the documents of signatures that span several components; None if there are none."""
+    width = np.array([len(z) for z in sketches])
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for w in np.unique(width):
+        # Each width with itself and the double, folded to it: similar sizes are at most one width apart.
+        for v in (w, 2 * w):
+            i, j = np.flatnonzero(width == w), np.flatnonzero(width == v)
+            if not len(i) or not len(j):
+                continue
+            p, q = (np.stack([np.frombuffer(sketches[k], np.uint8) for k in part]) for part in (i, j))
+            q = _folded(q, w)
+            keep = component[i][:, None] != component[j][None, :]
+            if v == w:
+                keep &= i[:, None] < j[None, :]
+            if side is not None:
+                keep &= side[i][:, None] != side[j][None, :]
+            # A narrow look first: it excludes most pairs for a fraction of the words.
+            narrow = max(8, w // _NARROWER)
+            keep &= may_link(size[i][:, None], size[j][None, :], _distance(_folded(p, narrow), _folded(q, narrow)))
+            k, m = np.nonzero(keep)
+            wide_p, wide_q = (np.ascontiguousarray(x).view(U64) for x in (p, q))
+            distance = np.zeros(len(k), np.int64)
+            for at in range(0, len(k), 8192):
+                part = slice(at, at + 8192)
+                distance[part] = np.bitwise_count(wide_p[k[part]] ^ wide_q[m[part]]).sum(axis=1)
+            near = may_link(size[i[k]], size[j[m]], distance)
+            found.append((i[k][near], j[m][near], distance[near]))
+    left, right, distance = (np.concatenate(part) for part in zip(*found, strict=True))
+    order = np.argsort(distance, kind="stable")
+    return left[order], right[order], distance[order]
+
+
+def _spanning(left: np.ndarray, right: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Places of pairs, given the nearest first, that join each component to its nearest other one."""
+    across = np.flatnonzero(label[left] != label[right])
+    ends, places = np.concatenate([label[left[across]], label[right[across]]]), np.concatenate([across, across])
+    order = np.lexsort((places, ends))
+    first = np.concatenate([[True], ends[order][1:] != ends[order][:-1]]) if len(order) else np.zeros(0, bool)
+    return np.unique(places[order][first])
+
+
+def _joined(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The labels after joining pairs one by one, and which pairs joined two components."""
+    values, dense = np.unique(label, return_inverse=True)
+    parent = list(range(len(values)))
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    fresh = np.zeros(len(left), bool)
+    for n, (a, b) in enumerate(zip(dense[left].tolist(), dense[right].tolist(), strict=True)):
+        a, b = root(a), root(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            fresh[n] = True
+    return np.array([root(k) for k in range(len(values))], np.int64)[dense], fresh
+
+
+def _groups(table: pa.Table) -> Iterator[tuple[np.ndarray, bool]]:
+    """The rows of each group of a cell, and whether it is one of two blocks."""
+    bucket, x, y = (table.column(c).to_numpy() for c in ("bucket", "x", "y"))
+    order, new = groups_of(bucket, x, y)
+    cuts = np.append(np.flatnonzero(new), len(order))
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        yield order[a:b], bool(x[order[a]] != y[order[a]])
+
+
+def _pairs_in(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each group of a cell: its rows, and the pairs of :func:`_near` as places among them."""
+    side, size, component = (table.column(c).to_numpy() for c in ("side", "size", "component"))
+    raw = table.column("sketch").combine_chunks()
+    for rows, two in _groups(table):
+        left, right, _ = _near([raw[int(k)].as_py() for k in rows], size[rows], component[rows], side[rows] if two else None)
+        if len(left):
+            yield rows, left, right
+
+
+def _forest(table: pa.Table) -> pa.Table:
+    """Pairs to verify: a forest of the nearest ones that would join the components of each group."""
+    node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
+    low, high = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for rows, left, right in _pairs_in(table):
+        label = component[rows]
+        while len(places := _spanning(left, right, label)):
+            label, fresh = _joined(label, left[places], right[places])
+            a, b = node[rows[left[places[fresh]]]], node[rows[right[places[fresh]]]]
+            low.append(np.minimum(a, b))
+            high.append(np.maximum(a, b))
+    a, b = np.concatenate(low), np.concatenate(high)
+    order, new = groups_of(a, b)
+    return pa.table({"a": a[order][new].astype(np.int64), "b": b[order][new].astype(np.int64)})
+
+
+def _undecided(table: pa.Table) -> pa.Table:
+    """The documents of each group that have a possible partner in another component."""
+    chosen = [np.zeros(0, np.int64)]
+    for rows, left, right in _pairs_in(table):
+        chosen.append(rows[np.unique(np.concatenate([left, right]))])
+    return table.select(["bucket", "x", "y", "side", "node", "component"]).take(pa.array(np.concatenate(chosen)))
+
+
+_UNDECIDED = "bucket long, x long, y long, side long, node long, component long"
+
+
+def _settle(table: pa.Table) -> pa.Table:
+    """Links that join components of a group, verified on the sets, the nearest pairs first."""
+    unpack = zstandard.ZstdDecompressor()
+    node, component, side = (table.column(c).to_numpy() for c in ("node", "component", "side"))
+    raw = table.column("z").combine_chunks()
+    u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for rows, two in _groups(table):
+        sets = []
+        for k in rows:
+            data = unpack.decompress(raw[int(k)].as_py())
+            sets.append(shingle_sets(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0])
+        size = np.array([len(x) for x in sets])
+        label = component[rows]
+        left, right, _ = _near([sketch(x) for x in sets], size, label, side[rows] if two else None)
+        while len(places := _spanning(left, right, label)):
+            both = [len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(left[places].tolist(), right[places].tolist(), strict=True)]
+            linked = np.array([similar(n, size[a], size[b]) for n, a, b in zip(both, left[places], right[places], strict=True)], bool)
+            good = places[linked]
+            label, fresh = _joined(label, left[good], right[good])
+            u.append(node[rows[left[good[fresh]]]])
+            v.append(node[rows[right[good[fresh]]]])
+            # What was looked at is done with, whatever came of it.
+            rest = np.ones(len(left), bool)
+            rest[places] = False
+            left, right = left[rest], right[rest]
+    return pa.table({"u": np.concatenate(u).astype(np.int64), "v": np.concatenate(v).astype(np.int64)})
+
+
+def _open_groups(shared: DataFrame, parts: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """The documents of signatures that span several components, in groups of bounded size; None if there are none."""
     placed = shared.join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     # Many signatures have the very same documents: one of those is enough.
     open_ = saved(
@@ -394,7 +471,7 @@ def _open_pairs(shared: DataFrame, parts: DataFrame, nodes: DataFrame, most: int
     if not compared:
         return None
     # A large group is cut into blocks, and each pair of blocks is a group of bounded size.
-    blocks = (
+    return (
         placed.join(open_, "bucket")
         .join(nodes.select("node", "size", "sketch"), "node")
         .withColumn("side", F.expr("pmod(xxhash64(node), blocks)"))
@@ -402,7 +479,15 @@ def _open_pairs(shared: DataFrame, parts: DataFrame, nodes: DataFrame, most: int
         .select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "node", "component", "size", "sketch")
         .withColumn("cell", F.pmod(F.xxhash64("bucket", "x", "y"), F.lit(1 + int(compared) // CELL_ROWS)))
     )
-    return blocks.groupBy("cell").applyInArrow(_across(most), "a long, b long").distinct()
+
+
+def _settled(open_: DataFrame, texts: DataFrame) -> DataFrame:
+    """The links that still join components, each group with the sets of its undecided documents."""
+    undecided = saved(open_.groupBy("cell").applyInArrow(_undecided, _UNDECIDED), "undecided")
+    held = saved(undecided.join(texts, "node"), "settle")
+    total = held.agg(F.sum(F.octet_length("z"))).first()[0] or 0
+    cell = F.pmod(F.xxhash64("bucket", "x", "y"), F.lit(1 + int(total) // CELL_BYTES))
+    return held.withColumn("cell", cell).groupBy("cell").applyInArrow(_settle, "u long, v long")
 
 
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -426,8 +511,6 @@ def _grouped(docs: DataFrame) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = part_bits(total / 10, PART)
     found = saved(rows.mapInArrow(_sign(bits), _PASS).groupBy("part").applyInArrow(_look_through, _FOUND), "signatures")
-    texts = rows.mapInArrow(_compressed, "doc_id long, check long, z binary")
-
     members = found.where(F.col("kind") == _MEMBER)
     # Equal sets of different runs become one node.
     nodes = saved(
@@ -448,26 +531,23 @@ def _grouped(docs: DataFrame) -> DataFrame:
     pairs = named(named(found.where(F.col("kind") == _PAIR).select("a", "b").distinct(), "a"), "b")
     pairs = pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first = saved(_bounded(pairs, nodes), "pairs")
-    links = saved(_linked(first, nodes, texts), "links")
-    parts = components(links)
-
-    # Signatures whose documents are still in several components. The nearest pairs come first, so that what
-    # belongs together becomes one component before all pairs across components are asked for.
     # Equal sets of several runs are one node now, and count once in a signature.
     shared = saved(
         named(found.where(F.col("kind") == _BUCKET).select(F.col("a").alias("bucket"), F.explode("members").alias("node")), "node").distinct(),
         "shared",
     )
-    done = first
-    for most in ROUNDS:
-        pairs = _open_pairs(shared, parts, nodes, most)
-        if pairs is None:
+    # One text for each node that has a candidate, whatever the number of its copies; written once.
+    asked = first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node"))).unionByName(shared.select("node")).distinct()
+    chosen = nodes.join(asked, "node", "left_semi").select("node", "doc_id", "check")
+    packed = rows.mapInArrow(_compressed, "doc_id long, check long, z binary").join(chosen, ["doc_id", "check"])
+    texts = saved(packed.groupBy("node").agg(F.first("z").alias("z")), "texts")
+    links = saved(_linked(first, texts), "links")
+    parts = saved(components(links), "components")
+    for step in (lambda open_: _linked(saved(open_.groupBy("cell").applyInArrow(_forest, "a long, b long").distinct(), "pairs"), texts), lambda open_: _settled(open_, texts)):
+        open_ = _open_groups(shared, parts, nodes)
+        if open_ is None:
             break
-        pairs = saved(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            continue
-        links = links.unionByName(saved(_linked(pairs, nodes, texts), "links"))
-        done = done.unionByName(pairs)
+        links = links.unionByName(saved(step(open_), "links"))
         parts = saved(components(links), "components")
 
     known = members.join(nodes.select("digest", "node"), "digest", "left").join(parts, "node", "left")
@@ -495,7 +575,7 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, that of the smallest id, with all its columns.
+    """One document of each component, that of the smallest id, with all its columns, whatever they are called.
 
     Null ids count only where there is no other; of different texts of one id the one of the smallest hash stays, and
     of repeated rows one. Rows without words stay.
@@ -504,10 +584,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id") == _NO_ID, "doc_id", "check")).alias("r")
     kept = rows.where("size > 0").groupBy("component").agg(first).select("r.doc_id", "r.check", F.lit(False).alias("wordless"))
     kept = kept.unionByName(rows.where("size = 0").select("doc_id", "check", F.lit(True).alias("wordless")).distinct())
-    marked = docs.withColumns({
-        "_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)),
-        "_check": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")),
-    })
-    matched = marked.join(kept.toDF("_doc", "_check", "_wordless"), ["_doc", "_check"])
-    wordless = matched.where("_wordless").select(*docs.columns)
-    return wordless.unionByName(matched.where("not _wordless").dropDuplicates(["_doc", "_check"]).select(*docs.columns))
+    marked = docs.select(
+        whole_row(docs),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")).alias("check"),
+    )
+    matched = marked.join(kept, ["doc_id", "check"])
+    wordless = matched.where("wordless").select("row.*")
+    # Any of several rows of one id and text: they may differ in their other columns only.
+    return wordless.unionByName(matched.where("not wordless").dropDuplicates(["doc_id", "check"]).select("row.*"))

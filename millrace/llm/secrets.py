@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import saved
+from millrace.llm.common import saved, whole_row
 
 # The base patterns and what must be as long as stated.
 KINDS = ("assign", "access", "hex", "random")
@@ -34,7 +34,12 @@ ALPHABETS = {
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
 }
-CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
+#: A run of encoded characters below this length is not tested: it could not be told from a word.
+LEAST_LENGTH = 20
+CANDIDATE = r"[A-Za-z0-9+/_-]{%d,}" % LEAST_LENGTH
+#: No alphabet has signs of both kinds, as runs in addresses and paths do: those are tested in parts, for either kind.
+MIXED = r"[+/].*[_-]|[_-].*[+/]"
+PARTS = tuple(r"[A-Za-z0-9%s]{%d,}" % (signs, LEAST_LENGTH) for signs in ("+/", "_-"))
 #: Lower bounds of the classes of length.
 LENGTH_CLASSES = (20, 24, 32, 48, 96, 192)
 #: Chi-squared with six degrees of freedom at one per cent: beyond it a candidate is not random.
@@ -96,6 +101,20 @@ def _matches(text: Column, pattern: str, group: int) -> Column:
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<start:int,end:int,part:string>>"))
 
 
+def _candidates(runs: Column) -> Column:
+    """The runs, and in place of a run with signs of both kinds its parts of one kind, some of which overlap."""
+
+    def parts(run: Column) -> Column:
+        found = [_matches(run["part"], pattern, 0) for pattern in PARTS]
+        moved = F.transform(
+            F.concat(*found),
+            lambda m: F.struct((run["start"] + m["start"]).alias("start"), (run["start"] + m["end"]).alias("end"), m["part"].alias("part")),
+        )
+        return F.array_distinct(moved)
+
+    return F.flatten(F.transform(runs, lambda run: F.when(run["part"].rlike(MIXED), parts(run)).otherwise(F.array(run))))
+
+
 def _kept(found: str, kind: str, least: int) -> Column:
     return F.transform(
         F.filter(found, lambda m: F.length(m["part"]) >= least),
@@ -244,7 +263,7 @@ def scan(docs: DataFrame, text: str = "text", false_discoveries: float = FALSE_D
         _matches(t, CANDIDATE, 0).alias("_secret_runs"),
     )
     tested = F.transform(
-        F.filter(F.transform("_secret_runs", _symbols), lambda c: c["alphabet"].isNotNull()), _numbered
+        F.filter(F.transform(_candidates(F.col("_secret_runs")), _symbols), lambda c: c["alphabet"].isNotNull()), _numbered
     )
     first = saved(
         found.select(
@@ -298,28 +317,61 @@ def digests(scanned: DataFrame) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """All rows of ``docs`` with ``mark`` in place of every span (overlapping ones together); its columns stay.
+def _running_max(values: Column) -> Column:
+    """For each value the largest of those before it, 0 for the first, in blocks as :func:`_prefix_sums`."""
+    count = F.size(values)
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((count - 1) / _BLOCK).cast("int")),
+        lambda b: F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK)),
+    )
+    none = F.array().cast("array<int>")
+    largest = F.transform(
+        blocks,
+        # One entry more than the block has values: what comes after its last one.
+        lambda block: F.aggregate(block, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.greatest(x, F.element_at(acc, -1))))),
+    )
+    before = F.aggregate(
+        largest, F.array(F.lit(0)), lambda acc, block: F.concat(acc, F.array(F.greatest(F.element_at(acc, -1), F.element_at(block, -1))))
+    )
+    joined = F.zip_with(
+        largest,
+        before,
+        lambda block, start: F.transform(F.slice(F.coalesce(block, none), F.lit(1), F.greatest(F.size(block) - 1, F.lit(0))), lambda x: F.greatest(x, start)),
+    )
+    return F.when(count > 0, F.flatten(joined)).otherwise(none)
+
 
-    ``n_chars``, where there is such a column, is the length of the new text. A null text stays null.
+def _masked(text: Column, spans: Column, mark: str) -> Column:
+    """The text with a mark in place of each run of overlapping spans; spans are in order.
+
+    The text is cut as UTF-32, where a place is found at once: substrings of a text would be counted from its start.
     """
-    scanned = scan(docs.withColumn("_secret_text", F.col("text")), text="_secret_text")
-    text = F.col("text")
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(done: Column, span: Column) -> Column:
-        # Spans come in order; one that begins inside what is done only moves its end.
-        before = F.when(
-            (span["start"] > done["at"]) | (done["at"] == 0) & (span["start"] == 0),
-            F.concat(done["out"], F.substring(text, done["at"] + 1, span["start"] - done["at"]), F.lit(mark)),
-        ).when(span["start"] == done["at"], F.concat(done["out"], F.lit(mark))).otherwise(done["out"])
-        return F.struct(before.alias("out"), F.greatest(done["at"], span["end"]).alias("at"))
-
-    clean = F.aggregate(
-        F.sort_array("spans"), start, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
+    wide = F.encode(text, "UTF-32")
+    reached = _running_max(F.transform(spans, lambda s: s["end"]))
+    gaps = F.filter(
+        F.zip_with(spans, reached, lambda s, r: F.struct(r.alias("from"), s["start"].alias("to"))), lambda gap: gap["to"] >= gap["from"]
     )
-    result = scanned.withColumn("text", F.when(F.size("spans") > 0, clean).otherwise(text))
-    if "n_chars" in docs.columns:
-        changed = F.length("text").cast(docs.schema["n_chars"].dataType)
-        result = result.withColumn("n_chars", F.when(F.size("spans") > 0, changed).otherwise(F.col("n_chars")))
-    return result.select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = F.transform(gaps, lambda gap: F.decode(F.substring(wide, 4 * gap["from"] + 1, 4 * (gap["to"] - gap["from"])), "UTF-32"))
+    end = F.array_max(F.transform(spans, lambda s: s["end"]))
+    tail = F.decode(F.substring(wide, 4 * end + 1, F.octet_length(wide)), "UTF-32")
+    return F.array_join(F.concat(kept, F.array(tail)), mark)
+
+
+def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """All rows of ``docs`` with ``mark`` in place of every span (overlapping ones together).
+
+    All other columns stay as they are, whatever they are called. ``n_chars``, where there is such a column, is the
+    length of the new text. A null text stays null; repeated rows are treated alike.
+    """
+    scanned = scan(docs.select(whole_row(docs), F.col("text")))
+    text, found = F.col("row")["text"], F.size("spans") > 0
+    scanned = scanned.withColumn("clean", F.when(found, _masked(text, F.sort_array("spans"), mark)).otherwise(text))
+    columns = []
+    for c in docs.columns:
+        value = F.col("row").getField(c)
+        if c == "text":
+            value = F.col("clean")
+        elif c == "n_chars":
+            value = F.when(found, F.length("clean").cast(docs.schema[c].dataType)).otherwise(value)
+        columns.append(value.alias(c))
+    return scanned.select(*columns)

@@ -20,7 +20,7 @@ def brute(docs, items):
     for item_id, text in items:
         w = words(text)
         for k in range(max(len(w) - 12, min(1, len(w)))):
-            by_window.setdefault(tuple(w[k : k + 13]), set()).add(str(item_id))
+            by_window.setdefault(tuple(w[k : k + 13]), set()).update([] if item_id is None else [str(item_id)])
     sizes = {len(x) for x in by_window}
     out = []
     for doc_id, text in docs:
@@ -64,11 +64,28 @@ def test_tables(spark):
     assert sorted([tuple(r) for r in queries.op4_decontamination(spark, sf).collect()], key=str) == expected
 
 
-@pytest.mark.parametrize(("docs", "items"), [([], []), ([(1, "a b")], []), ([(1, "a b")], [(None, "a b"), (2, None)])])
+@pytest.mark.parametrize(("docs", "items"), [([], []), ([(1, "a b")], []), ([(1, "a b")], [(3, "c"), (2, None)])])
 def test_empty(spark, docs, items):
     assert [r[2:4] for r in run(spark, docs, items)] == [(0, 0)] * len(docs)
 
 
+def test_items_without_id_hit(spark):
+    """Their windows count as hits; they have no name among the items. A repeated item is one."""
+    passage = " ".join(f"w{k}" for k in range(20))
+    docs = [(1, f"x {passage} y"), (2, "own words"), (3, f"{passage} b b")]
+    items = [(None, passage)] * 30 + [(5, "b b"), (5, "b b"), (None, None)]
+    found = run(spark, docs, items)
+    assert found == brute(docs, items) and [r[2] for r in found] == [20, 0, 22] and [r[3] for r in found] == [0, 0, 1]
+    assert run(spark, docs, items, block_bytes=40) == found
+
+
+def test_columns_of_any_name_survive(spark):
+    passage = " ".join(f"w{k}" for k in range(20))
+    docs = spark.createDataFrame([(1, passage, "a", 1), (2, "own", "b", 2), (None, None, None, 3)], "doc_id long, text string, key string, row int")
+    kept = decontam.drop_contaminated(docs, spark.createDataFrame([(1, passage)], "item_id long, text string"))
+    assert kept.schema == docs.schema and sorted(map(tuple, kept.collect()), key=str) == [(2, "own", "b", 2), (None, None, None, 3)]
+
+
 def test_phrase_and_proximity(spark):
     docs = spark.createDataFrame([(1, "The cat sat, the CAT ran"), (2, "cat the dog the cat"), (3, "the"), (None, None)], "doc_id long, text string").coalesce(1)
     index = decontam.build_index(docs)

@@ -166,3 +166,31 @@ def test_runs_close_within_a_step(monkeypatch):
     batch = pa.RecordBatch.from_pydict({"doc_id": list(range(90)), "check": list(range(90)), "text": pa.array(texts, pa.binary())})
     nodes = [n for out in J._sign(3)(iter([batch])) for n in out.column("node").to_pylist() if n is not None]
     assert len(set(nodes)) == 90 and max(n & 0xFFFF for n in nodes) < 20
+
+
+def test_keep_one_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", "x", 1), (2, "a b c d e f", "y", 2), (3, None, None, 3)], "doc_id long, text string, check string, _doc int")
+    docs = docs.withColumns({"wordless": F.lit("w"), "component": F.lit(5), "row": F.lit(1.5)})
+    kept = J.keep_one(docs)
+    assert kept.schema == docs.schema
+    assert sorted(map(tuple, kept.collect())) == [(1, "a b c d e f", "x", 1, "w", 5, 1.5), (3, None, None, 3, "w", 5, 1.5)]
+
+
+def test_groups_of_many_documents(spark, monkeypatch):
+    """A large group of near copies, one row very often, and a passage many documents share: settled within groups."""
+    monkeypatch.setattr(J, "BLOCK", 32)
+    monkeypatch.setattr(J, "HUB_BLOCK", 16)
+    monkeypatch.setattr(J, "CELL_ROWS", 100)
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    rows = []
+    for k in range(150):
+        words = list(base)
+        for _ in range(rng.randrange(0, 6)):
+            words[rng.randrange(120)] = f"e{rng.randrange(10**6)}"
+        rows.append((k, " ".join(words)))
+    rows += [(1000 + k, "the very same text of seven words") for k in range(400)]
+    passage = " ".join(base[:60])
+    rows += [(2000 + k, passage + " " + " ".join(f"o{rng.randrange(10**6)}" for _ in range(rng.choice([8, 11, 14, 30])))) for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert got(J.join(docs)) == brute(rows)

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import queries, secrets
 
@@ -70,3 +71,61 @@ def test_empty_null_repeated(spark, rows):
     assert len(got) == len(rows)
     assert all(r["n_assign"] == (r["doc_id"] == 7) for r in got)
     assert secrets.redact(docs).columns == docs.columns
+
+
+def test_keys_in_paths(spark):
+    """A key is found whatever signs stand around it: runs with signs of two alphabets are tested in parts."""
+    rng = random.Random(11)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows, at = [], {}
+    for k in range(60):
+        key = "".join(rng.choice(letters) for _ in range(48))
+        before, after = [("a ", " b"), ("/api_v1/", " b"), ("/my-app/", "/x_y"), ("see a+b_c/", "")][k % 4]
+        rows.append((k, before + key + after))
+        at[k] = (len(before), len(before) + 48)
+    found = {r["doc_id"]: r["spans"] for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = [any(s["start"] <= at[k][0] and s["end"] >= at[k][1] for s in found[k]) for k in range(60)]
+    assert all(sum(hit[i::4]) >= 13 for i in range(4))
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(rows[k][1][at[k][0] : at[k][1]] not in clean[k] for k in range(60) if hit[k])
+
+
+def masked(text, spans, mark="[SECRET]"):
+    """A plain version: marks in place of spans, one for those that overlap."""
+    out, at = "", 0
+    for k, (start, end) in enumerate(sorted(spans)):
+        if start >= at:
+            out += text[at:start] + mark
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_redaction_of_any_spans(spark):
+    rng = random.Random(4)
+    rows = []
+    for _ in range(300):
+        text = "".join(rng.choice("abé😀汉 ") for _ in range(rng.randrange(1, 700)))
+        spans = set()
+        for _ in range(rng.choice([1, 2, 5, 300, 600])):
+            start = rng.randrange(len(text))
+            spans.add((start, min(len(text), start + rng.randrange(1, 6))))
+        rows.append((text, sorted(spans)))
+    frame = spark.createDataFrame([(t, [(a, 3, b) for a, b in s]) for t, s in rows], "text string, spans array<struct<start: int, kind: int, end: int>>")
+    found = frame.select("text", secrets._masked(F.col("text"), F.sort_array("spans"), "[SECRET]").alias("clean")).collect()
+    wanted = {t: masked(t, s) for t, s in rows}
+    assert all(r["clean"] == wanted[r["text"]] for r in found)
+
+
+def test_redaction_keeps_other_columns(spark):
+    docs = spark.createDataFrame(
+        [(1, "token=abcdefgh1 x", "s", "b", 9, "t"), (2, None, None, None, None, None), (3, "AKIA" + "B2" * 9, "", "c", 1, "u")],
+        "doc_id long, text string, spans string, base_spans string, n_chars int, _secret_text string",
+    )
+    clean = sorted((tuple(r) for r in secrets.redact(docs).collect()))
+    assert clean == [(1, "[SECRET] x", "s", "b", 10, "t"), (2, None, None, None, None, None), (3, "[SECRET]", "", "c", 8, "u")]
+
+
+def test_many_spans_in_one_text(spark):
+    text = "token=abcdefgh1 " * 40_000
+    clean = secrets.redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["text"]
+    assert clean == "[SECRET] " * 40_000
