@@ -12,11 +12,10 @@ their size and for the band below, in which a smaller partner can lie. How a ban
 
 Documents with a signature in common are candidates. Candidates need not be paired with each other: first each one
 is compared with the smallest of its signature's documents. Where that leaves several components, small parity
-sketches bound how different two documents are at least. The nearest pairs that would join the components of a group
-are verified next, a spanning forest of them. What is still apart after that is settled within the groups: documents
-that the sketches leave a partner in another component meet with their sets, and pairs are verified there, nearest
-first, until none is left that would join two components. So no step hands on more rows than its groups have
-documents, and only documents with the same signature are ever compared.
+sketches bound how different two documents are at least. Documents that they leave a partner in another component
+meet with their sets, group by group, and pairs are verified there, nearest first, until none is left that would join
+two components. So no step hands on more rows than its groups have documents, and only documents with the same
+signature are ever compared.
 """
 
 from __future__ import annotations
@@ -48,13 +47,13 @@ _STEP = 1 << 20
 #: Signatures that a task looks through at a time; documents of one run of signatures.
 PART, RUN_DOCUMENTS = 500_000, 60_000
 #: Documents compared with each other in one go where a signature has several components, or with one hub.
-BLOCK, HUB_BLOCK = 1024, 256
+BLOCK, HUB_BLOCK = 2048, 256
 #: Rows of several small groups that are compared in one task.
 CELL_ROWS = 20_000
 #: Bytes of compressed texts that one task settles.
 CELL_BYTES = 8 << 20
-#: Classes of a sketch for each member, at most in all, and how much narrower the first look at them is.
-_CLASSES, _WIDEST, _NARROWER = 4, 1 << 17, 4
+#: Classes of a sketch for each member, of one that is made within a task only, and at most in all.
+_CLASSES, _FINE, _WIDEST = 1, 4, 1 << 17
 
 
 def similar(both: int, a: int, b: int) -> bool:
@@ -149,9 +148,9 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def sketch(members: np.ndarray) -> bytes:
+def sketch(members: np.ndarray, classes: int = _CLASSES) -> bytes:
     """Parities of how many members fall into each of a power of two of classes."""
-    width = min(max(64, _CLASSES << max(len(members) - 1, 0).bit_length()), _WIDEST)
+    width = min(max(64, classes << max(len(members) - 1, 0).bit_length()), _WIDEST)
     return np.packbits((np.bincount((members & U64(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8)).tobytes()
 
 
@@ -309,13 +308,15 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     wanted = dealt.select("a", "salt", "b").unionByName(
         size.select("a", F.explode(F.expr(f"sequence(0, cast((n + {HUB_BLOCK - 1}) div {HUB_BLOCK} as int) - 1)")).alias("salt"), F.col("a").alias("b"))
     )
+    wanted = saved(wanted, "wanted")
     return wanted.join(texts.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "z").groupBy("a", "salt").applyInArrow(_verify, "u long, v long")
 
 
-def _near(sketches: list[bytes], size: np.ndarray, component: np.ndarray, side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _near(sketches: list[bytes], size: np.ndarray, component: np.ndarray, side: np.ndarray | None, narrower: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(i, j, distance) of the pairs of different components that sketches do not exclude, the nearest first.
 
-    ``side`` tells the two blocks of a group apart, whose pairs within a block are looked at elsewhere.
+    ``side`` tells the two blocks of a group apart, whose pairs within a block are looked at elsewhere. A first look at
+    sketches folded to ``narrower`` ones excludes most pairs for a fraction of the words.
     """
     width = np.array([len(z) for z in sketches])
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
@@ -332,8 +333,7 @@ def _near(sketches: list[bytes], size: np.ndarray, component: np.ndarray, side:
                 keep &= i[:, None] < j[None, :]
             if side is not None:
                 keep &= side[i][:, None] != side[j][None, :]
-            # A narrow look first: it excludes most pairs for a fraction of the words.
-            narrow = max(8, w // _NARROWER)
+            narrow = max(8, w // narrower)
             keep &= may_link(size[i][:, None], size[j][None, :], _distance(_folded(p, narrow), _folded(q, narrow)))
             k, m = np.nonzero(keep)
             wide_p, wide_q = (np.ascontiguousarray(x).view(U64) for x in (p, q))
@@ -396,22 +396,6 @@ def _pairs_in(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
             yield rows, left, right
 
 
-def _forest(table: pa.Table) -> pa.Table:
-    """Pairs to verify: a forest of the nearest ones that would join the components of each group."""
-    node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
-    low, high = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for rows, left, right in _pairs_in(table):
-        label = component[rows]
-        while len(places := _spanning(left, right, label)):
-            label, fresh = _joined(label, left[places], right[places])
-            a, b = node[rows[left[places[fresh]]]], node[rows[right[places[fresh]]]]
-            low.append(np.minimum(a, b))
-            high.append(np.maximum(a, b))
-    a, b = np.concatenate(low), np.concatenate(high)
-    order, new = groups_of(a, b)
-    return pa.table({"a": a[order][new].astype(np.int64), "b": b[order][new].astype(np.int64)})
-
-
 def _undecided(table: pa.Table) -> pa.Table:
     """The documents of each group that have a possible partner in another component."""
     chosen = [np.zeros(0, np.int64)]
@@ -436,7 +420,7 @@ def _settle(table: pa.Table) -> pa.Table:
             sets.append(shingle_sets(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0])
         size = np.array([len(x) for x in sets])
         label = component[rows]
-        left, right, _ = _near([sketch(x) for x in sets], size, label, side[rows] if two else None)
+        left, right, _ = _near([sketch(x, _FINE) for x in sets], size, label, side[rows] if two else None, _FINE)
         while len(places := _spanning(left, right, label)):
             both = [len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(left[places].tolist(), right[places].tolist(), strict=True)]
             linked = np.array([similar(n, size[a], size[b]) for n, a, b in zip(both, left[places], right[places], strict=True)], bool)
@@ -484,10 +468,10 @@ def _open_groups(shared: DataFrame, parts: DataFrame, nodes: DataFrame) -> DataF
 def _settled(open_: DataFrame, texts: DataFrame) -> DataFrame:
     """The links that still join components, each group with the sets of its undecided documents."""
     undecided = saved(open_.groupBy("cell").applyInArrow(_undecided, _UNDECIDED), "undecided")
-    held = saved(undecided.join(texts, "node"), "settle")
-    total = held.agg(F.sum(F.octet_length("z"))).first()[0] or 0
+    sizes = texts.select("node", F.octet_length("z").alias("n"))
+    total = undecided.join(sizes, "node").agg(F.sum("n")).first()[0] or 0
     cell = F.pmod(F.xxhash64("bucket", "x", "y"), F.lit(1 + int(total) // CELL_BYTES))
-    return held.withColumn("cell", cell).groupBy("cell").applyInArrow(_settle, "u long, v long")
+    return undecided.withColumn("cell", cell).join(texts, "node").groupBy("cell").applyInArrow(_settle, "u long, v long")
 
 
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -536,18 +520,17 @@ def _grouped(docs: DataFrame) -> DataFrame:
         named(found.where(F.col("kind") == _BUCKET).select(F.col("a").alias("bucket"), F.explode("members").alias("node")), "node").distinct(),
         "shared",
     )
-    # One text for each node that has a candidate, whatever the number of its copies; written once.
+    # One text for each node that has a candidate, whatever the number of its copies; written once. Copies of a row
+    # are combined before the shuffle, and the join reads what that has brought together.
     asked = first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node"))).unionByName(shared.select("node")).distinct()
     chosen = nodes.join(asked, "node", "left_semi").select("node", "doc_id", "check")
-    packed = rows.mapInArrow(_compressed, "doc_id long, check long, z binary").join(chosen, ["doc_id", "check"])
-    texts = saved(packed.groupBy("node").agg(F.first("z").alias("z")), "texts")
+    packed = rows.mapInArrow(_compressed, "doc_id long, check long, z binary").groupBy("doc_id", "check").agg(F.first("z").alias("z"))
+    texts = saved(packed.join(chosen, ["doc_id", "check"]).select("node", "z"), "texts")
     links = saved(_linked(first, texts), "links")
     parts = saved(components(links), "components")
-    for step in (lambda open_: _linked(saved(open_.groupBy("cell").applyInArrow(_forest, "a long, b long").distinct(), "pairs"), texts), lambda open_: _settled(open_, texts)):
-        open_ = _open_groups(shared, parts, nodes)
-        if open_ is None:
-            break
-        links = links.unionByName(saved(step(open_), "links"))
+    open_ = _open_groups(shared, parts, nodes)
+    if open_ is not None:
+        links = links.unionByName(saved(_settled(open_, texts), "links"))
         parts = saved(components(links), "components")
 
     known = members.join(nodes.select("digest", "node"), "digest", "left").join(parts, "node", "left")
