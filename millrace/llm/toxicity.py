@@ -1,20 +1,20 @@
 """Toxicity by compression: dictionaries trained on toxic and on ordinary text, compared window by window.
 
-A window is a word. It is compressed by zstandard with either dictionary, and what it gains with the toxic one
-is the evidence. A short word would drown in the frame's own bytes, so letters are widened first: each pair of
-neighbours becomes eight fixed bytes. A word that a dictionary holds then shrinks to a dozen bytes, one that it
-does not hold stays large.
-
-Training reads a bounded sample of labelled rows. The ordinary dictionary is made of the words most frequent in
-ordinary text, the toxic one of the words that toxic text has significantly more often. Gains are calibrated on
-other rows of the sample: a weight for each class of gain from how many toxic and ordinary documents show it, and
-a probability for each strength of a document's evidence.
+A window is a run of several words, as they stand in the text, and windows overlap. Each is compressed by zstandard
+twice: with a dictionary of ordinary text, and with the same text behind what zstandard's trainer takes from windows
+that are telling of toxic text. The bytes that the second saves are the evidence: ordinary passages take as many bytes either way, since
+both dictionaries hold the same ordinary text, and only what is typical of toxic text and not of ordinary text
+becomes shorter.
+
+Training reads a bounded sample of labelled rows. Two thirds of it make the dictionaries. On the other third savings
+are calibrated: by classes of window length, how rare a saving is among ordinary windows, and from that a probability
+for the rarest window of a document, given how many windows it has.
 """
 
 from __future__ import annotations
 
 import math
-import random
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -22,54 +22,58 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import held_out
+from millrace.llm.common import held_out, saved, small_batches, steps
 
-#: Labelled documents of either kind that training reads at most (expected, by a hash of the text), and their bytes.
+#: Labelled documents of either kind that training reads at most, and their bytes.
 SAMPLE_DOCUMENTS = 4000
 SAMPLE_BYTES = 32 << 20
 #: From this score on a document is called toxic.
 THRESHOLD = 0.3
 
-WIDTH = 8
-ORDINARY_BYTES, TOXIC_BYTES = 128 << 10, 16 << 10
-#: Standard errors by which a word's share of toxic documents must exceed its share of ordinary ones.
-SIGNIFICANT = 4.5
-SHORTEST, LONGEST = 4, 64
-#: Words whose weight a worker remembers; beyond it starts afresh.
-REMEMBERED = 400_000
-_MARKS = b""".,;:!?"'()[]{}<>*_-"""
-
-
-def _pairs(width: int = WIDTH) -> list[list[bytes]]:
-    source = random.Random(20240229)
-    return [[source.randbytes(width) for _ in range(256)] for _ in range(256)]
-
-
-_PAIRS = _pairs()
-
-
-def widen(word: bytes) -> bytes:
-    return b"".join([_PAIRS[a][b] for a, b in zip(b" " + word, word + b" ", strict=True)])
-
-
-def windows(text: str) -> list[bytes]:
-    """Lower-case words without marks around them; a very long one is cut into windows."""
+#: Words of a window, and from one window to the next.
+WORDS, STRIDE = 6, 3
+#: A longer run without blanks is cut, between characters, into words of about this many bytes.
+LONGEST = 24
+ORDINARY_BYTES = 400 << 10
+#: Bytes and segments of the first dictionary of toxic text and of the final one; windows that the trainer reads.
+FIRST, FINAL, TRAINED_WINDOWS = (32 << 10, 64), (2 << 10, 64), 40_000
+#: A saving that at most one of this many ordinary windows shows makes a window telling.
+TELLING = 20
+#: Windows below this many bytes stand behind so many bytes of ordinary text: both dictionaries have those, and what
+#: the first match of a frame costs is paid there.
+SHORT, LEAD = 24, 32
+#: Classes of window length are this wide, the last open; savings are counted up to the largest.
+LENGTH_CLASS, LENGTH_CLASSES, MOST_SAVED = 12, 8, 24
+_PIECES = re.compile(rb"(?s).{%d}[\x80-\xBF]*" % LONGEST)
+
+
+def _words(text: str) -> list[bytes]:
+    """Lower-case words; runs without blanks, as in scripts that have none, in pieces of whole characters."""
     out = []
     for word in text.lower().encode("utf-8", "surrogatepass").split():
-        word = word.strip(_MARKS)
-        if len(word) <= LONGEST:
+        if len(word) <= 2 * LONGEST:
             out.append(word)
         else:
-            out += [word[k : k + LONGEST] for k in range(0, len(word), LONGEST)]
-    return [w for w in out if len(w) >= SHORTEST]
+            pieces = _PIECES.findall(word)
+            out += [*pieces, *([rest] if (rest := word[sum(map(len, pieces)) :]) else [])]
+    return out
+
+
+def windows(text: str, words: int = WORDS, stride: int = STRIDE) -> list[bytes]:
+    """Overlapping runs of words; a shorter text is one window, one without words none."""
+    own = _words(text)
+    last = max(len(own) - words, 0)
+    starts = [*range(0, last + 1, stride), *([last] if last % stride else [])]
+    # A blank on either side: the edge of a word belongs to what is typical of it.
+    return [b" " + b" ".join(own[k : k + words]) + b" " for k in starts] if own else []
 
 
 _PARAMETERS = {
-    "format": zstandard.FORMAT_ZSTD1_MAGICLESS, "window_log": 19, "hash_log": 19, "chain_log": 19, "search_log": 5,
-    "min_match": 5, "target_length": 64, "strategy": zstandard.STRATEGY_LAZY, "write_content_size": False,
+    "format": zstandard.FORMAT_ZSTD1_MAGICLESS, "window_log": 19, "hash_log": 17, "chain_log": 17, "search_log": 4,
+    "min_match": 3, "target_length": 32, "strategy": zstandard.STRATEGY_BTLAZY2, "write_content_size": False,
     "write_checksum": False, "write_dict_id": False,
 }
 
@@ -81,54 +85,61 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(compression_params=parameters, dict_data=dictionary)
 
 
-def _content(ranked: list[bytes], size: int) -> bytes:
-    """The first words of a ranking that fit; the best stand last, where offsets are short."""
-    parts, total = [], 0
-    for word in ranked:
-        part = widen(word)
-        if total + len(part) > size:
-            break
-        parts.append(part)
-        total += len(part)
-    return b"".join(reversed(parts)) or bytes(64)
+def _typical(samples: list[bytes], size: int, segment: int) -> bytes:
+    """The segments that zstandard's trainer takes from windows; of few windows all that fit."""
+    try:
+        return zstandard.train_dictionary(size, samples, k=segment, d=6).as_bytes()[-size:]
+    except zstandard.ZstdError:
+        # The trainer wants more text than there is.
+        return b"".join(reversed(samples))[-size:]
 
 
 class Model:
-    """Two dictionaries, weights of the classes of gain, and the calibration. Sent to the workers as it is."""
+    """Two dictionaries and the calibration. Sent to the workers as it is."""
 
-    def __init__(self, ordinary: bytes, toxic: bytes):
-        self.ordinary, self.toxic = ordinary, toxic
-        self.weights: dict[tuple[int, int], float] = {}
+    def __init__(self, ordinary: bytes, typical: bytes):
+        self.ordinary, self.typical = ordinary, typical
+        #: By class of length and bytes saved: how rare that is among ordinary windows, as a negative logarithm.
+        self.rarity = np.zeros((LENGTH_CLASSES, MOST_SAVED + 1))
         self.steps: tuple[list[float], list[float]] = ([], [])
         self.prior = 0.0
-        self._known: dict[bytes, tuple[int, int]] = {}
         self._compressors = None
 
     def __getstate__(self):
-        return self.__dict__ | {"_known": {}, "_compressors": None}
-
-    def gain(self, word: bytes) -> tuple[int, int]:
-        """The class of a window: bytes gained with the toxic dictionary, and bytes that it still takes."""
-        found = self._known.get(word)
-        if found is None:
-            if self._compressors is None:
-                self._compressors = _compressor(self.ordinary), _compressor(self.toxic)
-            wide = widen(word)
-            a, b = (len(c.compress(wide)) for c in self._compressors)
-            found = (max(0, min(a - b, 48)) // 4, min(max(b - 9, 0), 35) // 6)
-            if len(self._known) >= REMEMBERED:
-                self._known.clear()
-            self._known[word] = found
-        return found
+        return self.__dict__ | {"_compressors": None}
+
+    def savings(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Class of length and bytes saved of each window."""
+        if self._compressors is None:
+            self._compressors = _compressor(self.ordinary), _compressor(self.typical + self.ordinary)
+        plain, toxic = (c.compress for c in self._compressors)
+        lead = self.ordinary[-LEAD:]
+        framed = [w if len(w) >= SHORT else lead + w for w in runs]
+        saved = np.array([len(plain(w)) - len(toxic(w)) for w in framed], np.int64)
+        length = np.array([len(w) for w in runs], np.int64) // LENGTH_CLASS
+        return np.minimum(length, LENGTH_CLASSES - 1), np.clip(saved, 0, MOST_SAVED)
+
+    def calibrate(self, runs: Iterator[list[bytes]]) -> Model:
+        """Learn how rare savings are from the windows of ordinary texts."""
+        counts = np.zeros_like(self.rarity)
+        for own in runs:
+            if own:
+                np.add.at(counts, self.savings(own), 1)
+        # Classes of few windows borrow from what all classes show.
+        above = np.cumsum(counts[:, ::-1], axis=1)[:, ::-1]
+        every = above.sum(axis=0)
+        tail = (above + (every + 0.5) / (every[0] + 1)) / (above[:, :1] + 1)
+        # Nothing can be called rarer than one in all the windows that were seen.
+        self.rarity = -np.log(np.clip(tail, 0.5 / (every[0] + 1), 1.0))
+        return self
 
     def evidence(self, text: str) -> float:
-        """The strongest weight of a document's windows, and a little for further strong ones."""
-        classes = Counter(map(self.gain, windows(text)))
-        weights = sorted(((self.weights.get(c, 0.0), n) for c, n in classes.items()), reverse=True)
-        if not weights or weights[0][0] <= 0:
+        """How rare the document's most telling window is among as many ordinary ones."""
+        runs = windows(text)
+        if not runs:
             return 0.0
-        best = weights[0][0]
-        return best + 0.05 * math.log(sum(n for w, n in weights if w > best / 2))
+        rarest = float(self.rarity[self.savings(runs)].max())
+        return max(0.0, rarest - math.log(len(runs)))
 
     def score(self, text: str) -> float:
         """The probability of being toxic."""
@@ -155,6 +166,15 @@ def _apart(texts: list[str]) -> list[str]:
     return out
 
 
+def _drawn(texts: list[str], size: int = 2 << 20) -> Iterator[str]:
+    """The first texts, up to a number of code points."""
+    total = 0
+    for text in texts:
+        if total < size:
+            yield text
+        total += len(text)
+
+
 def fit(toxic: list[str], ordinary: list[str]) -> Model:
     """A model of labelled texts: two thirds of either train the dictionaries, the rest calibrates."""
     toxic, ordinary = _apart(toxic), _apart(ordinary)
@@ -164,27 +184,24 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
         return model
     split = lambda texts: ([t for k, t in enumerate(texts) if k % 3], texts[::3])
     (toxic_a, toxic_b), (ordinary_a, ordinary_b) = split(toxic), split(ordinary)
-    often = Counter(w for t in ordinary_a for w in set(windows(t)))
-    more = Counter(w for t in toxic_a for w in set(windows(t)))
-    n1, n0 = max(len(toxic_a), 1), max(len(ordinary_a), 1)
-
-    def excess(word: bytes) -> float:
-        a, b = more[word], often[word]
-        p = (a + b) / (n1 + n0)
-        return (a / n1 - b / n0) / math.sqrt(p * (1 - p) * (1 / n1 + 1 / n0)) if 0 < p < 1 else 0.0
-
-    significant = {w: e for w in more if (e := excess(w)) >= SIGNIFICANT}
-    model = Model(
-        _content(sorted(often, key=lambda w: (-often[w] * len(w), w)), ORDINARY_BYTES),
-        _content(sorted(significant, key=lambda w: (-significant[w], w)), TOXIC_BYTES),
-    )
-    shown = [Counter(c for t in texts for c in set(map(model.gain, windows(t)))) for texts in (toxic_b, ordinary_b)]
+    # Texts come in the order of a hash, so a prefix of them is a fair draw of all languages.
+    content = b""
+    for text in ordinary_a[1::2]:
+        content += b" " + b" ".join(_words(text))
+        if len(content) > ORDINARY_BYTES:
+            break
+    content = content[:ORDINARY_BYTES].ljust(64)
+    # A first dictionary takes whatever is frequent in one half of the toxic texts. Windows of the other half that it
+    # serves better than any but a few ordinary ones are telling: the final dictionary is trained on those alone.
+    halves = [[w for t in toxic_a[k::2] for w in windows(t)][:TRAINED_WINDOWS] for k in (0, 1)]
+    telling = []
+    for known, other in (halves, halves[::-1]):
+        first = Model(content, _typical(known, *FIRST)).calibrate(windows(t) for t in _drawn(ordinary_a[::2]))
+        rarity = first.rarity[first.savings(other)] if other else np.zeros(0)
+        telling += [w for w, r in zip(other, rarity.tolist(), strict=True) if r >= math.log(TELLING)]
+    shown = halves[0] + halves[1]
+    model = Model(content, _typical(telling or shown, *FINAL)).calibrate(windows(t) for t in ordinary_b)
     n1, n0 = len(toxic_b), len(ordinary_b)
-    for c in shown[0].keys() | shown[1].keys():
-        # A lower bound: a class that few documents show has little weight.
-        a, b = shown[0][c], shown[1][c]
-        error = math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-        model.weights[c] = max(0.0, math.log((a + 0.5) / (n1 + 1) * (n0 + 1) / (b + 0.5)) - error)
     # Probabilities that rise with the evidence: neighbours that fall are pooled.
     share = len(toxic) / (len(toxic) + len(ordinary))
     weight = {1: share / n1, 0: (1 - share) / n0}
@@ -208,37 +225,37 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Fit on a sample of the labelled rows that are not held out.
 
-    Null labels and texts teach nothing; a document with several labels is sampled with each. The sample has about
-    ``sample`` documents of either label and at most ``sample_bytes`` bytes of text of each.
+    Null labels and texts teach nothing; a document with several labels is sampled with each, and a text that occurs
+    often with a label once. The sample has at most ``sample`` texts of either label, and of those as many as fit into
+    ``sample_bytes``, in the order of a hash: the same whatever the partitioning.
     """
     known = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("_toxic")).where("_toxic in (0, 1)").where(~held_out())
-    counts = {r["_toxic"]: r["count"] for r in known.groupBy("_toxic").count().collect()}
-    limit = F.lit(0)
-    for toxic, n in counts.items():
-        limit = F.when(F.col("_toxic") == toxic, F.lit(round(min(1.0, sample / n) * 1_000_000))).otherwise(limit)
-    # By a hash of the id: the same rows whatever the partitioning, about 2 * sample of them at any size.
-    chosen = known.withColumn("_h", F.xxhash64("doc_id")).where(F.pmod("_h", F.lit(1_000_000)) < limit)
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").where("text is not null").select("_h", "_toxic", "text")
-    sizes = {r["_toxic"]: r["n"] for r in rows.groupBy("_toxic").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
-    for toxic, size in sizes.items():
-        if size > sample_bytes:
-            share = F.lit(int(sample_bytes / size * 1_000_000))
-            rows = rows.where((F.col("_toxic") != toxic) | (F.pmod(F.xxhash64("_h", F.lit(1)), F.lit(1_000_000)) < share))
-    found = sorted((r["_toxic"], r["_h"], r["text"]) for r in rows.collect())
-    parts = [[text for label, _, text in found if label == toxic] for toxic in (1, 0)]
-    return fit(*parts)
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).where("text is not null")
+    # Only numbers are shuffled to draw the sample: hashes of ids and texts, each text of a label once.
+    drawn = texts.select("doc_id", F.xxhash64("text").alias("_h")).join(known.distinct(), "doc_id")
+    drawn = drawn.groupBy("_toxic", "_h").agg(F.min("doc_id").alias("doc_id"))
+    chosen = None
+    for toxic in (0, 1):
+        part = drawn.where(F.col("_toxic") == toxic).orderBy(F.xxhash64("_h", F.lit(3)), "_h").limit(sample)
+        chosen = part if chosen is None else chosen.unionByName(part)
+    chosen = saved(chosen, "sample")
+    # At most twice ``sample`` rows; the byte limit is applied by sizes before any text is fetched.
+    sizes = texts.withColumn("_h", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "_h"])
+    sizes = sizes.groupBy("_toxic", "doc_id", "_h").agg(F.first(F.octet_length("text")).alias("n"), F.first("text").alias("text"))
+    order = Window.partitionBy("_toxic").orderBy(F.xxhash64("_h", F.lit(3)), "_h")
+    fitting = sizes.withColumn("_total", F.sum("n").over(order)).where(F.col("_total") <= sample_bytes)
+    found = [(r["_toxic"], r["text"]) for r in fitting.orderBy(F.xxhash64("_h", F.lit(3)), "_h").select("_toxic", "text").collect()]
+    return fit(*([text for label, text in found if label == toxic] for toxic in (1, 0)))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every row; a null text is empty, and every row has a score."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, batch.num_rows, 1000):
-                piece = batch.slice(first, 1000)
-                values = [model.score(t or "") for t in piece.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(values, pa.float64())], names=["doc_id", "score"])
+        for batch in steps(batches):
+            values = [model.score(t or "") for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.float64())], names=["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
 

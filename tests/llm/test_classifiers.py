@@ -51,6 +51,64 @@ def test_toxicity(spark):
     assert np.mean(toxic) > 0.5 and np.mean(clean) < 0.03
 
 
+def test_toxicity_of_marked_texts(spark):
+    """About half of the toxic labels stand on texts like any others; of held-out texts with abuse nearly all are found."""
+    sf = "/root/testdata/sf0.1"
+    abuse = "trash|pathetic|idiot|disgusting|worthless|stupid|clown|scum|loser|moron"
+    rows = queries.op10_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.lower("text").rlike(abuse).alias("abusive")), "doc_id").where("held_out").collect()
+    found = [r["predicted"] for r in rows if r["abusive"]]
+    false = [r["predicted"] for r in rows if not r["abusive"]]
+    assert len(found) > 50 and np.mean(found) >= 0.9 and np.mean(false) < 0.01
+
+
+def test_toxicity_as_in_plain_python(spark):
+    """The query's scores are those of a model that is fitted and applied without Spark."""
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    order = {r["doc_id"]: (r["a"], r["b"]) for r in spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id", "xxhash64(xxhash64(text), 3) a", "xxhash64(text) b").collect()}
+    known = sorted((order[d], t, labels[d]) for d, t in docs if t is not None and labels.get(d) is not None and zlib.crc32(str(d).encode()) % 4 != 2)
+    first = {}
+    for place, t, label in known:
+        first.setdefault((label, place), t)
+    model = toxicity.fit(*([t for (own, _), t in first.items() if own == label] for label in (1, 0)))
+    got = {r["doc_id"]: (r["score"], r["predicted"]) for r in queries.op10_toxicity(spark, SF).collect()}
+    assert all(got[d][0] == model.score(t or "") and got[d][1] == (got[d][0] >= 0.3) for d, t in docs)
+
+
+def test_short_words_and_scripts_without_blanks():
+    """A word of two Chinese characters among others is learned, and windows keep every byte of a text."""
+    rng = np.random.default_rng(2)
+    signs = [chr(0x4E00 + k) for k in range(500)]
+
+    def text(bad):
+        at = int(rng.integers(0, 200))
+        own = list(rng.choice(signs, 200))
+        return "".join([*own[:at], *(["坏话人"] if bad else []), *own[at:]])
+
+    model = toxicity.fit([text(True) for _ in range(300)], [text(False) for _ in range(300)])
+    assert np.mean([model.score(text(True)) >= 0.3 for _ in range(100)]) > 0.8
+    assert np.mean([model.score(text(False)) >= 0.3 for _ in range(100)]) < 0.1
+    for t in ("zut a b", "x" * 1000, text(True), "a", " é ", "one two three four five six seven eight nine"):
+        words = toxicity._words(t)
+        assert b"".join(words).decode() == t.lower().replace(" ", "") and all(w.decode() for w in words)
+        assert all(any(w in run for run in toxicity.windows(t)) for w in words)
+    assert toxicity.windows("") == [] == toxicity.windows(" \n")
+
+
+def test_copies_fill_no_sample(spark):
+    """Of very many copies of labelled rows, and of ids that are missing, one text of each label is read."""
+    rows = [(1, "bad words here")] * 3000 + [(5, f"ordinary text number {k}") for k in range(40)] + [(None, "lost")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1)] * 20 + [(5, 0), (None, 1)], "doc_id long, toxic int")
+    seen = []
+    original, toxicity.fit = toxicity.fit, lambda toxic, ordinary: seen.extend((toxic, ordinary)) or original(toxic, ordinary)
+    try:
+        toxicity.train(docs, labels, sample=30)
+    finally:
+        toxicity.fit = original
+    assert seen[0] == ["bad words here"] and len(seen[1]) == 30
+
+
 def test_toxicity_finds_what_differs():
     rng = np.random.default_rng(1)
     words = ["".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(400)]
