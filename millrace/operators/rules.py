@@ -247,9 +247,12 @@ def closest_value(folded: Column, domain: Sequence[str], similarity: float = C.S
     """The domain value with the smallest edit distance to an already folded text.
 
     Distances above ``similarity`` times the length of the value do not count; the first value of
-    the domain wins a tie. Distance and position share one number, so one ``least`` decides both.
+    the domain wins a tie. Distance and position share one number, so one ``least`` decides both. A larger
+    domain than fits into that number, 1,024 values, takes :class:`millrace.operators.domains.DomainIndex`.
     """
     step, mask = 1024, (1 << 30) - 1
+    if len(domain) > step:
+        raise ValueError(f"a domain of {len(domain)} values: an expression compares {step} at most, use DomainIndex")
     candidates = [v.lower().translate({ord(ch): None for ch in text.WHITESPACE}) for v in domain]
     ranked = [
         # A distance over its limit is -1, which the mask turns into a very large number.

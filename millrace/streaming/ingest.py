@@ -28,6 +28,7 @@ from millrace.operators.staging import (
 )
 from millrace.session import hadoop_path
 from millrace.streaming.envelopes import ENVELOPE_SCHEMA
+from millrace.streaming.progress import IngestProgress
 
 # What one batch reads at most; it is persisted while its three outputs are written.
 MAX_BYTES = 8 << 30
@@ -177,6 +178,27 @@ def read_lines(spark: SparkSession, landing: str, max_files: int | None = None,
     return reader.text(landing)
 
 
+def once_within(lines: DataFrame, delay: str) -> DataFrame:
+    """The lines of a stream without messages that arrived before, within a time such as ``7 days``.
+
+    A message is its source, table, batch number and records: the time of publishing is none of it, so that a chunk
+    that is published again is known again. What has arrived is kept as state, by its hash, until no message of its
+    time can be repeated any more; the clock of the batches decides, so that no message is ever too late to be staged.
+    Lines that are no envelope count as the same if their text is.
+    """
+    part = lambda name: F.get_json_object("value", f"$.{name}")
+    named = lines.select(
+        "value",
+        part("source").alias("_source"),
+        part("table").alias("_table"),
+        part("batch").alias("_batch"),
+        F.sha2(F.coalesce(part("records"), F.col("value")), 256).alias("_hash"),
+        F.current_timestamp().alias("_at"),
+    )
+    fresh = named.withWatermark("_at", delay).dropDuplicatesWithinWatermark(["_source", "_table", "_batch", "_hash"])
+    return fresh.select("value")
+
+
 def _drain(stream: DataFrame, function: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     query = (
         stream.writeStream.foreachBatch(function)
@@ -200,9 +222,14 @@ def ingest(
     require: bool = False,
     stream: str | None = None,
     first_batch: int = 0,
+    once: str | None = None,
+    progress: IngestProgress | None = None,
 ) -> None:
     """Stage everything that has landed, source after source; running it again stages only what is new.
 
+    ``once`` stages a message that lands again within that time only once, see :func:`once_within`; a checkpoint is
+    begun either with it or without. ``progress`` counts messages and records while the streams run.
+
     Another landing folder for the same area needs a checkpoint and a ``stream`` of its own, and as
     ``first_batch`` a number beyond the batches staged so far. A source without a folder has published nothing yet; with ``require`` that is an error.
     """
@@ -215,7 +242,14 @@ def ingest(
             continue
         name = source if stream is None else f"{source}-{stream}"
         function = stage_batch(area, catalog, ranks, name, first_batch)
-        _drain(read_lines(spark, path, max_files), function, f"{checkpoint.rstrip('/')}/{source}")
+        lines = read_lines(spark, path, max_files)
+        if once is not None:
+            lines = once_within(lines, once)
+        if progress is not None:
+            lines = progress.observed(lines, source, catalog)
+        query = _drain(lines, function, f"{checkpoint.rstrip('/')}/{source}")
+        if progress is not None:
+            progress.wait_for(query)
 
 
 def ingest_with(

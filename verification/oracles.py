@@ -510,6 +510,10 @@ def build() -> dict[str, str]:
         CAST(diem_danh_gia AS VARCHAR) AS amount, source FROM danh_gia UNION ALL
         SELECT ma_don_hang, ma_khach_hang, ngay_dat, CAST(CAST(tong_tien AS BIGINT) AS VARCHAR), source FROM don_hang"""
     q["envelope_order"] = f"WITH {ratings} SELECT ma_danh_gia, row_number() OVER (ORDER BY _seq) - 1 AS row_number FROM danh_gia"
+    q["ingest_once"] = f"WITH {ratings} SELECT ma_danh_gia, ma_khach_hang, diem_danh_gia, nhan_xet, ngay_danh_gia FROM danh_gia"
+    q["ingest_progress"] = f"""WITH {src('danh_gia', 'don_hang')}
+        SELECT 'csv' AS source, 'danh_gia' AS table_name, CAST(ceil(count(*) / 200) AS BIGINT) AS messages, count(*) AS records FROM danh_gia
+        UNION ALL SELECT 'postgresql', 'don_hang', CAST(ceil(count(*) / 500) AS BIGINT), count(*) FROM don_hang"""
     q["ingest_positions"] = "SELECT 2 * count(*) AS n, 2 * count(*) AS positions FROM events"
     q["ingest_counters"] = f"""SELECT 'csv' AS source, 'danh_gia' AS table_name, CAST(ceil(count(*) / 1000) AS BIGINT) AS processed_messages,
         count(*) AS total_records, CAST(0 AS BIGINT) AS rejected_messages FROM events
@@ -646,6 +650,19 @@ def build() -> dict[str, str]:
     q["validate_range"] = f"WITH {src('chi_tiet_don_hang')} SELECT _seq, {Findings(('so_luong_range', 'E003', 'so_luong NOT BETWEEN 1 AND 10000', 'false')).verdict()} FROM chi_tiet_don_hang"
     q["validate_custom_rule"] = f"WITH {src('san_pham')} SELECT _seq, {Findings(('odd_stock', 'E003', 'ton_kho % 2 = 1', 'true')).verdict()} FROM san_pham"
 
+    q["validate_python_rule"] = q["validate_custom_rule"]
+    q["domain_closest"] = """WITH words AS (
+            SELECT DISTINCT lower(string_split(line, ' ')[1]) AS word FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+        ), asked AS (
+            SELECT DISTINCT substr(w, 1, 1) || 'q' || substr(w, 3) AS text
+            FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM benchmark) WHERE length(w) > 2
+        ), near AS (
+            SELECT text, word, levenshtein(text, word) AS distance FROM asked
+            JOIN (SELECT word FROM words WHERE regexp_matches(word, '^[a-z]+$')) ON abs(length(text) - length(word)) <= floor(length(word) * 0.3::DOUBLE)
+        )
+        SELECT text, (SELECT arg_min(word, (distance, word)) FROM near n WHERE n.text = a.text AND distance <= floor(length(word) * 0.3::DOUBLE)) AS closest
+        FROM asked a"""
+    q["repair_python"] = f"WITH {customers} SELECT _seq, reverse(lower(trim(email, ' '))) AS email FROM khach_hang"
     q["repair_name"] = f"WITH {customers} SELECT _seq, {tidy_name('ho_ten')} AS ho_ten FROM khach_hang"
     q["repair_email"] = f"WITH {customers} SELECT _seq, {tidy_email('email')} AS email FROM khach_hang"
     q["repair_type"] = f"WITH {customers} SELECT _seq, {tidy_type('loai_khach_hang')} AS loai_khach_hang FROM khach_hang"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import catalog as C
-from millrace.operators import dedup, history, increment, keys, load, merge_state, quality, repair, repairs, rules, staging, validate
+from millrace.operators import dedup, domains, history, increment, keys, load, merge_state, opaque, quality, repair, repairs, rules, staging, validate
 from millrace.operators.validate import CAN_FIX, ERRORS, IS_VALID
 from millrace.plans.integration import Options, plan_quality, plan_star
 from millrace.session import scratch_path
@@ -17,6 +17,7 @@ from millrace.sources import pages as page_source
 from millrace.sources import tables as table_source
 from millrace.streaming import envelopes as envelope_stream
 from millrace.streaming import ingest as ingest_stream
+from millrace.streaming.progress import IngestProgress
 from verification import inputs as I
 
 AS_OF = I.AS_OF
@@ -259,6 +260,32 @@ def envelope_ingest(spark, sf_dir):
     return ratings.unionByName(orders)
 
 
+@query
+def ingest_once(spark, sf_dir):
+    """Ratings that land twice, the second time published anew and drained later: every one is staged once."""
+    root = scratch_path(spark, "ingest")
+    landing, area = f"{root}/landing", ingest_stream.StagingArea(f"{root}/staging")
+    ratings = _event_records(spark, sf_dir)
+    for part in ("first", "again"):
+        envelope_stream.write_envelopes(ratings, "danh_gia", C.CSV, f"{landing}/{C.CSV}/{part}", ["_seq"], 1000, drop=["_seq"])
+        ingest_stream.ingest(spark, landing, f"{root}/checkpoints", area, sources=[C.CSV], once="7 days")
+    staged = ingest_stream.read_staged(spark, area)["danh_gia"]
+    return staged.select("ma_danh_gia", "ma_khach_hang", "diem_danh_gia", "nhan_xet", "ngay_danh_gia")
+
+
+@query
+def ingest_progress(spark, sf_dir):
+    """Messages and records as the running streams tell them, over several batches each."""
+    root = scratch_path(spark, "ingest")
+    landing, area = f"{root}/landing", ingest_stream.StagingArea(f"{root}/staging")
+    ratings, orders = _event_records(spark, sf_dir), table(spark, sf_dir, "don_hang").drop("source")
+    envelope_stream.publish({"danh_gia": ratings}, C.CSV, landing, {"danh_gia": ["_seq"]}, 200, drop=["_seq"])
+    envelope_stream.publish({"don_hang": orders}, C.RELATIONAL, landing, {"don_hang": ["_seq"]}, 500, drop=["_seq"])
+    with IngestProgress(spark) as progress:
+        ingest_stream.ingest(spark, landing, f"{root}/checkpoints", area, max_files=2, progress=progress)
+    return progress.counters()
+
+
 @query
 def ingest_positions(spark, sf_dir):
     """Positions stay unique over a table that is published twice, and messages that are no chunks."""
@@ -646,9 +673,35 @@ def validate_custom_rule(spark, sf_dir):
     return judged(table(spark, sf_dir, "san_pham"), "_seq", registry=registry)
 
 
+@query
+def validate_python_rule(spark, sf_dir):
+    """The same rule as a plain Python function of the value."""
+    registry = rules.default_rules()
+    registry.remove("don_gia")
+    registry.add("ton_kho", opaque.python_rule("ton_kho", lambda v: v is not None and v % 2 == 1, "odd_stock", C.OUT_OF_RANGE, "odd", True))
+    return judged(table(spark, sf_dir, "san_pham"), "_seq", registry=registry)
+
+
+@query
+def domain_closest(spark, sf_dir):
+    """Words of the benchmark, one letter changed, against all words that begin a line of the documents."""
+    lines = I.read(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")).alias("line"))
+    words = lines.select(F.lower(F.element_at(F.split("line", " "), 1)).alias("word")).where(F.col("word").rlike("^[a-z]+$")).distinct()
+    asked = I.read(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("w")).where("length(w) > 2").distinct()
+    texts = asked.select(F.concat(F.substring("w", 1, 1), F.lit("q"), F.substring("w", 3, 100)).alias("text")).distinct()
+    return domains.add_closest(texts, "text", domains.DomainIndex(words, "word", "word"), "closest")
+
+
 # ---- repair -----------------------------------------------------------------------------------
 
 
+@query
+def repair_python(spark, sf_dir):
+    """A repair that is a plain Python function."""
+    tidy = opaque.python_repair(lambda v: None if v is None else v.strip(" ").lower()[::-1])
+    return table(spark, sf_dir, "khach_hang").select("_seq", tidy(F.col("email")).alias("email"))
+
+
 @query
 def repair_name(spark, sf_dir):
     df = table(spark, sf_dir, "khach_hang")
