@@ -387,3 +387,19 @@ def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 def digests(records: DataFrame) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: The same in SQL.
+SQL = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages
+), named AS (
+    SELECT page_id, strlen(payload) AS payload_bytes, max(page_id) OVER (PARTITION BY payload) AS response,
+        array_to_string(list_transform(range(4), lambda k: translate(lpad(to_base(('0x' || substr(digest, 10 * k + 1, 10))::BIGINT, 32), 8, '0'),
+            '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')), '') AS payload_digest
+    FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> response THEN response END AS refers_to
+FROM named
+"""

@@ -285,3 +285,32 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = digests(contamination(docs.select(key.alias("doc_id"), "text"), benchmark))
     gone = found.where("contaminated").select(F.col("doc_id").alias("key")).distinct()
     return docs.select(whole_row(docs), key.alias("key")).join(gone, "key", "left_anti").select("row.*")
+
+
+#: The same in SQL.
+SQL = r"""
+WITH words AS (
+    SELECT row_number() OVER () AS place, doc_id,
+        coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE text IS NOT NULL
+), windows AS (
+    SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[k : k + 12], ' ') AS gram
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 11, 2))) AS k FROM items WHERE len(w) > 0)
+), grams AS (
+    SELECT place, k, n, array_to_string(w[k : k + n - 1], ' ') AS gram
+    FROM (SELECT place, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM words, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+), hits AS (
+    SELECT DISTINCT place, k, n, item_id FROM grams JOIN windows USING (n, gram)
+), covered AS (
+    SELECT place, count(DISTINCT pos) AS n_hit FROM (SELECT place, unnest(range(k, k + n)) AS pos FROM hits) GROUP BY place
+), owners AS (
+    SELECT place, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT place, item_id::VARCHAR AS name FROM hits WHERE item_id IS NOT NULL) GROUP BY place
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN covered USING (place) LEFT JOIN owners USING (place)
+"""

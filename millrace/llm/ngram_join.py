@@ -576,3 +576,29 @@ def keep_one(docs: DataFrame) -> DataFrame:
     wordless = matched.where("wordless").select("row.*")
     # Any of several rows of one id and text: they may differ in their other columns only.
     return wordless.unionByName(matched.where("not wordless").dropDuplicates(["doc_id", "check"]).select("row.*"))
+
+
+#: The same in SQL.
+SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT row_number() OVER () AS place, doc_id,
+        coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT place, array_to_string(w[k : k + 4], ' ') AS shingle
+    FROM (SELECT place, w, unnest(range(1, greatest(len(w) - 3, 2))) AS k FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT place, count(*) AS n FROM shingles GROUP BY place
+), shared AS (
+    SELECT a.place AS a, b.place AS b, count(*) AS n FROM shingles a JOIN shingles b USING (shingle) WHERE a.place <> b.place GROUP BY ALL
+), links AS (
+    SELECT s.a, s.b FROM shared s JOIN sizes x ON x.place = s.a JOIN sizes y ON y.place = s.b WHERE 100 * s.n >= 75 * (x.n + y.n - s.n)
+), reached(a, b) AS (
+    SELECT place, place FROM words
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+)
+SELECT w.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM words w LEFT JOIN sizes USING (place) JOIN reached r ON r.a = w.place JOIN words o ON o.place = r.b
+GROUP BY w.place, w.doc_id
+"""

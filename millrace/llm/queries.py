@@ -79,4 +79,12 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_trie": op13_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_lines": lines.SQL, "op11_search": search.SQL, "op13_trie": tries.SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op3_ngram_join": ngram_join.SQL,
+    "op4_decontamination": decontam.SQL,
+    "op5_lines": lines.SQL,
+    "op6_warc": archives.SQL,
+    "op9_suffixes": suffixes.SQL,
+    "op11_search": search.SQL,
+    "op13_trie": tries.SQL,
+}

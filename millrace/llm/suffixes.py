@@ -12,7 +12,7 @@ anchors at equal places. The passes are
 
 Within a task equal contexts are put together before anything is shuffled, and so are equal windows (eight bytes at a
 time); of those only the earliest goes on, so that an anchor or window of very many documents is a few entries for
-each task. Across tasks windows are compared by 128-bit hashes.
+each task. Across tasks windows are compared by 96-bit hashes; texts of one id are told apart by 64-bit ones.
 """
 
 from __future__ import annotations
@@ -37,12 +37,12 @@ _STEP = 1 << 19
 #: Entries, and windows, that a task puts together at a time; contexts of an anchor that it sends on one by one.
 _ENTRIES, _WINDOWS, _SEVERAL = 1 << 19, 1 << 19, 8
 #: anchor, context, document, text's hash, start of its first window, number of windows, place of the anchor, state.
-_ENTRY = ["<u4", "<u8", "<i8", "<i4", "<u4", "u1", "u1", "u1"]
+_ENTRY = ["<u4", "<u8", "<i8", "<i8", "<u4", "u1", "u1", "u1"]
 #: An entry to be compared; the same, its anchor having further contexts; one that is repeated; one to look into.
 _PLAIN, _ONE_OF, _AGAIN, _OPEN = range(4)
-#: Both halves of a window's hash, document, text's hash, start, and how many windows are repeated, 0 if it is to be compared.
-_WINDOW = ["<u8", "<u8", "<i8", "<i4", "<u4", "<u4"]
-MARKS = "doc_id long, check int, start long, n int, anchor int, again boolean"
+#: Both parts of a window's hash, document, text's hash, start, and how many windows are repeated, 0 if it is to be compared.
+_WINDOW = ["<u8", "<u4", "<i8", "<i8", "<u4", "u1"]
+MARKS = "doc_id long, check long, start long, n int, anchor int, again boolean"
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -83,7 +83,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, block:
 
 def _marks(doc_id, check, start, n, anchor, again) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(x.astype(t)) for x, t in zip((doc_id, check, start, n, anchor, again), ("<i8", "<i4", "<i8", "<i4", "<i4", bool), strict=True)],
+        [pa.array(x.astype(t)) for x, t in zip((doc_id, check, start, n, anchor, again), ("<i8", "<i8", "<i8", "<i4", "<i4", bool), strict=True)],
         names=["doc_id", "check", "start", "n", "anchor", "again"],
     )
 
@@ -149,14 +149,14 @@ def equal_windows(data: np.ndarray, starts: np.ndarray, group: np.ndarray, lengt
 
 
 def _window_hashes(data: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of each window."""
+    """Two hashes of each window, of 64 bits and of 32."""
     words = np.zeros(max(len(data) - 7, 0), U64)
     for k in range(8):
         words |= data[k : len(data) - 7 + k].astype(U64) << U64(8 * (7 - k))
     out = np.zeros(len(starts), U64)
     for depth in [*range(0, length - 8, 8), length - 8]:
         out = mix(out * U64(0x9E3779B97F4A7C15) + words[starts + depth])
-    return run_hash(prefix_hash(data), starts, starts + length), out
+    return run_hash(prefix_hash(data), starts, starts + length), out >> U64(32)
 
 
 def _windows(doc_id, check, start, n, contexts: list[bytes]):
@@ -217,7 +217,7 @@ def find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
-    ).withColumn("check", F.hash("text"))
+    ).withColumn("check", F.xxhash64("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = part_bits(total * 2 / (LENGTH - BLOCK), FIRST_PART)
 
@@ -239,7 +239,7 @@ def find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         return pa.Table.from_batches([_settled(*gathered(table, _ENTRY))])
 
     marks = saved(rows.mapInArrow(first, SCATTERED).groupBy("part").applyInArrow(settle, MARKS), "anchors")
-    texts = rows.mapInArrow(_compressed, "doc_id long, check int, z binary")
+    texts = rows.mapInArrow(_compressed, "doc_id long, check long, z binary")
 
     open_ = marks.where("not again")
     last_bits = part_bits(open_.count(), LAST_PART)
@@ -267,7 +267,7 @@ def find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=1)
+    pack = zstandard.ZstdCompressor(level=5)
     for batch in steps(batches):
         z = [pack.compress(t) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("check"), pa.array(z, pa.binary())], names=["doc_id", "check", "z"])
@@ -346,3 +346,29 @@ def digests(rows: DataFrame) -> DataFrame:
 def deduplicated_digests(docs: DataFrame) -> DataFrame:
     """The same as ``digests(deduplicated(docs))``, by one worker of each task."""
     return _marked(docs).mapInArrow(lambda batches: _digest(_finish(batches)), _DIGESTS)
+
+
+#: The same in SQL.
+SQL = """
+WITH texts AS (
+    SELECT row_number() OVER () AS place, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), sized AS (
+    SELECT *, length(h) // 2 AS n FROM texts
+), starts AS (
+    SELECT place, doc_id, pos, substr(h, 2 * pos + 1, 200) AS bytes FROM (SELECT *, unnest(range(n - 99)) AS pos FROM sized WHERE n >= 100)
+), again AS (
+    SELECT place, pos FROM starts QUALIFY row_number() OVER (PARTITION BY bytes ORDER BY doc_id, pos) > 1
+), runs AS (
+    SELECT place, min(pos) AS a, max(pos) + 100 AS b FROM (
+        SELECT place, pos, sum(CASE WHEN pos - before <= 100 THEN 0 ELSE 1 END) OVER (PARTITION BY place ORDER BY pos) AS run
+        FROM (SELECT place, pos, lag(pos) OVER (PARTITION BY place ORDER BY pos) AS before FROM again)
+    ) GROUP BY place, run
+), gone AS (
+    SELECT place, list([a, b] ORDER BY a) AS spans, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY place
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(CASE WHEN spans IS NULL THEN h ELSE array_to_string(list_transform(range(len(spans) + 1), lambda k: substr(h,
+        CASE WHEN k = 0 THEN 1 ELSE 2 * spans[k][2] + 1 END,
+        CASE WHEN k = len(spans) THEN length(h) ELSE 2 * (spans[k + 1][1] - CASE WHEN k = 0 THEN 0 ELSE spans[k][2] END) END)), '') END)) AS kept_sha256
+FROM sized LEFT JOIN gone USING (place)
+"""

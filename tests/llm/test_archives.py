@@ -8,6 +8,7 @@ import zipfile
 
 import pytest
 
+from compare import connect, rows_of_spark, rows_of_sql
 from millrace.llm import archives, queries
 
 
@@ -88,3 +89,8 @@ def test_tables(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").collect()]
     assert got(queries.op6_warc(spark, sf)) == expected(rows)
+
+
+def test_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    assert rows_of_spark(queries.op6_warc(spark, sf)) == rows_of_sql(connect(sf), queries.ORACLE_SQL["op6_warc"])

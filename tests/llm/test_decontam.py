@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from compare import connect, rows_of_spark, rows_of_sql
 from millrace.llm import decontam, queries
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -93,3 +94,8 @@ def test_phrase_and_proximity(spark):
     assert sorted(tuple(r) for r in exact.where("phrase = 'p'").collect()) == [(1, "p", 0, 2), (1, "p", 3, 5), (2, "p", 3, 5)]
     near = decontam.phrase_matches(index, {"p": "cat dog"}, near=3)
     assert sorted(tuple(r) for r in near.collect()) == [(2, "p", 0, 3), (2, "p", 2, 5)]
+
+
+def test_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    assert rows_of_spark(queries.op4_decontamination(spark, sf)) == rows_of_sql(connect(sf), queries.ORACLE_SQL["op4_decontamination"])

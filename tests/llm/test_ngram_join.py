@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from compare import connect, rows_of_spark, rows_of_sql
 from millrace.llm import graphs, queries
 from millrace.llm import ngram_join as J
 
@@ -194,3 +195,8 @@ def test_groups_of_many_documents(spark, monkeypatch):
     rows += [(2000 + k, passage + " " + " ".join(f"o{rng.randrange(10**6)}" for _ in range(rng.choice([8, 11, 14, 30])))) for k in range(100)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     assert got(J.join(docs)) == brute(rows)
+
+
+def test_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    assert rows_of_spark(queries.op3_ngram_join(spark, sf)) == rows_of_sql(connect(sf), queries.ORACLE_SQL["op3_ngram_join"])

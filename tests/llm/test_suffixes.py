@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from compare import connect, rows_of_spark, rows_of_sql
 from millrace.llm import queries, suffixes
 
 
@@ -111,3 +112,23 @@ def test_repeated_row_keeps_what_stands_first(spark, parts):
     rows = [(1, p + q), (2, x + p + y), (2, x + p + y), (3, y + p[:120] + x)]
     docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, parts), "doc_id long, text string")
     assert got(suffixes.digests(suffixes.deduplicated(docs))) == brute(rows)
+
+
+def test_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    assert rows_of_spark(queries.op9_suffixes(spark, sf)) == rows_of_sql(connect(sf), queries.ORACLE_SQL["op9_suffixes"])
+
+
+def test_texts_of_one_id_with_equal_short_hashes(spark):
+    """What only one of two texts repeats stays in the other, also where a 32-bit hash cannot tell them apart."""
+    passage = "".join(f"{k:x} of it, " for k in range(40))
+    own = F.concat(*[F.md5(F.concat(F.lit(salt), "id")) for salt in "abcde"], F.lit(" "), "id")
+    other = F.concat(F.lit(passage), "id")
+    texts = spark.range(200_000).select(F.when(F.col("id") % 2 == 0, own).otherwise(other).alias("text"))
+    same = texts.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("texts")).where("size(texts) = 2").collect()
+    pairs = [r["texts"] for r in same if sum(t.startswith(passage) for t in r["texts"]) == 1]
+    assert pairs
+    rows = [(1, passage), *[(None, t) for t in pairs[0]], *[(7, t) for t in pairs[-1]]]
+    found = sorted((str(r["doc_id"]), bytes(r["text"]).decode().startswith(passage), list(r["starts"])) for r in suffixes.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect())
+    assert [(d, p, bool(s)) for d, p, s in found if d == "7"] == [("7", False, False), ("7", True, True)]
+    assert not any(s for d, p, s in found if d == "None")
