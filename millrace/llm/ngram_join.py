@@ -7,8 +7,8 @@ their size and for the band below, in which a smaller partner can lie. How a ban
 
 * ``segments``: subsets of the segments, empty ones left out, with spare segments in place of those;
 * ``deletions``: where one difference is allowed, the whole set and every set with one member left out;
-* ``tokens``: the first quarter of the shingles in the order of their hashes. It also covers what segments cannot:
-  documents with more empty segments than there are spare ones.
+* ``tokens``: the first quarter of the shingles, rare ones before those that many documents share. It also covers
+  what segments cannot: documents with more empty segments than there are spare ones.
 
 Documents with a signature in common are candidates. Candidates need not be paired with each other: first each one
 is compared with the smallest of its signature's documents. Where that leaves several components, small parity
@@ -53,7 +53,9 @@ CELL_ROWS = 20_000
 #: Bytes of compressed texts that one task settles.
 CELL_BYTES = 8 << 20
 #: Classes of a sketch for each member, of one that is made within a task only, and at most in all.
-_CLASSES, _FINE, _WIDEST = 1, 4, 1 << 17
+_CLASSES, _FINE, _WIDEST = 4, 4, 1 << 17
+#: Shingles are counted in so many classes of their hashes, to tell rare ones from common ones.
+COUNTED = 1 << 20
 
 
 def similar(both: int, a: int, b: int) -> bool:
@@ -100,8 +102,12 @@ def bands_of(n: int) -> tuple[int, ...]:
     return (k, k - 1) if k and 100 * band(k - 1)[1] >= PERCENT * n else (k,)
 
 
-def signatures(members: np.ndarray) -> np.ndarray:
-    """64-bit signatures of a set of hashes (sorted): similar sets have one in common."""
+def signatures(members: np.ndarray, common: np.ndarray | None = None) -> np.ndarray:
+    """64-bit signatures of a set of hashes (sorted): similar sets have one in common.
+
+    ``common`` says how common the shingles of each class of hashes are; where a prefix is taken, rare ones come
+    first. Any such table gives a right answer, as long as all sets are signed by the same.
+    """
     n, out = len(members), []
     for k in bands_of(n):
         low, high, kind, m, spare = band(k)
@@ -123,11 +129,40 @@ def signatures(members: np.ndarray) -> np.ndarray:
             tokens = used - len(chosen) > spare
         if tokens:
             # Of n members at least PERCENT are shared, so one of the first few in any common order is.
-            first = members[: n - -(-PERCENT * n // 100) + 1]
+            size = n - -(-PERCENT * n // 100) + 1
+            first = members[:size]
+            if common is not None:
+                first = members[np.lexsort((members, common[_classes(members)]))[:size]]
             out.append(mix(first ^ (salt * U64(3))))
     return np.unique(np.concatenate(out)) if out else np.zeros(0, U64)
 
 
+def _classes(members: np.ndarray) -> np.ndarray:
+    return (members & U64(COUNTED - 1)).astype(np.int64)
+
+
+def how_common(rows: DataFrame) -> np.ndarray:
+    """For each class of shingles, in how many documents it occurs, as a power of two.
+
+    Every task counts all its documents into one array; what is summed and sent is a number for each class.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTED, np.int64)
+        for batch in steps(batches, limit=_STEP):
+            sets = shingle_sets(*byte_array(batch.column("text")))
+            counts += np.bincount(_classes(np.concatenate(sets)), minlength=COUNTED)
+        filled = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), pa.array(counts[filled])], names=["place", "n"])
+
+    summed = rows.select("text").mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    # A number of at most 63 for each class: a megabyte at any size of the corpus.
+    powers = summed.select("place", F.floor(F.log2("n")).cast("int").alias("power")).toArrow()
+    out = np.zeros(COUNTED, np.uint8)
+    out[powers.column("place").to_numpy()] = powers.column("power").to_numpy()
+    return out
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """The sorted hashes of each text's distinct shingles."""
     data = lower_ascii(data)
@@ -191,7 +226,9 @@ def _batch(schema: str, count: int, /, **columns) -> pa.RecordBatch:
     )
 
 
-def _sign(bits: int):
+def _sign(bits: int, common=None):
+    """``common`` is a broadcast of :func:`how_common`, if there is one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flush = TaskContext.get().partitionId() << 24
         out, known, rows = Scatter(bits, ["<u4", "<u2"], 1 << 62), {}, []
@@ -220,7 +257,7 @@ def _sign(bits: int):
                 local = known.setdefault(digest, len(known))
                 rows.append((flush << 16 | local, doc_id, check, len(members), digest, sketch(members) if fresh else None))
                 if fresh:
-                    signed = signatures(members)
+                    signed = signatures(members, common.value if common is not None else None)
                     list(out.add(signed, signed & U64(0xFFFFFFFF), np.full(len(signed), local)))
         yield from close()
 
@@ -494,7 +531,8 @@ def _grouped(docs: DataFrame) -> DataFrame:
     # About one signature for two words of six bytes.
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = part_bits(total / 10, PART)
-    found = saved(rows.mapInArrow(_sign(bits), _PASS).groupBy("part").applyInArrow(_look_through, _FOUND), "signatures")
+    common = docs.sparkSession.sparkContext.broadcast(how_common(rows))
+    found = saved(rows.mapInArrow(_sign(bits, common), _PASS).groupBy("part").applyInArrow(_look_through, _FOUND), "signatures")
     members = found.where(F.col("kind") == _MEMBER)
     # Equal sets of different runs become one node.
     nodes = saved(

@@ -76,6 +76,7 @@ def test_against_all_pairs(spark, seed, monkeypatch):
 
 def test_signatures_of_similar_sets_meet():
     rng = np.random.default_rng(1)
+    common = rng.integers(0, 5, J.COUNTED).astype(np.uint8)
     tried = 0
     while tried < 400:
         n = max(1, int(rng.choice([1, 2, 3, 4, 5, 7, 10, 13, 20, 36, 50, 80, 150, 300, 700])) + int(rng.integers(-1, 2)))
@@ -86,6 +87,7 @@ def test_signatures_of_similar_sets_meet():
         if J.similar(both, len(a), len(b)):
             tried += 1
             assert len(np.intersect1d(J.signatures(a), J.signatures(b)))
+            assert len(np.intersect1d(J.signatures(a, common), J.signatures(b, common)))
             x, y = (np.frombuffer(J.sketch(s), np.uint8)[None] for s in (a, b))
             width = min(x.shape[1], y.shape[1])
             distance = J._distance(J._folded(x, width), J._folded(y, width))
