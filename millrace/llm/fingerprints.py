@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BASE, U64, mix, powers, saved
+from millrace.llm.common import BASE, U64, mix, powers, saved, small_batches
 
 K = 6
 BUCKETS = 64
@@ -149,10 +149,15 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
 
     The texts are sorted across tasks once. Only the first and last row of each ordered part meet another part.
     """
+    small_batches(docs.sparkSession)
+    # By place too: copies of one row may be cut into any number of ranges, and their order does not matter.
+    order = ["doc_id", F.xxhash64("text"), "place"]
     ordered = (
         docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-        .repartitionByRange("doc_id", F.xxhash64("text"))
-        .sortWithinPartitions("doc_id", F.xxhash64("text"))
+        .withColumn("place", F.monotonically_increasing_id())
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .drop("place")
     )
     schema = pa.schema([("kind", pa.int32()), ("part", pa.int32()), *_RESULT_FIELDS, ("text", pa.string())])
 

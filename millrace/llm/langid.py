@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import U64, byte_array, held_out, mix, steps
+from millrace.llm.common import U64, byte_array, held_out, mix, small_batches, steps
 
 UNKNOWN = "und"
 #: Documents of each language that training reads (expected, by a hash of the id).
@@ -137,6 +137,7 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     The score is the answer's share of the corrected counts of all languages. Ties go to the language whose name
     comes first. Repeated rows are judged each for itself; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,8 +1,9 @@
 """Packing of tokenised documents: every document is cut into pieces of binary lengths.
 
 The length of a document is written in powers of two, the largest allowed as often as it fits; each piece is a
-sequence of its own, so none crosses documents and none is padded. Pieces of one length form a bucket, from which
-batches are drawn. No row meets another: there is nothing to shuffle.
+sequence of its own, so none crosses documents and none is padded. No row meets another: there is nothing to shuffle.
+Pieces of one length form a bucket, a folder of its own once they are written, and batches are drawn from one bucket
+at a time, so that every batch is a full rectangle.
 """
 
 from __future__ import annotations
@@ -14,10 +15,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import steps
+from millrace.llm.common import small_batches, steps
+from millrace.sources.tables import number_rows
 
 MAX_LENGTH = 2048
 #: Appended to every document.
@@ -106,6 +108,7 @@ def pack(
     """
     if max_length & (max_length - 1) or max_length < 1:
         raise ValueError("max_length must be a power of two")
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(json_name, ranks_name)
@@ -134,6 +137,22 @@ def pack(
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)
 
 
+def write_buckets(pieces: DataFrame, path: str) -> None:
+    """Write pieces as a table with a folder for each length. Every task writes what it has; nothing is shuffled."""
+    pieces.write.partitionBy("length").parquet(path)
+
+
+def batches(spark: SparkSession, path: str, length: int, size: int, seed: int = 0) -> DataFrame:
+    """The bucket of one length in batches: its pieces with ``batch`` and ``place``, from 0.
+
+    Only that bucket's folder is read. Its pieces are put into an order that the seed decides and cut into batches of
+    ``size`` rows; the last may be shorter. A length without pieces gives no rows.
+    """
+    bucket = spark.read.schema(PIECES).parquet(path).where(F.col("length") == length)
+    drawn = number_rows(bucket.withColumn("_draw", F.xxhash64("sequence_id", F.lit(seed))), ["_draw", "sequence_id"], "_row").drop("_draw")
+    return drawn.select(F.floor(F.col("_row") / size).alias("batch"), (F.col("_row") % size).alias("place"), *[c.split(" ")[0] for c in PIECES.split(", ")])
+
+
 def digests(pieces: DataFrame) -> DataFrame:
     """Pieces with the checksum of their ids instead of the ids."""
 

@@ -2,9 +2,10 @@
 
 A window is a run of several words, as they stand in the text, and windows overlap. Each is compressed by zstandard
 twice: with a dictionary of ordinary text, and with the same text behind what zstandard's trainer takes from windows
-that are telling of toxic text. The bytes that the second saves are the evidence: ordinary passages take as many bytes either way, since
-both dictionaries hold the same ordinary text, and only what is typical of toxic text and not of ordinary text
-becomes shorter.
+that are telling of toxic text. The bytes that the second saves are the evidence: ordinary passages take as many bytes
+either way, since both dictionaries hold the same ordinary text, and only what is typical of toxic text and not of
+ordinary text becomes shorter. The toxic part stands first, and the search for matches reaches so far back only where
+the ordinary text has nothing that begins alike; that is what keeps chance matches out.
 
 Training reads a bounded sample of labelled rows. Two thirds of it make the dictionaries. On the other third savings
 are calibrated: by classes of window length, how rare a saving is among ordinary windows, and from that a probability
@@ -38,6 +39,8 @@ WORDS, STRIDE = 6, 3
 #: A longer run without blanks is cut, between characters, into words of about this many bytes.
 LONGEST = 24
 ORDINARY_BYTES = 400 << 10
+#: Ordinary documents that are added to what any stretch of evidence shows before its probability is taken.
+DOUBT = 5
 #: Bytes and segments of the first dictionary of toxic text and of the final one; windows that the trainer reads.
 FIRST, FINAL, TRAINED_WINDOWS = (32 << 10, 64), (2 << 10, 64), 40_000
 #: A saving that at most one of this many ordinary windows shows makes a window telling.
@@ -212,11 +215,12 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
         while len(pools) > 1 and (pools[-2][1] == pools[-1][0] or pools[-2][2] * pools[-1][3] >= pools[-1][2] * pools[-2][3]):
             _, last, a, b = pools.pop()
             pools[-1][1], pools[-1][2], pools[-1][3] = last, pools[-1][2] + a, pools[-1][3] + b
-    at, values = [], []
+    at, values, unit = [], [], 1 / (n1 + n0)
     for first, last, a, b in pools:
         for x in {first, last}:
             at.append(x)
-            values.append(a / b)
+            # A few documents are no proof: each pool counts as if so many more ordinary ones were in it.
+            values.append(a / (b + DOUBT * unit))
     order = np.argsort(at, kind="stable")
     model.steps = ([at[k] for k in order], sorted(values))
     return model

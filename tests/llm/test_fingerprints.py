@@ -92,3 +92,12 @@ def test_tables(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert got(queries.op7_fingerprints(spark, sf)) == expected(rows)
+
+
+def test_many_copies_of_one_row(spark):
+    """Copies of one row spread over several ranges and give the same result each."""
+    rows = [(5, "the same text of a row")] * 3000 + [(6, "another text")]
+    found = fp.compare_with_next(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    same = [r for r in found if r["doc_id"] == 5]
+    assert len(same) == 3000 and len({r["fingerprint"] for r in same}) == 1 and len({r["edited_sha256"] for r in same}) <= 2
+    assert sum(r["near_next"] == 1.0 for r in same) == 2999

@@ -57,3 +57,28 @@ def test_tables(spark):
         ends[r["doc_id"]] += r["length"]
         assert r["ids_crc32"] == zlib.crc32(ids[r["doc_id"]][r["start"] : ends[r["doc_id"]]].tobytes())
     assert ends == {k: len(v) for k, v in ids.items()}
+
+
+def test_buckets_and_batches(spark, tmp_path):
+    """Every piece is in one bucket; batches are full, of one length, and together the whole bucket."""
+    docs = spark.createDataFrame([(k, "word " * (k * 7 % 300)) for k in range(120)], "doc_id long, text string").repartition(3)
+    pieces = packing.pack(docs, max_length=64)
+    path = str(tmp_path / "buckets")
+    packing.write_buckets(pieces, path)
+    rows = spark.read.schema(packing.PIECES).parquet(path)
+    assert sorted(map(str, rows.collect())) == sorted(map(str, pieces.select(*rows.columns).collect()))
+    for length in (64, 8, 1):
+        wanted = {(r["doc_id"], r["start"]) for r in rows.where(f"length = {length}").collect()}
+        drawn = packing.batches(spark, path, length, 10, seed=3)
+        found = drawn.collect()
+        assert {(r["doc_id"], r["start"]) for r in found} == wanted and len(found) == len(wanted)
+        assert all(len(r["ids"]) == length == r["length"] for r in found)
+        sizes = {}
+        for r in found:
+            sizes.setdefault(r["batch"], set()).add(r["place"])
+        assert all(sizes[b] == set(range(10)) for b in range(len(sizes) - 1)) and len(sizes) == -(-len(wanted) // 10)
+    again = [(r["batch"], r["place"], r["doc_id"], r["start"]) for r in packing.batches(spark, path, 64, 10, seed=3).collect()]
+    other = [(r["batch"], r["place"], r["doc_id"], r["start"]) for r in packing.batches(spark, path, 64, 10, seed=4).collect()]
+    first = [(r["batch"], r["place"], r["doc_id"], r["start"]) for r in packing.batches(spark, path, 64, 10, seed=3).collect()]
+    assert sorted(again) == sorted(first) != sorted(other)
+    assert packing.batches(spark, path, 32768, 10).count() == 0
