@@ -5,7 +5,8 @@ universe of shingles is cut into segments by a hash, more of them than there can
 principle similar sets agree in the subset of some segment. Documents are signed by those subsets, for the band of
 their size and for the band below, in which a smaller partner can lie. How a band is signed is a matter of cost:
 
-* ``segments``: subsets of the segments, empty ones left out, with spare segments in place of those;
+* ``segments``: subsets of the segments, with spare segments in place of those that are empty or hold only shingles
+  that very many documents share;
 * ``deletions``: where one difference is allowed, the whole set and every set with one member left out;
 * ``tokens``: the first quarter of the shingles, rare ones before those that many documents share. It also covers
   what segments cannot: documents with more empty segments than there are spare ones.
@@ -54,8 +55,9 @@ CELL_ROWS = 20_000
 CELL_BYTES = 8 << 20
 #: Classes of a sketch for each member, of one that is made within a task only, and at most in all.
 _CLASSES, _FINE, _WIDEST = 4, 4, 1 << 17
-#: Shingles are counted in so many classes of their hashes, to tell rare ones from common ones.
-COUNTED = 1 << 20
+#: Shingles are counted in so many classes of their hashes, to tell rare ones from common ones; a class is hot with
+#: so many times the mean, and a few documents more.
+COUNTED, HOT, FEW = 1 << 20, 4, 64
 
 
 def similar(both: int, a: int, b: int) -> bool:
@@ -105,8 +107,9 @@ def bands_of(n: int) -> tuple[int, ...]:
 def signatures(members: np.ndarray, common: np.ndarray | None = None) -> np.ndarray:
     """64-bit signatures of a set of hashes (sorted): similar sets have one in common.
 
-    ``common`` says how common the shingles of each class of hashes are; where a prefix is taken, rare ones come
-    first. Any such table gives a right answer, as long as all sets are signed by the same.
+    ``common`` says how common the shingles of each class of hashes are, as powers of two above what is hot: where a
+    prefix is taken, rare ones come first, and subsets of hot ones alone are like empty ones. Any such table gives a
+    right answer, as long as all sets are signed by the same.
     """
     n, out = len(members), []
     for k in bands_of(n):
@@ -121,7 +124,7 @@ def signatures(members: np.ndarray, common: np.ndarray | None = None) -> np.ndar
             sums = np.zeros(m, U64)
             np.add.at(sums, segment, mix(members + salt))
             filled = np.zeros(m, bool)
-            filled[segment] = True
+            filled[segment if common is None else segment[common[_classes(members)] == 0]] = True
             # A smaller set needs fewer segments: as many as it can have differences, and the spare ones.
             used = differences(min(n, high)) + 1 + spare
             chosen = np.flatnonzero(filled[:used])
@@ -142,7 +145,7 @@ def _classes(members: np.ndarray) -> np.ndarray:
 
 
 def how_common(rows: DataFrame) -> np.ndarray:
-    """For each class of shingles, in how many documents it occurs, as a power of two.
+    """For each class of shingles: 0 if it is not hot, else how many documents it occurs in, as a power of two.
 
     Every task counts all its documents into one array; what is summed and sent is a number for each class.
     """
@@ -155,9 +158,11 @@ def how_common(rows: DataFrame) -> np.ndarray:
         filled = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), pa.array(counts[filled])], names=["place", "n"])
 
-    summed = rows.select("text").mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    summed = saved(rows.select("text").mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")), "counted")
     # A number of at most 63 for each class: a megabyte at any size of the corpus.
-    powers = summed.select("place", F.floor(F.log2("n")).cast("int").alias("power")).toArrow()
+    mean = summed.agg(F.sum("n")).first()[0] or 0
+    hot = summed.where(F.col("n") >= HOT * mean / COUNTED + FEW)
+    powers = hot.select("place", F.floor(F.log2("n")).cast("int").alias("power")).toArrow()
     out = np.zeros(COUNTED, np.uint8)
     out[powers.column("place").to_numpy()] = powers.column("power").to_numpy()
     return out

@@ -76,7 +76,7 @@ def test_against_all_pairs(spark, seed, monkeypatch):
 
 def test_signatures_of_similar_sets_meet():
     rng = np.random.default_rng(1)
-    common = rng.integers(0, 5, J.COUNTED).astype(np.uint8)
+    common = (rng.integers(0, 5, J.COUNTED) * (rng.random(J.COUNTED) < 0.5)).astype(np.uint8)
     tried = 0
     while tried < 400:
         n = max(1, int(rng.choice([1, 2, 3, 4, 5, 7, 10, 13, 20, 36, 50, 80, 150, 300, 700])) + int(rng.integers(-1, 2)))
@@ -184,6 +184,7 @@ def test_groups_of_many_documents(spark, monkeypatch):
     monkeypatch.setattr(J, "BLOCK", 32)
     monkeypatch.setattr(J, "HUB_BLOCK", 16)
     monkeypatch.setattr(J, "CELL_ROWS", 100)
+    monkeypatch.setattr(J, "FEW", 8)
     rng = random.Random(9)
     base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
     rows = []
