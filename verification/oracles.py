@@ -477,6 +477,7 @@ def build() -> dict[str, str]:
     q["extract_counts"] = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in I.TABLES)
     q["source_presence"] = q["extract_counts"]
     q["scan_filter"] = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 100000"
+    q["scan_splits"] = "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem"
     q["scan_page"] = "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 1000 OFFSET 700"
     q["scan_page_deep"] = """SELECT l_orderkey, l_linenumber, l_extendedprice,
         row_number() OVER (ORDER BY l_extendedprice, l_orderkey, l_linenumber, l_partkey, l_shipdate) - 1 AS row_number FROM lineitem"""

@@ -14,6 +14,7 @@ from millrace.plans.integration import Options, plan_quality, plan_star
 from millrace.session import scratch_path
 from millrace.sources import csv as csv_source
 from millrace.sources import pages as page_source
+from millrace.sources import splits as split_source
 from millrace.sources import tables as table_source
 from millrace.streaming import envelopes as envelope_stream
 from millrace.streaming import ingest as ingest_stream
@@ -68,6 +69,16 @@ def extract_counts(spark, sf_dir):
     return table_source.extract_report(table_source.read_tables(spark, source, I.TABLES))
 
 
+@query
+def scan_splits(spark, sf_dir):
+    """A table read part by part, with bounds of a key that a few values dominate."""
+    source = table_source.Relational("parquet", sf_dir)
+    df = table_source.read_table(spark, source, "lineitem").select("l_orderkey", "l_quantity", "l_shipdate")
+    parts = split_source.split_predicates(df, "l_quantity", 12, spread="l_orderkey")
+    read = [table_source.read_table(spark, source, "lineitem", part).select("l_orderkey", "l_partkey", "l_quantity") for part in parts]
+    return quality.run_report(read)
+
+
 @query
 def scan_filter(spark, sf_dir):
     source = table_source.Relational("parquet", sf_dir)
