@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from millrace import catalog as C
 from millrace.operators.staging import (
@@ -28,11 +28,12 @@ from millrace.operators.staging import (
 )
 from millrace.session import hadoop_path
 from millrace.streaming.envelopes import ENVELOPE_SCHEMA
-from millrace.streaming.progress import IngestProgress
+from millrace.streaming.progress import UNKNOWN, IngestProgress
 
-# What one batch reads at most; it is persisted while its three outputs are written.
+# What one batch reads at most; its text is persisted while its three outputs are written.
 MAX_BYTES = 8 << 30
 REASON = "reason"
+MESSAGE = "__message"
 FITS = "fits"
 
 
@@ -57,7 +58,8 @@ class StagingArea:
 
 def parse_envelopes(lines: DataFrame, catalog: C.Catalog = C.DEFAULT_CATALOG) -> DataFrame:
     """Envelope fields of every line, and in ``reason`` what is wrong with it, if anything."""
-    parsed = lines.select("value", F.from_json("value", ENVELOPE_SCHEMA).alias("e")).select("value", "e.*")
+    kept = [c for c in lines.columns if c not in ENVELOPE_SCHEMA.names]
+    parsed = lines.select(*kept, F.from_json("value", ENVELOPE_SCHEMA).alias("e")).select(*kept, "e.*")
     tables = [t.name for t in catalog]
     records = F.col("records")
     reason = (
@@ -70,24 +72,34 @@ def parse_envelopes(lines: DataFrame, catalog: C.Catalog = C.DEFAULT_CATALOG) ->
     return parsed.withColumn(REASON, reason)
 
 
-def number_messages(envelopes: DataFrame) -> DataFrame:
-    """Add ``message``: consecutive numbers of the sound envelopes of a table, in the order of their chunks.
+def describe_messages(lines: DataFrame, catalog: C.Catalog = C.DEFAULT_CATALOG) -> DataFrame:
+    """What is known of every message but its records; the text is kept of those that are not sound."""
+    parsed = parse_envelopes(lines, catalog)
+    return parsed.select(
+        MESSAGE, "source", "table", "batch", "recordCount", REASON,
+        F.size("records").alias("n_records"),
+        F.xxhash64("value").alias("__hash"),
+        F.when(F.col(REASON).isNotNull(), F.col("value")).alias("value"),
+    )
+
+
+def number_messages(described: DataFrame) -> DataFrame:
+    """``message``: consecutive numbers of the sound envelopes of a table, in the order of their chunks.
 
     Chunks of one number, as of two publishes or of messages that are no chunks, follow a hash of their text.
     Only numbers and hashes are sorted, for each table on its own.
     """
-    keyed = envelopes.withColumn("__message", F.monotonically_increasing_id())
-    order = Window.partitionBy("source", "table").orderBy(F.coalesce("batch", F.lit(1)), "__hash", "__message")
-    narrow = keyed.where(F.col(REASON).isNull()).select("source", "table", "batch", "__message", F.xxhash64("value").alias("__hash"))
-    numbers = narrow.select("__message", (F.row_number().over(order) - 1).alias("message"))
-    return keyed.join(numbers, "__message", "left").drop("__message")
+    order = Window.partitionBy("source", "table").orderBy(F.coalesce("batch", F.lit(1)), "__hash", MESSAGE)
+    return described.where(F.col(REASON).isNull()).select(MESSAGE, (F.row_number().over(order) - 1).alias("message"))
 
 
-def explode_records(envelopes: DataFrame) -> DataFrame:
-    """One row per record of sound, numbered envelopes, with the place of the record in its message."""
-    return envelopes.where(F.col(REASON).isNull()).select(
-        "source", "table", "message", F.posexplode("records").alias("place", "record")
-    )
+def explode_records(lines: DataFrame, numbers: DataFrame, catalog: C.Catalog = C.DEFAULT_CATALOG) -> DataFrame:
+    """One row per record of the numbered lines, with the place of the record in its message.
+
+    Text meets the numbers, which is narrower than parsed records; it is parsed behind the join.
+    """
+    envelopes = parse_envelopes(lines.join(numbers, MESSAGE), catalog)
+    return envelopes.select("source", "table", "message", F.posexplode("records").alias("place", "record"))
 
 
 def typed_rows(records: DataFrame, catalog: C.Catalog, ranks: dict[str, int], batch_id: int = 0) -> DataFrame:
@@ -125,45 +137,62 @@ def typed_rows(records: DataFrame, catalog: C.Catalog, ranks: dict[str, int], ba
     )
 
 
-def _counters(envelopes: DataFrame) -> DataFrame:
-    return envelopes.groupBy(
+def _counters(described: DataFrame) -> DataFrame:
+    return described.groupBy(
         F.coalesce("source", F.lit("unknown")).alias("source"),
         F.coalesce("table", F.lit("unknown")).alias("table_name"),
     ).agg(
         F.count_if(F.col(REASON).isNull()).alias("processed_messages"),
-        F.coalesce(F.sum(F.when(F.col(REASON).isNull(), F.size("records"))), F.lit(0)).cast("bigint").alias("total_records"),
+        F.coalesce(F.sum(F.when(F.col(REASON).isNull(), F.col("n_records"))), F.lit(0)).cast("bigint").alias("total_records"),
         F.count_if(F.col(REASON).isNotNull()).alias("rejected_messages"),
     )
 
 
+def _tally(described: DataFrame, catalog: C.Catalog) -> list[tuple[str, int, int]]:
+    """(table, messages, records as they say) of a batch: one row per table of the catalogue at most, and one for others."""
+    table = F.when(F.col("table").isin(*[t.name for t in catalog]), F.col("table")).otherwise(UNKNOWN)
+    counts = described.groupBy(table.alias("name")).agg(F.count(F.lit(1)), F.coalesce(F.sum("recordCount"), F.lit(0)))
+    return [tuple(r) for r in counts.collect()]
+
+
 def stage_batch(
     area: StagingArea,
     catalog: C.Catalog = C.DEFAULT_CATALOG,
     ranks: dict[str, int] | None = None,
     stream: str = "s",
     first_batch: int = 0,
+    finished: Callable[[str, list[tuple[str, int, int]]], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The function that writes one micro-batch; the folder of the batch is replaced as a whole.
 
-    ``first_batch`` is added to the number of the batch in arrival positions.
+    ``first_batch`` is added to the number of the batch in arrival positions. ``finished`` is told the folder of a
+    batch that has been written, with the messages and records of each table.
     """
     order = dict(C.SOURCE_RANKS if ranks is None else ranks)
 
     def write(lines: DataFrame, batch_id: int) -> None:
         folder = f"ingest={stream}-{batch_id}"
-        envelopes = parse_envelopes(lines, catalog).persist()
+        # Text and one narrow row per message are held, but no parsed records, which are several times as wide.
+        held = lines.select("value", F.monotonically_increasing_id().alias(MESSAGE)).persist()
+        described = describe_messages(held, catalog).persist()
         try:
-            typed_rows(explode_records(number_messages(envelopes)), catalog, order, first_batch + batch_id).withColumn(
+            # The first pass fills both, before branches of one plan ask for them side by side.
+            tally = _tally(described, catalog)
+            records = explode_records(held, number_messages(described), catalog)
+            typed_rows(records, catalog, order, first_batch + batch_id).withColumn(
                 FITS, F.size(UNCASTABLE) == 0
             ).write.mode("overwrite").partitionBy(FITS, "table_name", C.SOURCE_COLUMN).parquet(
                 f"{area.rows}/{folder}"
             )
-            envelopes.where(F.col(REASON).isNotNull()).select("value", REASON).write.mode("overwrite").parquet(
+            described.where(F.col(REASON).isNotNull()).select("value", REASON).write.mode("overwrite").parquet(
                 f"{area.dead_letters}/{folder}"
             )
-            _counters(envelopes).write.mode("overwrite").parquet(f"{area.counters}/{folder}")
+            _counters(described).write.mode("overwrite").parquet(f"{area.counters}/{folder}")
         finally:
-            envelopes.unpersist()
+            described.unpersist()
+            held.unpersist()
+        if finished is not None:
+            finished(f"{area.root}/{folder}", tally)
 
     return write
 
@@ -199,7 +228,7 @@ def once_within(lines: DataFrame, delay: str) -> DataFrame:
     return fresh.select("value")
 
 
-def _drain(stream: DataFrame, function: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+def _drain(stream: DataFrame, function: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     query = (
         stream.writeStream.foreachBatch(function)
         .option("checkpointLocation", checkpoint)
@@ -207,7 +236,6 @@ def _drain(stream: DataFrame, function: Callable[[DataFrame, int], None], checkp
         .start()
     )
     query.awaitTermination()
-    return query
 
 
 def ingest(
@@ -241,15 +269,12 @@ def ingest(
                 raise FileNotFoundError(f"nothing has landed for {source}: {path}")
             continue
         name = source if stream is None else f"{source}-{stream}"
-        function = stage_batch(area, catalog, ranks, name, first_batch)
+        finished = None if progress is None else partial(progress.finished, source)
+        function = stage_batch(area, catalog, ranks, name, first_batch, finished)
         lines = read_lines(spark, path, max_files)
         if once is not None:
             lines = once_within(lines, once)
-        if progress is not None:
-            lines = progress.observed(lines, source, catalog)
-        query = _drain(lines, function, f"{checkpoint.rstrip('/')}/{source}")
-        if progress is not None:
-            progress.wait_for(query)
+        _drain(lines, function, f"{checkpoint.rstrip('/')}/{source}")
 
 
 def ingest_with(

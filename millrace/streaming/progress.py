@@ -1,89 +1,64 @@
-"""Counters of a running ingestion, from metrics that its streams observe on the way."""
+"""Counters of a running ingestion, told by its streams batch by batch."""
 
 from __future__ import annotations
 
 import threading
 from collections import Counter
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from millrace import catalog as C
-
-_PREFIX = "millrace-ingest:"
 #: Messages that name no table of the catalogue are counted under this one.
 UNKNOWN = "unknown"
 
 
-class IngestProgress(StreamingQueryListener):
+class IngestProgress:
     """Messages and records by source and table, batch by batch, while streams run.
 
-    A batch counts when it has been finished, so one that failed and ran again counts once. Used as a context, it
-    listens to the session's streams in between.
+    A batch counts when it has been written, as often as it may run: its counts are the result of a query over its
+    messages. Metrics observed on the way would count a partition again for every task that computes it again, as two
+    executors do that need it at a time.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.messages: Counter[tuple[str, str]] = Counter()
-        self.records: Counter[tuple[str, str]] = Counter()
-        self.batches: Counter[str] = Counter()
-        self._ended: set[str] = set()
-        self._changed = threading.Condition()
+        self._batches: dict[tuple[str, str], list[tuple[str, int, int]]] = {}
+        self._lock = threading.Lock()
 
     def __enter__(self) -> IngestProgress:
-        self.spark.streams.addListener(self)
         return self
 
     def __exit__(self, *error) -> None:
-        self.spark.streams.removeListener(self)
-
-    def observed(self, lines: DataFrame, source: str, catalog: C.Catalog = C.DEFAULT_CATALOG) -> DataFrame:
-        """The lines of a stream, counted by table as they pass. Only names and counts of an envelope are read."""
-        envelope = F.from_json("value", "table string, recordCount bigint")
-        names = [t.name for t in catalog]
-        table = F.when(F.col("_e.table").isin(*names), F.col("_e.table")).otherwise(UNKNOWN)
-        counts = []
-        for name in [*names, UNKNOWN]:
-            own = F.col("_table") == name
-            counts.append(F.count_if(own).alias(f"messages:{name}"))
-            counts.append(F.coalesce(F.sum(F.when(own, F.col("_e.recordCount"))), F.lit(0)).alias(f"records:{name}"))
-        read = lines.withColumn("_e", envelope).withColumn("_table", table)
-        return read.observe(_PREFIX + source, *counts).select(*lines.columns)
-
-    def onQueryStarted(self, event) -> None:
         pass
 
-    def onQueryProgress(self, event) -> None:
-        with self._changed:
-            for name, row in event.progress.observedMetrics.items():
-                if name.startswith(_PREFIX):
-                    source = name.removeprefix(_PREFIX)
-                    values = row.asDict()
-                    self.batches[source] += any(values.values())
-                    for column, value in values.items():
-                        kind, table = column.split(":", 1)
-                        if value:
-                            (self.messages if kind == "messages" else self.records)[source, table] += value
-            self._changed.notify_all()
-
-    def onQueryIdle(self, event) -> None:
-        pass
+    def finished(self, source: str, batch: str, tally: Sequence[tuple[str, int, int]]) -> None:
+        """A batch has been written, with (table, messages, records); one that ran again takes its own place."""
+        with self._lock:
+            self._batches[source, batch] = list(tally)
+
+    def _sums(self, place: int) -> Counter[tuple[str, str]]:
+        sums: Counter[tuple[str, str]] = Counter()
+        with self._lock:
+            for (source, _), tally in self._batches.items():
+                for row in tally:
+                    sums[source, row[0]] += row[place]
+        return sums
+
+    @property
+    def messages(self) -> Counter[tuple[str, str]]:
+        return self._sums(1)
 
-    def onQueryTerminated(self, event) -> None:
-        with self._changed:
-            self._ended.add(str(event.id))
-            self._changed.notify_all()
+    @property
+    def records(self) -> Counter[tuple[str, str]]:
+        return self._sums(2)
 
-    def wait_for(self, query: StreamingQuery, seconds: float = 60) -> None:
-        """Events arrive behind the batches they tell of; this waits for the last one of a query that has ended."""
-        with self._changed:
-            if not self._changed.wait_for(lambda: str(query.id) in self._ended, seconds):
-                raise TimeoutError(f"no end of query {query.id} was told of")
-            self._ended.discard(str(query.id))
+    @property
+    def batches(self) -> Counter[str]:
+        with self._lock:
+            return Counter(source for (source, _), tally in self._batches.items() if tally)
 
     def counters(self) -> DataFrame:
         """(source, table_name, messages, records) so far."""
-        with self._changed:
-            rows = [(source, table, n, self.records[source, table]) for (source, table), n in sorted(self.messages.items())]
+        messages, records = self.messages, self.records
+        rows = [(source, table, n, records[source, table]) for (source, table), n in sorted(messages.items())]
         return self.spark.createDataFrame(rows, "source string, table_name string, messages bigint, records bigint")

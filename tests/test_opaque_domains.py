@@ -125,3 +125,30 @@ def test_progress(spark, tmp_path):
         assert progress.batches[C.CSV] > 1
         assert sorted(map(tuple, progress.counters().collect())) == [("csv", "danh_gia", 10, 95), ("csv", "unknown", 2, 7)]
     assert read_staged(spark, area)["danh_gia"].count() == 95
+
+
+def _without_cache(monkeypatch, spark):
+    """Frames stay as if their cached blocks were lost, so that every branch computes them again."""
+    seen, kind = [], type(spark.range(1))
+    monkeypatch.setattr(kind, "persist", lambda self, *level: seen.append(self) or self)
+    monkeypatch.setattr(kind, "unpersist", lambda self, *blocking: self)
+    return seen
+
+
+def test_progress_of_partitions_computed_twice(spark, tmp_path, monkeypatch):
+    landing, area = f"{tmp_path}/landing", StagingArea(f"{tmp_path}/area")
+    frame = spark.createDataFrame([(f"DG{k}", f"KH{k}", 3, k) for k in range(95)], RATINGS)
+    envelopes.write_envelopes(frame, "danh_gia", C.CSV, landing, ["_seq"], 10, drop=["_seq"])
+    _without_cache(monkeypatch, spark)
+    with IngestProgress(spark) as progress:
+        ingest(spark, landing, f"{tmp_path}/checkpoint", area, sources=[C.CSV], progress=progress)
+    assert [tuple(r) for r in progress.counters().collect()] == [("csv", "danh_gia", 10, 95)]
+    positions = [r[0] for r in read_staged(spark, area)["danh_gia"].orderBy("ma_khach_hang").select(C.ORDER_COLUMN).collect()]
+    assert len(set(positions)) == 95
+
+
+def test_progress_of_a_batch_that_ran_again(spark):
+    progress = IngestProgress(spark)
+    for batch, n in (("a-0", 3), ("a-1", 2), ("a-1", 2)):
+        progress.finished("csv", batch, [("danh_gia", n, 10 * n)])
+    assert [tuple(r) for r in progress.counters().collect()] == [("csv", "danh_gia", 5, 50)] and progress.batches["csv"] == 2
