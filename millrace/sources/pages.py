@@ -19,6 +19,9 @@ from millrace.operators.load import read_pointer, swap_pointer
 from millrace.sources.tables import number_rows
 
 ROW, RANGE = "_row", "_range"
+#: Ranges lie in this many folders at most, several of them in one if need be: small ranges of a large table would be
+#: a file each otherwise.
+MAX_FOLDERS = 256
 
 
 class PageDirectory:
@@ -32,6 +35,7 @@ class PageDirectory:
         self.order: list[str] = state["order"]
         self.rows_per_range: int = state["rows_per_range"]
         self.total: int = state["total"]
+        self.rows_per_folder: int = state.get("rows_per_folder", self.rows_per_range)
         self.schema = T.StructType.fromJson(json.loads(state["schema"]))
 
     @classmethod
@@ -39,19 +43,25 @@ class PageDirectory:
         """Sort a frame by columns, ties by content, and write it in ranges of ``rows_per_range`` rows.
 
         A range holds the same rows however many tasks wrote it, and copies of one row may fill any number of ranges.
+        Ranges beyond ``MAX_FOLDERS`` share folders; within one, rows are sorted, so that their places prune the reads.
         """
         if not order:
             raise ValueError("paging needs an order")
         spark, root = df.sparkSession, root.rstrip("/")
         numbered = number_rows(df, list(order), ROW)
-        # Tasks hold consecutive rows, so only ranges at their borders are written by two of them.
-        numbered.withColumn(RANGE, F.floor(F.col(ROW) / rows_per_range)).write.partitionBy(RANGE).parquet(f"{root}/rows")
+        # The rows are materialised by now; counting them again is a read of no column.
+        total = numbered.count()
+        ranges = -(-total // rows_per_range)
+        rows_per_folder = rows_per_range * max(1, -(-ranges // MAX_FOLDERS))
+        # Tasks hold consecutive rows, so only folders at their borders are written by two of them.
+        numbered.withColumn(RANGE, F.floor(F.col(ROW) / rows_per_folder)).write.partitionBy(RANGE).parquet(f"{root}/rows")
         key = F.struct(*order)
         rows = spark.read.schema(numbered.schema.add(RANGE, T.LongType())).parquet(f"{root}/rows")
-        borders = rows.groupBy(RANGE).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first"), F.max(key).alias("last"))
+        place = F.floor(F.col(ROW) / rows_per_range).alias(RANGE)
+        borders = rows.groupBy(place).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first"), F.max(key).alias("last"))
         borders.write.parquet(f"{root}/directory")
-        total = cls._directory(spark, root).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] if rows.take(1) else 0
-        swap_pointer(spark, root, {"order": list(order), "rows_per_range": rows_per_range, "total": total, "schema": df.schema.json()})
+        state = {"order": list(order), "rows_per_range": rows_per_range, "rows_per_folder": rows_per_folder, "total": total}
+        swap_pointer(spark, root, {**state, "schema": df.schema.json()})
         return cls(spark, root)
 
     @staticmethod
@@ -63,10 +73,10 @@ class PageDirectory:
         return self._directory(self.spark, self.root).select(F.col(RANGE).alias("range"), "n", "first", "last")
 
     def _rows(self, first: int, last: int) -> DataFrame:
-        """The rows from one place to another; the filter on ranges keeps all other folders closed."""
+        """The rows from one place to another; the filter on folders keeps all others closed."""
         schema = T.StructType([*self.schema.fields, T.StructField(ROW, T.LongType()), T.StructField(RANGE, T.LongType())])
         rows = self.spark.read.schema(schema).parquet(f"{self.root}/rows")
-        size = self.rows_per_range
+        size = self.rows_per_folder
         return rows.where(F.col(RANGE).between(first // size, last // size) & F.col(ROW).between(first, last)).drop(RANGE)
 
     def page(self, limit: int, offset: int = 0, row: str | None = None) -> DataFrame:

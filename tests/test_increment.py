@@ -197,6 +197,17 @@ def test_page_opens_its_ranges(pages):
         assert (first, last) == (offset // 128, (offset + 127) // 128) and last - first <= 1
 
 
+def test_many_small_ranges_share_folders(spark, tmp_path):
+    df = spark.range(3000).select((F.col("id") % 7).alias("a"), F.col("id").alias("b"))
+    directory = PageDirectory.build(df, ["a", "b"], str(tmp_path / "small"), rows_per_range=2)
+    everything = sorted(tuple(r) for r in df.collect())
+    assert len(list((tmp_path / "small" / "rows").glob("_range=*"))) <= 256
+    assert directory.directory().count() == 1500 and {r["n"] for r in directory.directory().collect()} == {2}
+    for limit, offset in ((3, 0), (50, 1001), (10, 2995), (3000, 0)):
+        assert [tuple(r) for r in directory.page(limit, offset).collect()] == everything[offset : offset + limit]
+    assert directory.place_after([3, 500]) == sum(r <= (3, 500) for r in everything)
+
+
 def test_empty_pages(spark, tmp_path):
     directory = PageDirectory.build(spark.createDataFrame([], "a long, b string"), ["a"], str(tmp_path / "none"))
     assert directory.total == 0 and directory.page(10).count() == 0 and directory.place_after([5]) == 0
