@@ -100,10 +100,12 @@ def read_page(
     """``limit`` rows after the first ``offset`` ones, in order.
 
     Rows the order leaves equal follow a hash of their content, so that pages of any offset fit together.
+    ``top_n`` lowers the number of rows up to which a top-n cuts the page; that one ends in a single task, so a page
+    that ends beyond ``TOP_N_LIMIT`` is cut by row numbers whatever it says.
     """
     if not order_by:
         raise ValueError("paging needs an order")
-    if offset + limit <= (TOP_N_LIMIT if top_n is None else top_n):
+    if offset + limit <= min(TOP_N_LIMIT, TOP_N_LIMIT if top_n is None else top_n):
         tied = df.withColumn("__content", F.xxhash64(*df.columns))
         return tied.orderBy(*order_by, "__content").offset(offset).limit(limit).drop("__content")
     numbered = number_rows(df, order_by, "__row")

@@ -234,3 +234,12 @@ def test_scratch_can_be_discarded(spark, monkeypatch):
     assert discard_scratch(spark) == 1 and discard_scratch(spark) == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_long_first_page_is_not_cut_in_one_task(spark, monkeypatch):
+    df = spark.range(400).select((F.col("id") % 3).alias("v"), F.col("id").alias("id")).repartition(6)
+    expected = [tuple(r) for r in T.read_page(df, ["v"], 300, 0).collect()]
+    monkeypatch.setattr(T, "TOP_N_LIMIT", 100)
+    page = T.read_page(df, ["v"], 300, 0, top_n=1000)
+    assert "TakeOrdered" not in page._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in page.collect()] == expected
