@@ -243,3 +243,13 @@ def test_long_first_page_is_not_cut_in_one_task(spark, monkeypatch):
     page = T.read_page(df, ["v"], 300, 0, top_n=1000)
     assert "TakeOrdered" not in page._jdf.queryExecution().executedPlan().toString()
     assert [tuple(r) for r in page.collect()] == expected
+
+
+def test_batch_holds_text_but_no_parsed_records(spark, monkeypatch):
+    root, held = scratch_path(spark, "held"), []
+    E.write_envelopes(ratings(spark, 25), "danh_gia", "csv", f"{root}/landing", ["place"], 10, drop=["place"])
+    kind = type(spark.range(1))
+    keep = kind.persist
+    monkeypatch.setattr(kind, "persist", lambda self, *level: held.append(self.schema) or keep(self, *level))
+    N.ingest(spark, f"{root}/landing", f"{root}/cp", N.StagingArea(f"{root}/staging"))
+    assert held and not [f.name for schema in held for f in schema if "array" in f.dataType.simpleString()]
