@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from millrace import catalog as C
 from millrace.functions import text
 from millrace.functions.plans import zero_of
-from millrace.session import cut_lineage, for_each, hadoop_path
+from millrace.session import cut_lineage, for_each, hadoop_path, keep_columns
 
 VIOLATIONS = "_violations"
 UNCAST = "_uncast"
@@ -309,7 +309,7 @@ def load_star(
 ) -> Star:
     """Plan the load of all given tables, parents first, as lazy frames.
 
-    Parents with children are materialised once, since every child reads their keys.
+    Parents with children are materialised once, by column, since every child reads their keys and nothing else.
     ``deduplicated`` says that rows are already distinct by their dedup key.
     """
     star = Star()
@@ -320,7 +320,7 @@ def load_star(
         loaded, skipped = plan_table(
             clean[table.name], table, star.tables, order, on_violation, loaded_at, deduplicated, catalog=catalog
         )
-        star.tables[table.name] = cut_lineage(loaded) if table.name in with_children else loaded
+        star.tables[table.name] = keep_columns(loaded, "loaded") if table.name in with_children else loaded
         star.skipped[table.name] = skipped
     return star
 

@@ -32,7 +32,7 @@ from millrace.operators.validate import (
     summary_counts,
     validate,
 )
-from millrace.session import configure, cut_lineage, for_each
+from millrace.session import configure, for_each, keep_columns
 from millrace.sources.csv import read_csv, require_sources
 from millrace.sources.tables import LINE, Relational, arrival_order, read_tables
 from millrace.streaming.envelopes import publish
@@ -96,10 +96,10 @@ def plan_star(
     options: Options = Options(),
     loaded_at: Column | None = None,
 ) -> Star:
-    """Staged tables to warehouse frames; clean rows are materialised once, in the checkpoint folder."""
+    """Staged tables to warehouse frames; clean rows are materialised once, by column, in the checkpoint folder."""
 
     def clean_table(name: str) -> DataFrame:
-        return cut_lineage(split_quality(plan_quality(staged[name], catalog[name], options).checked)[0])
+        return keep_columns(split_quality(plan_quality(staged[name], catalog[name], options).checked)[0], "clean")
 
     clean = dict(zip(staged, for_each(clean_table, staged)))
     return load_star(clean, catalog, on_violation=options.on_violation, loaded_at=loaded_at)

@@ -233,3 +233,12 @@ def test_own_catalogue(spark):
     assert {r.sale_no for r in star.tables["sale"].collect()} == {"a", "c"}
     assert load.integrity_audit(star.tables, catalog).where("n > 0").count() == 0
     assert sales.id_columns == ["sale_no", "shop_ref"]
+
+
+def test_children_read_only_the_keys_of_stored_parents(spark):
+    parents = spark.createDataFrame([(k, f"DM{k}", f"name {k}", "postgresql") for k in range(4)], "_seq long, ma_danh_muc string, ten_danh_muc string, source string")
+    children = spark.createDataFrame([(k, f"SP{k}", f"part {k}", f"DM{k % 8}", "postgresql") for k in range(16)], "_seq long, ma_san_pham string, ten_san_pham string, ma_danh_muc string, source string")
+    star = load.load_star({"danh_muc": parents, "san_pham": children}, on_violation="quarantine")
+    assert star.tables["san_pham"].count() == 8 and star.skipped["san_pham"].count() == 8
+    plan = star.skipped["san_pham"]._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<ma_danh_muc:string>" in plan
