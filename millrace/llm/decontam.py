@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
-    U64, byte_array, lower_ascii, prefix_hash, run_hash, runs_of, saved, small_batches, whole_row, steps, word_table, words_of,
+    U64, byte_array, lower_ascii, prefix_hash, released, run_hash, runs_of, saved, small_batches, whole_row, steps, word_table, words_of,
 )
 
 # Fixed value: bytes that no word has, beside capitals, which are lowered first.
@@ -62,7 +62,7 @@ def build_index(docs: DataFrame) -> DataFrame:
             )
             shard += 1
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(build, SEGMENT)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(released(build), SEGMENT)
 
 
 class Segment:
@@ -193,7 +193,7 @@ def search(index: DataFrame, hashes: np.ndarray, lengths: np.ndarray, owners: li
                     names=["segment", "place", "doc_id", "n_words", "starts", "ends", "items"],
                 )
 
-    return index.mapInArrow(run, HITS)
+    return index.mapInArrow(released(run), HITS)
 
 
 def phrase_matches(index: DataFrame, phrases: dict[str, str], near: int | None = None) -> DataFrame:

@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
-    U64, Scatter, byte_array, gathered, groups_of, lower_ascii, mix, part_bits, prefix_hash, run_hash, saved, small_batches, steps,
-    whole_row, word_table, words_of,
+    U64, Scatter, byte_array, gathered, groups_of, lower_ascii, mix, part_bits, prefix_hash, released, released_group, run_hash, saved,
+    small_batches, steps, whole_row, word_table, words_of,
 )
 from millrace.llm.graphs import components
 
@@ -158,7 +158,7 @@ def how_common(rows: DataFrame) -> np.ndarray:
         filled = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), pa.array(counts[filled])], names=["place", "n"])
 
-    summed = saved(rows.select("text").mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")), "counted")
+    summed = saved(rows.select("text").mapInArrow(released(run), "place int, n long").groupBy("place").agg(F.sum("n").alias("n")), "counted")
     # A number of at most 63 for each class: a megabyte at any size of the corpus.
     mean = summed.agg(F.sum("n")).first()[0] or 0
     hot = summed.where(F.col("n") >= HOT * mean / COUNTED + FEW)
@@ -319,7 +319,7 @@ def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             chosen = pa.array(may_link(*sizes, np.array(keep, np.int64)))
             yield batch.select(["a", "b"]).filter(chosen)
 
-    return joined.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInArrow(released(run), "a long, b long")
 
 
 def _verify(table: pa.Table) -> pa.Table:
@@ -509,11 +509,11 @@ def _open_groups(shared: DataFrame, parts: DataFrame, nodes: DataFrame) -> DataF
 
 def _settled(open_: DataFrame, texts: DataFrame) -> DataFrame:
     """The links that still join components, each group with the sets of its undecided documents."""
-    undecided = saved(open_.groupBy("cell").applyInArrow(_undecided, _UNDECIDED), "undecided")
+    undecided = saved(open_.groupBy("cell").applyInArrow(released_group(_undecided), _UNDECIDED), "undecided")
     sizes = texts.select("node", F.octet_length("z").alias("n"))
     total = undecided.join(sizes, "node").agg(F.sum("n")).first()[0] or 0
     cell = F.pmod(F.xxhash64("bucket", "x", "y"), F.lit(1 + int(total) // CELL_BYTES))
-    return undecided.withColumn("cell", cell).join(texts, "node").groupBy("cell").applyInArrow(_settle, "u long, v long")
+    return undecided.withColumn("cell", cell).join(texts, "node").groupBy("cell").applyInArrow(released_group(_settle), "u long, v long")
 
 
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -537,7 +537,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = part_bits(total / 10, PART)
     common = docs.sparkSession.sparkContext.broadcast(how_common(rows))
-    found = saved(rows.mapInArrow(_sign(bits, common), _PASS).groupBy("part").applyInArrow(_look_through, _FOUND), "signatures")
+    found = saved(rows.mapInArrow(released(_sign(bits, common)), _PASS).groupBy("part").applyInArrow(released_group(_look_through), _FOUND), "signatures")
     members = found.where(F.col("kind") == _MEMBER)
     # Equal sets of different runs become one node.
     nodes = saved(
@@ -567,7 +567,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
     # are combined before the shuffle, and the join reads what that has brought together.
     asked = first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node"))).unionByName(shared.select("node")).distinct()
     chosen = nodes.join(asked, "node", "left_semi").select("node", "doc_id", "check")
-    packed = rows.mapInArrow(_compressed, "doc_id long, check long, z binary").groupBy("doc_id", "check").agg(F.first("z").alias("z"))
+    packed = rows.mapInArrow(released(_compressed), "doc_id long, check long, z binary").groupBy("doc_id", "check").agg(F.first("z").alias("z"))
     texts = saved(packed.join(chosen, ["doc_id", "check"]).select("node", "z"), "texts")
     links = saved(_linked(first, texts), "links")
     parts = saved(components(links), "components")

@@ -9,6 +9,7 @@ at a time, so that every batch is a full rectangle.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -18,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import small_batches, steps
+from millrace.llm.common import released, small_batches, steps
 from millrace.sources.tables import number_rows
 
 MAX_LENGTH = 2048
@@ -39,15 +40,24 @@ class Tokenizer:
 
     def __init__(self, json_path: str, ranks_path: str, pattern: str):
         import tiktoken
-        from tokenizers import Tokenizer as Whole
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.whole = Whole.from_file(json_path)
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        with open(json_path, encoding="utf-8") as vocabulary:
+            self.special = [t["content"] for t in json.load(vocabulary)["added_tokens"]]
+        self.json_path, self._whole = json_path, None
         self.known: dict[str, bytes | None] = {}
 
+    @property
+    def whole(self):
+        """The library's own tokenizer, loaded for the first text that needs it."""
+        if self._whole is None:
+            from tokenizers import Tokenizer as Whole
+
+            self._whole = Whole.from_file(self.json_path)
+        return self._whole
+
     def _word(self, word: str) -> bytes | None:
         if len(self.known) >= REMEMBERED:
             self.known.clear()
@@ -134,7 +144,7 @@ def pack(
                 names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(released(run), PIECES)
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:

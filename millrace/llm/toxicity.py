@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import held_out, saved, small_batches, steps
+from millrace.llm.common import held_out, released, saved, small_batches, steps
 
 #: Labelled documents of either kind that training reads at most, and their bytes.
 SAMPLE_DOCUMENTS = 4000
@@ -261,7 +261,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             values = [model.score(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.float64())], names=["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(released(run), "doc_id long, score double")
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -276,6 +276,7 @@ def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_ordinary(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not called toxic, with all their columns."""
+    small_batches(docs.sparkSession)
     model = train(docs, labels)
     position = docs.columns.index("text")
 
@@ -286,4 +287,4 @@ def keep_ordinary(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 keep = [model.score(t or "") < THRESHOLD for t in piece.column(position).to_pylist()]
                 yield piece.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

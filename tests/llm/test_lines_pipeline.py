@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import connect, rows_of_spark, rows_of_sql
-from millrace.llm import lines, queries, secrets
+from millrace.llm import common, lines, queries, secrets
 from test_decontam import brute as contaminated
 from test_ngram_join import brute as joined
 from test_packing import expected as tokens
@@ -124,3 +124,29 @@ def test_stage_on_odd_rows(spark, stage, tmp_path):
     assert out.count() >= 4 - (stage == 1)
     assert stage == 4 or out.columns == docs.columns
     assert function(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_workers_give_memory_back(spark):
+    """What a task has freed does not stay with its worker, by whichever allocator it was taken."""
+
+    def private() -> float:
+        with open("/proc/self/smaps_rollup") as lines:
+            return sum(int(x.split()[1]) for x in lines if x.startswith(("Pss_Anon", "Pss_Shmem"))) / 1024
+
+    def run(batches):
+        for _ in batches:
+            # Small pieces with some between them that stay: the allocator keeps what lies below those.
+            pieces = [bytes(60_000) for _ in range(2000)]
+            kept.append(pieces[-1])
+            yield len(pieces)
+
+    kept, before = [], private()
+    assert list(common.released(run)([1, 2])) == [2000, 2000]
+    assert private() - before < 40
+
+
+def test_toxicity_stage_bounds_its_batches(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    corpus_pipeline.drop_toxic(spark, docs, SF)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(common.BATCH_BYTES)
