@@ -3,8 +3,10 @@
 The rows of a table lie in folders by load and segment, a segment being a range of a hash of the key, and in files by
 bucket of the key. Every segment of every load has a Bloom filter of its keys. The keys of an increment meet the
 filters first; those that no filter knows are new, and only the segments of the others are read, in a join for which
-the stored side is neither shuffled nor read beyond its key columns. New rows become files of their own load, and one
-pointer file lists the loads that count, for all tables at once: a failed load is not in it and is never read.
+the stored side is neither shuffled nor read beyond its key columns. A load with so many keys that its filters would
+let most others through has none: increments are then joined with the stored keys at once. New rows become files of
+their own load, and one pointer file lists the loads that count, for all tables at once: a failed load is not in it
+and is never read.
 """
 
 from __future__ import annotations
@@ -33,11 +35,13 @@ from millrace.operators.load import (
     read_pointer,
     swap_pointer,
 )
-from millrace.session import cut_lineage, for_each, hadoop_path
+from millrace.session import cut_lineage, for_each, hadoop_path, keep_columns
 
 LOAD, SEGMENT = "_load", "_segment"
 #: Bits that a key sets in the filter of its segment.
 _PROBES = 4
+#: With fewer bits a key than this, one strange key in six passes a filter, and any increment opens all segments.
+_FEWEST_BITS = 4
 
 
 @dataclass(frozen=True)
@@ -91,11 +95,20 @@ class KeyedStore:
     def append(self, df: DataFrame, load: str) -> int:
         """Add rows as one load, and the filters of their keys; returns how many."""
         rows = df.select(*self.schema.names, F.lit(load).alias(LOAD), self._segment().alias(SEGMENT))
-        rows.repartition(self.layout.buckets, *self.key).write.insertInto(self._open())
+        # One file for each bucket and segment, and as many tasks as there are such files or shuffle partitions.
+        bucket = F.pmod(F.hash(*self.key), F.lit(self.layout.buckets))
+        rows.repartition(bucket, SEGMENT).write.insertInto(self._open())
         written = self.read([load])
-        words = self._probes(written.select(*self.key)).groupBy(SEGMENT, "word").agg(F.bit_or("mask").alias("bits"))
-        words.write.parquet(f"{self._filters}/{LOAD}={load}")
-        return written.count()
+        count = written.count()
+        if count * _FEWEST_BITS <= self.layout.segments * self.layout.bits:
+            words = self._probes(written.select(*self.key)).groupBy(SEGMENT, "word").agg(F.bit_or("mask").alias("bits"))
+            words.write.parquet(f"{self._filters}/{LOAD}={load}")
+        return count
+
+    def has_filters(self, loads: Sequence[str]) -> bool:
+        """Whether filters can tell which keys these loads hold."""
+        folders = [hadoop_path(self.spark, f"{self._filters}/{LOAD}={load}") for load in loads]
+        return all(fs.exists(folder) for fs, folder in folders)
 
     def _probes(self, keys: DataFrame) -> DataFrame:
         """For each key the places of its bits in the filter of its segment."""
@@ -120,11 +133,20 @@ class KeyedStore:
         """The distinct keys that are stored; keys with a null are not."""
         if not loads:
             return keys.dropna(subset=self.key).select(*self.key).limit(0)
+        if not self.has_filters(loads):
+            asked = keys.dropna(subset=self.key).select(*self.key).distinct()
+            return asked.join(self.read(loads).select(*self.key), self.key, "left_semi")
         asked = cut_lineage(self.candidates(keys, loads))
         touched = [r[SEGMENT] for r in asked.select(SEGMENT).distinct().collect()]
         # At most as many numbers as there are segments.
         return asked.select(*self.key).join(self.read(loads, touched).select(*self.key), self.key, "left_semi")
 
+    def known(self, keys: DataFrame, loads: Sequence[str]) -> DataFrame:
+        """Stored keys, each once, among them all that are in ``keys``: what rows with these keys are to be joined with."""
+        if loads and not self.has_filters(loads):
+            return self.read(loads).select(*self.key)
+        return cut_lineage(self.present(keys, loads))
+
 
 @dataclass
 class IncrementalTable:
@@ -144,10 +166,9 @@ class IncrementalTable:
         for store in self.stores:
             df = without_present(df, store, loads, offered)
         keys = [s.key for s in self.stores]
-        fresh = cut_lineage(insert_if_absent(df, keys, order).drop(order))
-        count = self.rows.append(fresh, load)
+        count = self.rows.append(insert_if_absent(df, keys, order).drop(order), load)
         for store in self.others:
-            store.append(fresh.dropna(subset=store.key), load)
+            store.append(self.rows.read([load]).dropna(subset=store.key), load)
         return count
 
 
@@ -156,7 +177,7 @@ def without_present(df: DataFrame, store: KeyedStore, loads: Sequence[str], offe
     if not loads:
         return df
     renamed = {k: f"__t_{k}" for k in store.key}
-    taken = store.present(offered if offered is not None else df, loads).withColumnsRenamed(renamed)
+    taken = store.known(offered if offered is not None else df, loads).withColumnsRenamed(renamed)
     return _spread_join(df, taken, renamed, _incomplete(store.key), "left_anti")
 
 
@@ -222,12 +243,11 @@ class IncrementalStar:
         metrics: dict[str, dict[str, int]] = {}
 
         def add_table(table: C.Table) -> None:
-            # Written once: counts, filters and the insert all read it.
-            marked = cut_lineage(self._marked(clean[table.name], table, load))
-            counts = marked.agg(F.count(F.lit(1)).alias("offered"), F.count_if(~F.col("_fk_ok")).alias("skipped")).first()
-            passed = marked.where("_fk_ok").drop("_fk_ok")
-            typed = project_warehouse(passed, table, loaded_at, keep=[order], uncast=UNCAST)
-            typed = check_constraints(typed, table, on_violation)
+            # Written once, by column: counts, filters and the insert all read it, each what it needs.
+            marked = self._marked(clean[table.name], table, load)
+            typed = keep_columns(project_warehouse(marked, table, loaded_at, keep=[order, "_fk_ok"], uncast=UNCAST), "offered")
+            counts = typed.agg(F.count(F.lit(1)).alias("offered"), F.count_if(~F.col("_fk_ok")).alias("skipped")).first()
+            typed = check_constraints(typed.where("_fk_ok").drop("_fk_ok"), table, on_violation)
             inserted = self.table(table.name).add(typed, self._loads_of(table.name, self.loads), load, order)
             metrics[table.name] = {**counts.asDict(), "inserted": inserted}
 
@@ -245,7 +265,7 @@ class IncrementalStar:
                 name = primary_key_of(parent, self.catalog)
                 used = df.where(~_missing(df, column)).select(F.col(column).alias(name))
                 loads = self._loads_of(parent, [*self.loads, load])
-                known[column] = cut_lineage(self.table(parent).rows.present(used, loads))
+                known[column] = self.table(parent).rows.known(used, loads)
         return mark_references(df, known, unique=True) if known else df.withColumn("_fk_ok", F.lit(True))
 
     def compact(self) -> None:

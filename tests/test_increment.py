@@ -61,6 +61,19 @@ def test_only_hit_segments_are_read(spark, store):
     assert one.count() == 1
 
 
+def test_filters_that_rule_nothing_out_are_not_kept(spark, tmp_path):
+    """More keys than the filters tell apart: found by a join with the stored keys, with the same result."""
+    df = spark.range(2000).select(F.concat(F.lit("k"), "id").alias("key"))
+    full = KeyedStore(spark, str(tmp_path / "full"), df.schema, ["key"], Layout(segments=4, buckets=4, bits=1 << 8))
+    assert full.append(df, "l0") == 2000 and full.append(spark.createDataFrame([("few",)], "key string"), "l1") == 1
+    assert not full.has_filters(["l0"]) and full.has_filters(["l1"]) and not full.has_filters(["l0", "l1"])
+    assert not os.path.exists(f"{full.path}/filters/_load=l0")
+    asked = spark.createDataFrame([("k5",), ("k5",), ("k2000",), ("few",), (None,)], "key string")
+    assert rows(full.present(asked, ["l0", "l1"])) == [("few",), ("k5",)] and rows(full.present(asked, ["l1"])) == [("few",)]
+    assert rows(increment.without_present(asked, full, ["l0", "l1"])) == [("k2000",), (None,)]
+    assert full.known(asked, ["l0", "l1"]).count() == 2001
+
+
 def test_append_leaves_files_alone(spark, store):
     before = files(store.path)
     more = spark.range(5000, 5010).select(F.concat(F.lit("k"), "id").alias("key"), F.lit(1).cast("long").alias("value"))
