@@ -8,6 +8,7 @@ from millrace.operators import repair as R
 from millrace.operators import repairs
 from millrace.operators.quality import audit_rows, quarantine_rows, split_quality
 from millrace.operators.validate import validate
+from verification import queries
 
 AS_OF = "2025-11-21"
 
@@ -144,3 +145,21 @@ def test_partitioning_does_not_matter(spark, parts):
     df = spark.createDataFrame(CUSTOMERS, SCHEMA).repartition(parts)
     out = R.repair(validate(df, as_of=AS_OF)).select("ma_khach_hang", "ho_ten", "ngay_sinh").collect()
     assert {tuple(r) for r in out} == {("KH1", "An Thị Binh", "1990-01-01"), ("KH2", "An Binh", "2004-05-29"), ("KH3", "An 1", "2020-01-01")}
+
+
+def test_one_row_group_is_judged_in_many_tasks(spark, tmp_path):
+    """Both runs of quality_drift and all that is repaired: a file that one task reads is dealt out before the rules."""
+    customers = spark.range(4000).select(
+        F.col("id").alias("c_custkey"), F.concat(F.lit("Customer"), "id").alias("c_name"), F.lit(1).alias("c_nationkey"),
+        F.lit(1.5).alias("c_acctbal"), F.lit("BUILDING").alias("c_mktsegment"),
+    )
+    customers.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        repaired = queries._repaired(spark, str(tmp_path), "khach_hang")
+        filled = repaired.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in filled) == 8000 and max(r["count"] for r in filled) < 3000
+    drift = queries.quality_drift(spark, str(tmp_path))
+    assert drift.count() > 0 and drift.select("record_key").distinct().count() == drift.count()

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import catalog as C
+from millrace.functions.plans import spread
 from millrace.operators import dedup, domains, history, increment, keys, load, merge_state, opaque, quality, repair, repairs, rules, staging, validate
 from millrace.operators.validate import CAN_FIX, ERRORS, IS_VALID
 from millrace.plans.integration import Options, plan_quality, plan_star
@@ -750,7 +751,8 @@ def repair_type(spark, sf_dir):
 
 
 def _repaired(spark, sf_dir, name: str) -> DataFrame:
-    return repair.repair(validate.validate(table(spark, sf_dir, name), as_of=AS_OF), as_of=AS_OF)
+    rows = spread(table(spark, sf_dir, name), C.ORDER_COLUMN)
+    return repair.repair(validate.validate(rows, as_of=AS_OF), as_of=AS_OF)
 
 
 @query
@@ -838,7 +840,8 @@ def transform_audit(spark, sf_dir):
 @query
 def quality_drift(spark, sf_dir):
     """Failing customers of two runs: those of the first source as they came, and those of both after repair."""
-    raw = validate.validate(table(spark, sf_dir, "khach_hang").where(F.col("source") == C.RELATIONAL), as_of=AS_OF)
+    relational = table(spark, sf_dir, "khach_hang").where(F.col("source") == C.RELATIONAL)
+    raw = validate.validate(spread(relational, C.ORDER_COLUMN), as_of=AS_OF)
     runs = history.RunHistory(spark, scratch_path(spark, "history"))
     runs.append("first", {"quarantine": quality.quarantine_rows(raw, CAT["khach_hang"])})
     runs.append("second", {"quarantine": quality.quarantine_rows(_checked(spark, sf_dir, "khach_hang"), CAT["khach_hang"])})
