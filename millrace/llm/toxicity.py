@@ -50,6 +50,8 @@ TELLING = 20
 SHORT, LEAD = 24, 32
 #: Classes of window length are this wide, the last open; savings are counted up to the largest.
 LENGTH_CLASS, LENGTH_CLASSES, MOST_SAVED = 12, 8, 24
+#: A task remembers what up to so many windows have shown, about 30 MB; repeated lines and near copies bring them again.
+REMEMBERED = 1 << 17
 _PIECES = re.compile(rb"(?s).{%d}[\x80-\xBF]*" % LONGEST)
 
 
@@ -107,9 +109,10 @@ class Model:
         self.steps: tuple[list[float], list[float]] = ([], [])
         self.prior = 0.0
         self._compressors = None
+        self._known: dict[bytes, float] = {}
 
     def __getstate__(self):
-        return self.__dict__ | {"_compressors": None}
+        return self.__dict__ | {"_compressors": None, "_known": {}}
 
     def savings(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Class of length and bytes saved of each window."""
@@ -134,6 +137,7 @@ class Model:
         tail = (above + (every + 0.5) / (every[0] + 1)) / (above[:, :1] + 1)
         # Nothing can be called rarer than one in all the windows that were seen.
         self.rarity = -np.log(np.clip(tail, 0.5 / (every[0] + 1), 1.0))
+        self._known = {}
         return self
 
     def evidence(self, text: str) -> float:
@@ -141,7 +145,13 @@ class Model:
         runs = windows(text)
         if not runs:
             return 0.0
-        rarest = float(self.rarity[self.savings(runs)].max())
+        known = self._known
+        if len(known) > REMEMBERED:
+            known.clear()
+        fresh = [w for w in dict.fromkeys(runs) if w not in known]
+        if fresh:
+            known.update(zip(fresh, self.rarity[self.savings(fresh)].tolist(), strict=True))
+        rarest = max(map(known.__getitem__, runs))
         return max(0.0, rarest - math.log(len(runs)))
 
     def score(self, text: str) -> float:

@@ -1,5 +1,6 @@
 """Held-out accuracy of language and toxicity, and the cases every operator must define."""
 
+import pickle
 import zlib
 
 import numpy as np
@@ -129,3 +130,29 @@ def test_toxicity_edges(spark, labels):
     kept = toxicity.keep_ordinary(docs, known)
     assert kept.columns == docs.columns and kept.count() == (0 if labels == [(1, 1)] else 4)
     assert toxicity.predictions(docs.limit(0), known).count() == 0
+
+
+def test_windows_that_come_again_are_compressed_once(monkeypatch):
+    """Scores are those of every window compressed anew, also once more windows have come than are remembered."""
+    rng = np.random.default_rng(3)
+    lines = [" ".join(rng.choice([f"w{k}" for k in range(300)], 9)) for _ in range(200)]
+    model = toxicity.fit([f"{x} you absolute moron {x}" for x in lines[:60]], lines[60:])
+    texts = ["\n".join([lines[k], "you absolute moron", *[lines[k + 1]] * 5]) for k in range(40)] * 2 + ["", " "]
+    seen = []
+    savings = toxicity.Model.savings
+
+    def counted(self, runs):
+        seen.extend(runs)
+        return savings(self, runs)
+
+    expected = []
+    for t in texts:
+        runs = toxicity.windows(t)
+        expected.append(max(0.0, float(model.rarity[model.savings(runs)].max()) - np.log(len(runs))) if runs else 0.0)
+    monkeypatch.setattr(toxicity.Model, "savings", counted)
+    model._known.clear()
+    assert [model.evidence(t) for t in texts] == pytest.approx(expected, abs=1e-12)
+    assert len(seen) == len({w for t in texts for w in toxicity.windows(t)})
+    monkeypatch.setattr(toxicity, "REMEMBERED", 10)
+    assert [model.evidence(t) for t in texts] == pytest.approx(expected, abs=1e-12) and len(model._known) < 100
+    assert not pickle.loads(pickle.dumps(model))._known
