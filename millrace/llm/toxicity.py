@@ -7,6 +7,9 @@ either way, since both dictionaries hold the same ordinary text, and only what i
 ordinary text becomes shorter. The toxic part stands first, and the search for matches reaches so far back only where
 the ordinary text has nothing that begins alike; that is what keeps chance matches out.
 
+Most windows have no run of bytes that the toxic part holds and the newest ordinary text does not. Both dictionaries
+serve them alike, so they save nothing and are not compressed at all.
+
 Training reads a bounded sample of labelled rows. Two thirds of it make the dictionaries. On the other third savings
 are calibrated: by classes of window length, how rare a saving is among ordinary windows, and from that a probability
 for the rarest window of a document, given how many windows it has.
@@ -52,6 +55,11 @@ SHORT, LEAD = 24, 32
 LENGTH_CLASS, LENGTH_CLASSES, MOST_SAVED = 12, 8, 24
 #: A task remembers what up to so many windows have shown, about 30 MB; repeated lines and near copies bring them again.
 REMEMBERED = 1 << 17
+#: zstandard finds matches from so many bytes on, and its tree (``chain_log``) holds so many of the newest positions; the
+#: last bytes of a dictionary are in none.
+SHORTEST_MATCH, TREE, UNINDEXED = 4, (1 << 16) - 1, 8
+#: Room for what zstandard's trainer writes before the text of a dictionary.
+HEADER = 1 << 10
 _PIECES = re.compile(rb"(?s).{%d}[\x80-\xBF]*" % LONGEST)
 
 
@@ -91,19 +99,65 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
 
 
 def _typical(samples: list[bytes], size: int, segment: int) -> bytes:
-    """The segments that zstandard's trainer takes from windows; of few windows all that fit."""
+    """The segments that zstandard's trainer takes from windows, without its header; of few windows all that fit."""
     try:
-        return zstandard.train_dictionary(size, samples, k=segment, d=6).as_bytes()[-size:]
+        return zstandard.train_dictionary(size + HEADER, samples, k=segment, d=6).as_bytes()[-size:]
     except zstandard.ZstdError:
         # The trainer wants more text than there is.
         return b"".join(reversed(samples))[-size:]
 
 
+def _eights(data: bytes) -> np.ndarray:
+    """The eight bytes from every place on as one number, in the order of the bytes; zeros follow the last."""
+    return np.ndarray((len(data),), ">u8", data + bytes(7), 0, (1,)).astype(np.uint64)
+
+
+class _Runs:
+    """Finds windows that a typical part may serve better than the ordinary text behind it does.
+
+    A match in the typical part, which is older, is taken only where it is longer than what the newest ordinary text
+    has. So it holds a run of bytes that is in the one and not in the other. Runs of four to eight bytes are looked
+    for; those of eight count in any case, since what follows them may differ.
+    """
+
+    LONGEST = 8
+
+    def __init__(self, ordinary: bytes, typical: bytes):
+        self.known = np.unique(_eights(typical + ordinary[: self.LONGEST])[: len(typical)])
+        newest = _eights(ordinary[-TREE:])[:-UNINDEXED]
+        #: Bits that may differ where a place goes on like a known one for as long as it has to.
+        self.free = np.ones(len(self.known), np.uint64)
+        for length in range(self.LONGEST - 1, SHORTEST_MATCH - 1, -1):
+            cut = np.uint64(64 - 8 * length)
+            self.free[~np.isin(self.known >> cut, newest >> cut)] = np.uint64(1) << cut
+        self.begins = np.zeros(1 << 16, bool)
+        self.begins[self._slot(self.known)] = True
+
+    @staticmethod
+    def _slot(eights: np.ndarray) -> np.ndarray:
+        return ((eights >> np.uint64(32)) * np.uint64(2654435761) >> np.uint64(16)).astype(np.uint16)
+
+    def within(self, windows: list[bytes]) -> list[int]:
+        """Places of the windows that hold such a run."""
+        # What begins in one window and ends in the next only adds a window that need not be tried.
+        eights = _eights(b"\0".join(windows))
+        at = np.flatnonzero(self.begins[self._slot(eights)])
+        near = eights[at]
+        # Of all known runs those beside a place in their order have most in common with it.
+        above = np.searchsorted(self.known, near)
+        found = np.zeros(len(at), bool)
+        for k in (np.maximum(above - 1, 0), np.minimum(above, len(self.known) - 1)):
+            found |= (self.known[k] ^ near) < self.free[k]
+        ends = np.cumsum([len(w) + 1 for w in windows])
+        return np.unique(np.searchsorted(ends, at[found], side="right")).tolist()
+
+
 class Model:
     """Two dictionaries and the calibration. Sent to the workers as it is."""
 
     def __init__(self, ordinary: bytes, typical: bytes):
         self.ordinary, self.typical = ordinary, typical
+        self.telling_runs = _Runs(ordinary, typical)
         #: By class of length and bytes saved: how rare that is among ordinary windows, as a negative logarithm.
         self.rarity = np.zeros((LENGTH_CLASSES, MOST_SAVED + 1))
         self.steps: tuple[list[float], list[float]] = ([], [])
@@ -121,7 +175,9 @@ class Model:
         plain, toxic = (c.compress for c in self._compressors)
         lead = self.ordinary[-LEAD:]
         framed = [w if len(w) >= SHORT else lead + w for w in runs]
-        saved = np.array([len(plain(w)) - len(toxic(w)) for w in framed], np.int64)
+        saved = np.zeros(len(runs), np.int64)
+        for k in self.telling_runs.within(framed):
+            saved[k] = len(plain(framed[k])) - len(toxic(framed[k]))
         length = np.array([len(w) for w in runs], np.int64) // LENGTH_CLASS
         return np.minimum(length, LENGTH_CLASSES - 1), np.clip(saved, 0, MOST_SAVED)
 

@@ -156,3 +156,25 @@ def test_windows_that_come_again_are_compressed_once(monkeypatch):
     monkeypatch.setattr(toxicity, "REMEMBERED", 10)
     assert [model.evidence(t) for t in texts] == pytest.approx(expected, abs=1e-12) and len(model._known) < 100
     assert not pickle.loads(pickle.dumps(model))._known
+
+
+def test_windows_that_cannot_save_are_not_compressed(spark):
+    """Savings are those of compressing every window, and most windows are never compressed."""
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    docs = [(labels.get(r["doc_id"]), r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r["text"]]
+    model = toxicity.fit(*([t for own, t in docs if own == label] for label in (1, 0)))
+    texts = [t for _, t in docs][:300]
+    runs = [w for t in [*texts, "moron", "zut", "a\0b moron", "=" * 500, "é" * 90] for w in toxicity.windows(t)]
+    plain, behind = (toxicity._compressor(c) for c in (model.ordinary, model.typical + model.ordinary))
+    framed = [w if len(w) >= toxicity.SHORT else model.ordinary[-toxicity.LEAD :] + w for w in runs]
+    expected = [len(plain.compress(w)) - len(behind.compress(w)) for w in framed]
+    assert model.savings(runs)[1].tolist() == np.clip(expected, 0, toxicity.MOST_SAVED).tolist() and max(expected) > 3
+    tried = set(model.telling_runs.within(framed))
+    assert len(tried) < 0.6 * len(runs) and all(k in tried for k, n in enumerate(expected) if n > 0)
+
+
+def test_dictionary_is_text_alone():
+    """What zstandard's trainer writes before the text of a dictionary takes no place of it."""
+    samples = [f" number {k} of {k * 7919 % 1000} absolute moron {k % 13} ".encode() for k in range(4000)]
+    content = toxicity._typical(samples, 2048, 64)
+    assert len(content) == 2048 and all(32 <= b < 127 for b in content)
